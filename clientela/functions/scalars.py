@@ -68,8 +68,8 @@ def combo_flag(qty: Column, exclude_one: bool = True) -> Column:
 
 
 def period(ts: Column) -> Column:
-    """Calendar month as YYYY-MM."""
-    return F.date_format(ts, "yyyy-MM")
+    """Calendar month as YYYY-MM, cut from the ISO date, which is cheaper than a formatter."""
+    return F.substring(ts.cast("date").cast("string"), 1, 7)
 
 
 def carton_size(kind: Column, text: Column, special: str | None = None,

@@ -1,6 +1,7 @@
 """Scaling, k-means and cluster names."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -8,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientela import contracts as C
-from clientela.operators.quantile import column_quantiles
+from clientela.operators.quantile import exact_quantiles, unpivot
 from clientela.operators.relational import lookup_join
 from clientela.sources.staging import staged
 
@@ -31,10 +32,10 @@ def nearest(cols: Sequence[str], centroids: Sequence[Sequence[float]]) -> Column
     """Index of the nearest centroid; the lowest index on a tie."""
     options = []
     for i, centre in enumerate(centroids):
-        distance = sum((F.pow(F.col(c) - F.lit(float(v)), 2) for c, v in zip(cols, centre)),
-                       F.lit(0.0))
-        options.append(F.struct(distance.alias("d"), F.lit(i).alias("i")))
-    return F.least(*options)["i"] if len(options) > 1 else options[0]["i"]
+        gaps = [f"(`{c}` - {float(v)!r}D)" for c, v in zip(cols, centre)]
+        distance = " + ".join(f"{g} * {g}" for g in gaps)
+        options.append(f"named_struct('d', {distance}, 'i', {i})")
+    return F.expr(f"least({', '.join(options)}).i" if len(options) > 1 else "0")
 
 
 def kmeans_assign(df: DataFrame, cols: Sequence[str], centroids: DataFrame,
@@ -58,8 +59,6 @@ def kmeans_assign(df: DataFrame, cols: Sequence[str], centroids: DataFrame,
 def rank_seeds(df: DataFrame, cols: Sequence[str], k: int, by: str, id_col: str) -> DataFrame:
     """k starting centroids (cluster, cols...): the rows at evenly spread ranks of `by`, the
     smallest id where several rows share the value."""
-    from clientela.operators.quantile import exact_quantiles, unpivot
-
     ps = [(2 * i + 1) / (2 * k) for i in range(k)]
     marks = exact_quantiles(unpivot(df, [by]), ["columna"], ps, bounded_keys=True,
                             interpolate=False)
@@ -98,14 +97,18 @@ def kmeans_lloyd(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, iters:
 
 
 def kmeans(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, max_iter: int = 300,
-           seed: int = 42, n_init: int = 10, out: str = CLUSTER) -> DataFrame:
-    """Best of `n_init` k-means fits by cost, then nearest-centre labels."""
+           seed: int = 42, n_init: int = 10, out: str = CLUSTER,
+           parallelism: int = 4) -> DataFrame:
+    """Best of `n_init` k-means fits by cost, then nearest-centre labels. `parallelism` fits are
+    in flight at a time, so a small table does not leave the cluster idle between their jobs."""
     data = staged(df, "kmeans")
     points = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(data).select("_v")
     points = points.persist()
     try:
-        fits = [KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="_v").fit(points)
-                for i in range(n_init)]
+        starts = [KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="_v")
+                  for i in range(n_init)]
+        with ThreadPoolExecutor(parallelism) as pool:
+            fits = list(pool.map(lambda start: start.fit(points), starts))
         best = min(fits, key=lambda m: m.summary.trainingCost)
         centres = [list(map(float, c)) for c in best.clusterCenters()]
     finally:

@@ -1,34 +1,37 @@
 """Descriptive statistics, counts, histograms and the product correlation."""
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientela.operators.quantile import column_quantiles, exact_quantiles, unpivot
+from clientela.operators.quantile import column_quantiles, exact_quantiles, sketch, unpivot
 from clientela.sources.staging import broadcast_if_bounded
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles, max; one row per (group, column)."""
+    """count, mean, sample deviation, min, quartiles, max; one row per (group, column).
+
+    Two passes: the plain aggregates ride along with the quantile sketch, whose few rows are
+    kept; the second pass counts around the quartiles."""
     keys = ["columna"] if by is None else [by, "columna"]
     long = unpivot(df, cols, [] if by is None else [by])
-    if by is not None:
-        long = long.filter(F.col(by).isNotNull())
-    basic = long.groupBy(*keys).agg(
-        F.count("valor").alias("count"), F.avg("valor").alias("mean"),
-        F.stddev_samp("valor").alias("std"), F.min("valor").alias("min"),
-        F.max("valor").alias("max"))
-    quart = (
-        exact_quantiles(long, keys, QUARTILES, bounded_keys=by is None).groupBy(*keys).agg(*[
-            F.max(F.when(F.col("p") == p, F.col("valor"))).alias(f"q{int(p * 100)}")
-            for p in QUARTILES]))
+    table = broadcast_if_bounded(sketch(long, keys, QUARTILES, extra={
+        "mean": "avg(_x)", "std": "stddev_samp(_x)"}))
+    quart = _side_by_side(exact_quantiles(long, keys, QUARTILES, sketched=table), keys)
+    basic = table.selectExpr(*[f"`{k}`" for k in keys], "n AS count", "mean", "std", "_min AS min",
+                             "_max AS max")
     return basic.join(quart, keys, "left")
 
 
+def _side_by_side(quart: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return quart.groupBy(*keys).agg(*[
+        F.expr(f"max(valor) FILTER (WHERE p = {p!r}D)").alias(f"q{int(p * 100)}")
+        for p in QUARTILES])
+
+
 def describe_all(df: DataFrame, numeric: Sequence[str], other: Sequence[str]) -> DataFrame:
     """`describe` of numeric columns, plus distinct count, mode and its frequency of the others.
     Of equally frequent values the smallest is the mode."""
@@ -74,26 +77,28 @@ def onehot_correlation(df: DataFrame, id_col: str, category: str, k: int = 10) -
     pairs = df.select(id_col, category).na.drop().distinct()
     top = (pairs.groupBy(category).agg(F.count(F.lit(1)).alias("ids"))
            .orderBy(F.col("ids").desc(), category).limit(k))
-    ranked = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("ids")).alias("o"), category)))
-                     .alias("t")).select(F.posexplode("t").alias("r", "t"))
-    names = F.broadcast(ranked.select("r", F.col(f"t.{category}").alias(category)))
-    marks = pairs.join(names, category).groupBy(id_col).agg(*[
-        F.max(F.when(F.col("r") == i, 1).otherwise(0)).alias(f"x{i}") for i in range(k)])
-    index = list(combinations_with_replacement(range(k), 2))
-    sums = marks.agg(F.count(F.lit(1)).cast("double").alias("n"), *[
-        F.sum(F.col(f"x{i}") * F.col(f"x{j}")).cast("double").alias(f"s{i}_{j}") for i, j in index])
-
-    def corr(i: int, j: int):
-        a, b, ab = F.col(f"s{i}_{i}"), F.col(f"s{j}_{j}"), F.col(f"s{min(i, j)}_{max(i, j)}")
-        spread = F.sqrt(a * (F.col("n") - a)) * F.sqrt(b * (F.col("n") - b))
-        value = F.when(F.lit(i == j), F.lit(1.0)).when(
-            spread > 0, (F.col("n") * ab - a * b) / spread)
-        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), value.alias("corr"))
-
-    cells = sums.select(F.explode(F.array(*[corr(i, j) for i in range(k) for j in range(k)]))
-                        .alias("c")).select("c.*")
-    return (cells.join(names.toDF("i", "a"), "i").join(names.toDF("j", "b"), "j")
-            .select("a", "b", "corr"))
+    in_order = F.array_sort(F.collect_list(F.struct((-F.col("ids")).alias("o"), category)))
+    names = broadcast_if_bounded(
+        top.agg(F.transform(in_order, lambda t: t[category]).alias("_t")))  # one row, k names
+    marks = (
+        pairs.crossJoin(names).selectExpr(f"`{id_col}`", f"array_position(_t, `{category}`) AS r")
+        .where("r > 0").groupBy(id_col)
+        .agg(*[F.expr(f"max(if(r = {i + 1}, 1, 0))").alias(f"x{i}") for i in range(k)]))
+    joint = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = marks.agg(F.expr("CAST(count(1) AS DOUBLE)").alias("n"), *[
+        F.expr(f"CAST(sum(x{i} * x{j}) AS DOUBLE)").alias(f"{i}_{j}") for i, j in joint])
+    # From here on everything has at most k * k rows.
+    cells = sums.unpivot(["n"], [f"{i}_{j}" for i, j in joint], "ij", "ab").selectExpr(
+        "n", "ab", "int(split(ij, '_')[0]) AS i", "int(split(ij, '_')[1]) AS j")
+    table = cells.agg(F.expr("map_from_entries(collect_list(struct(i, ab)) FILTER (WHERE i = j))")
+                      .alias("ones"))
+    both = cells.unionByName(cells.where("i <> j").selectExpr("n", "ab", "j AS i", "i AS j"))
+    spread = "sqrt(ones[i] * (n - ones[i])) * sqrt(ones[j] * (n - ones[j]))"
+    corr = (f"CASE WHEN i = j THEN 1.0D WHEN {spread} > 0 "
+            f"THEN (n * ab - ones[i] * ones[j]) / ({spread}) END AS corr")
+    return (both.crossJoin(F.broadcast(table)).crossJoin(names)
+            .where("i < size(_t) AND j < size(_t)")
+            .selectExpr("_t[i] AS a", "_t[j] AS b", corr))
 
 
 def matrix_to_long(wide: DataFrame, label: str | None = None) -> DataFrame:
@@ -125,7 +130,5 @@ def distribution_profile(df: DataFrame, col: str, by: str, bins: int = 20) -> Da
     hist = (kept.crossJoin(F.broadcast(span)).withColumn("bin", bin_no)
             .groupBy(by, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
             .select(by, "bin", (F.col("lo") + F.col("bin") * width).alias("desde"), "n"))
-    quart = exact_quantiles(kept, [by], QUARTILES, value="x").groupBy(by).agg(*[
-        F.max(F.when(F.col("p") == p, F.col("valor"))).alias(f"q{int(p * 100)}")
-        for p in QUARTILES])
+    quart = _side_by_side(exact_quantiles(kept, [by], QUARTILES, value="x"), [by])
     return hist.join(broadcast_if_bounded(quart), by)

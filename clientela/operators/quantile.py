@@ -7,7 +7,7 @@ where to look, never the answer: ranks are counted on all rows."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientela.sources.staging import broadcast_if_bounded
@@ -23,62 +23,70 @@ def unpivot(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     return wide.unpivot(list(by), list(cols), "columna", "valor")
 
 
+def _values(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys) or "true"
+    rows = long.selectExpr(*[f"`{k}`" for k in keys], f"CAST(`{value}` AS DOUBLE) AS _x")
+    return rows.where(f"_x IS NOT NULL AND NOT isnan(_x) AND {known}")
+
+
+def sketch(long: DataFrame, keys: Sequence[str], ps: Sequence[float], value: str = "valor",
+           extra: dict[str, str] | None = None) -> DataFrame:
+    """Per key the count, range and approximate quantiles around each wanted one, and further
+    aggregates of the value `_x`."""
+    around = [max(p - MARGIN, 0.0) for p in ps] + [min(p + MARGIN, 1.0) for p in ps]
+    marks = ", ".join(f"{a!r}D" for a in around)
+    aggs = {"n": "count(_x)", "_min": "min(_x)", "_max": "max(_x)",
+            "_q": f"percentile_approx(_x, array({marks}), {ACCURACY})", **(extra or {})}
+    rows = _values(long, keys, value)
+    return rows.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
                     value: str = "valor", bounded_keys: bool = False,
-                    interpolate: bool = True) -> DataFrame:
+                    interpolate: bool = True, sketched: DataFrame | None = None) -> DataFrame:
     """Rows (keys..., p, n, valor): the quantile by linear interpolation between the two
     neighbouring order statistics, or the lower one of them if not `interpolate`.
 
     `bounded_keys` states that the keys are few by construction (column names), so their
-    brackets may be broadcast; otherwise their number is counted first."""
-    rows = long.select(*keys, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    for k in keys:
-        rows = rows.filter(F.col(k).isNotNull())
-    lows = [max(p - MARGIN, 0.0) for p in ps]
-    highs = [min(p + MARGIN, 1.0) for p in ps]
-    sketch = rows.groupBy(*keys).agg(
-        F.count("_x").alias("n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-        F.percentile_approx("_x", lows + highs, ACCURACY).alias("_q"))
-    whole = F.col("n") <= SMALL
-
-    def bracket(i: int, p: float):
-        low = F.col("_min") if p <= MARGIN else F.when(whole, F.col("_min")).otherwise(F.col("_q")[i])
-        high = (F.col("_max") if p >= 1 - MARGIN
-                else F.when(whole, F.col("_max")).otherwise(F.col("_q")[len(ps) + i]))
-        return F.struct(F.lit(float(p)).alias("p"), low.alias("_lo"), high.alias("_hi"))
-
-    wanted = F.array(*[bracket(i, p) for i, p in enumerate(ps)])
-    one_per_key = sketch.select(*keys, "n", wanted.alias("_w"))
+    brackets may be broadcast; otherwise their number is counted first. `sketched` is a stored
+    `sketch` for the same arguments."""
+    table = sketch(long, keys, ps, value) if sketched is None else sketched
+    names = [f"`{k}`" for k in keys]
+
+    def bracket(i: int, p: float) -> str:
+        low, high = f"if(n <= {SMALL}, _min, _q[{i}])", f"if(n <= {SMALL}, _max, _q[{len(ps) + i}])"
+        return (f"named_struct('i', {i}, 'lo', {'_min' if p <= MARGIN else low}, "
+                f"'hi', {'_max' if p >= 1 - MARGIN else high})")
+
+    wanted = ", ".join(bracket(i, p) for i, p in enumerate(ps))
+    brackets = table.selectExpr(*names, "n", f"array({wanted}) AS _w")
     if bounded_keys or not keys:
-        one_per_key = F.broadcast(one_per_key)
-    else:
-        one_per_key = broadcast_if_bounded(one_per_key)
-    paired = rows.join(one_per_key, list(keys)) if keys else rows.crossJoin(one_per_key)
-    split = paired.select(*keys, "n", "_x", F.explode("_w").alias("_w")).filter(
-        F.col("_x") <= F.col("_w._hi"))
-    counted = split.groupBy(
-        *keys, "n", F.col("_w.p").alias("p"),
-        F.when(F.col("_x") >= F.col("_w._lo"), F.col("_x")).alias("_x"),
-    ).agg(F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(
-        Window.partitionBy(*keys, "p").orderBy(F.col("_x").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", upto).withColumn("_h", F.col("p") * (F.col("n") - 1))
-    first = F.floor("_h") + 1  # 1-based rank of the lower neighbour
-    second = F.least(first + 1, F.col("n"))
-    inside = F.col("_x").isNotNull()
-    picked = ranked.groupBy(*keys, "p", "n", "_h").agg(
-        F.coalesce(F.max(F.when(~inside, F.col("_upto"))), F.lit(0)).alias("_below"),
-        F.min(F.when(inside & (F.col("_upto") >= first), F.col("_x"))).alias("_a"),
-        F.min(F.when(inside & (F.col("_upto") >= second), F.col("_x"))).alias("_b"))
-    missed = (F.col("_below") >= first) | F.col("_a").isNull() | F.col("_b").isNull()
-    share = F.col("_h") - F.floor("_h")
-    answer = F.col("_a") + share * (F.col("_b") - F.col("_a")) if interpolate else F.col("_a")
-    return picked.select(
-        *keys, "p", "n",
-        F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        .otherwise(answer).alias("valor"))
+        brackets = F.broadcast(brackets)
+    elif sketched is None:
+        brackets = broadcast_if_bounded(brackets)
+    rows = _values(long, keys, value)
+    paired = rows.join(brackets, list(keys)) if keys else rows.crossJoin(brackets)
+    # One count per value inside a bracket, and one for all values below it (_v null).
+    counted = (
+        paired.selectExpr(*names, "n", "_x", "inline(_w)").where("_x <= hi")
+        .selectExpr(*names, "i", "n", "if(_x >= lo, _x, null) AS _v")
+        .groupBy(*keys, "i", "_v").agg(F.expr("count(1)").alias("_c"), F.expr("max(n)").alias("n")))
+    over = ", ".join([*names, "i"])
+    share = "element_at(array({}), i + 1)".format(", ".join(f"{p!r}D" for p in ps))
+    ranked = counted.selectExpr(
+        *names, "i", "n", "_v", f"{share} * (n - 1) AS _h",
+        f"sum(_c) OVER (PARTITION BY {over} ORDER BY _v NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto")
+    picked = ranked.groupBy(*keys, "i").agg(
+        F.expr("max(n)").alias("n"), F.expr("max(_h)").alias("_h"),
+        F.expr("coalesce(max(_upto) FILTER (WHERE _v IS NULL), 0)").alias("_below"),
+        F.expr("min(_v) FILTER (WHERE _upto >= floor(_h) + 1)").alias("_a"),
+        F.expr("min(_v) FILTER (WHERE _upto >= least(floor(_h) + 2, n))").alias("_b"))
+    answer = "_a + (_h - floor(_h)) * (_b - _a)" if interpolate else "_a"
+    return picked.selectExpr(
+        *names, f"{share} AS p", "n",
+        "if(_below > floor(_h) OR _a IS NULL OR _b IS NULL, "
+        f"CAST(raise_error('quantile bracket missed its rank') AS DOUBLE), {answer}) AS valor")
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], ps: Sequence[float]) -> DataFrame:

@@ -39,17 +39,14 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] = C.RFM_COLS, k: float = 1.5)
     quart = column_quantiles(df, cols, (0.25, 0.75))
     aggs = []
     for c in cols:
-        q1 = F.max(F.when((F.col("columna") == c) & (F.col("p") == 0.25), F.col("valor")))
-        q3 = F.max(F.when((F.col("columna") == c) & (F.col("p") == 0.75), F.col("valor")))
-        aggs += [(q1 - k * (q3 - q1)).alias(f"lo_{c}"), (q3 + k * (q3 - q1)).alias(f"hi_{c}")]
+        q1, q3 = (f"max(valor) FILTER (WHERE columna = '{c}' AND p = {p}D)" for p in (0.25, 0.75))
+        aggs += [F.expr(f"{q1} - {k!r}D * ({q3} - {q1})").alias(f"lo_{c}"),
+                 F.expr(f"{q3} + {k!r}D * ({q3} - {q1})").alias(f"hi_{c}")]
     return quart.agg(*aggs)
 
 
 def iqr_filter(df: DataFrame, cols: Sequence[str] = C.RFM_COLS, k: float = 1.5) -> DataFrame:
     """Rows with every column inside its bounds, bounds included. A null is never outside."""
     bounded = df.crossJoin(F.broadcast(iqr_bounds(df, cols, k)))
-    outside = F.lit(False)
-    for c in cols:
-        off = (F.col(c) < F.col(f"lo_{c}")) | (F.col(c) > F.col(f"hi_{c}"))
-        outside = outside | F.coalesce(off, F.lit(False))
-    return bounded.filter(~outside).select(*df.columns)
+    inside = [f"coalesce(`{c}` BETWEEN `lo_{c}` AND `hi_{c}`, true)" for c in cols]
+    return bounded.where(" AND ".join(inside)).select(*df.columns)

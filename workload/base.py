@@ -4,9 +4,11 @@ Each projection exists twice, as a DataFrame and as a SQL common table expressio
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientela.functions.scalars import period
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 TIE = ("l_linenumber", "product_id", "l_suppkey", "total_actualizado", "quantity", "bill_id")
@@ -54,7 +56,7 @@ def sale_lines(spark: SparkSession, d: str, account: bool = False) -> DataFrame:
             F.when(F.col("l_returnflag") == "R", "pmi-credit-note").otherwise("pmi-bill").alias("type"),
             F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").alias("fecha"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("total_actualizado"),
-            F.date_format("l_shipdate", "yyyy-MM").alias("Periodo"),
+            period(F.col("l_shipdate")).alias("Periodo"),
             "l_linenumber", "l_suppkey", "p_size"))
 
 
@@ -95,21 +97,29 @@ ATTRIBUTED = """attributed AS (
 
 # --- price log -----------------------------------------------------------------------------
 
+def unit_cents() -> Column:
+    """Price of one unit, whole cents."""
+    cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("decimal(16,0)")
+    return (cents * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
+UNIT_CENTS = ("CAST(CAST(floor(l_extendedprice * 100 / l_quantity) AS BIGINT) * CAST(0.01 AS DECIMAL(3,2)) "
+              "AS DECIMAL(18,2))")
+
+
 def price_log(spark: SparkSession, d: str) -> DataFrame:
     """Unit prices over time: each line is an entry, and a large quantity stands for a price
     that was never filled in."""
-    price = F.bround(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("decimal(18,2)")
     return table(spark, d, "lineitem").select(
         F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("fecha"),
-        F.when(F.col("l_quantity") < 49, price).alias("precio"),
+        F.when(F.col("l_quantity") < 49, unit_cents()).alias("precio"),
         "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 
 
 PRICE_TIE = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-PRICE_LOG = """price_log AS (
+PRICE_LOG = f"""price_log AS (
   SELECT l_partkey AS product_id, l_shipdate AS fecha,
-    CASE WHEN l_quantity < 49
-      THEN CAST(round_even(l_extendedprice / l_quantity, 2) AS DECIMAL(18,2)) END AS precio,
+    CASE WHEN l_quantity < 49 THEN {UNIT_CENTS} END AS precio,
     l_orderkey, l_linenumber, l_suppkey, l_extendedprice
   FROM lineitem)"""
 LATEST = """latest AS (
@@ -172,8 +182,10 @@ def shop(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     kind = F.when(F.col("p_type").isin("PROMO", "STANDARD"), "1").otherwise("2")
     return {
         "orders": orders.select(F.col("o_orderkey").alias("ID"),
-                                F.col("o_orderpriority").alias("post_type"),
-                                F.col("o_orderstatus").alias("post_status"),
+                                F.when(F.col("o_orderpriority") == "5-LOW", "shop_quote")
+                                .otherwise("shop_order").alias("post_type"),
+                                F.when(F.col("o_orderstatus") == "P", "wc-pending")
+                                .otherwise("wc-bill").alias("post_status"),
                                 F.col("o_orderdate").alias("post_date")),
         "products": parts.select(
             (F.col("p_partkey") + 1_000_000_000).alias("product_id"), F.col("p_name").alias("titulo"),
@@ -192,15 +204,15 @@ def shop(spark: SparkSession, d: str) -> dict[str, DataFrame]:
                               F.col("l_quantity").cast("int").alias("quantity")),
         "prices": items.select(
             (F.col("l_partkey") + 1_000_000_000).alias("product_id"), F.col("l_shipdate").alias("fecha"),
-            F.bround(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("decimal(18,2)")
-            .alias("precio")),
+            unit_cents().alias("precio")),
     }
 
 
 _BILL = ("l_orderkey * 10000 + date_diff('day', DATE '1994-01-01', CAST(l_shipdate AS DATE)) * 2 "
          "+ CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END")
 SHOP = f"""s_orders AS (
-  SELECT o_orderkey AS "ID", o_orderpriority AS post_type, o_orderstatus AS post_status,
+  SELECT o_orderkey AS "ID", CASE WHEN o_orderpriority = '5-LOW' THEN 'shop_quote' ELSE 'shop_order' END AS post_type,
+    CASE WHEN o_orderstatus = 'P' THEN 'wc-pending' ELSE 'wc-bill' END AS post_status,
     o_orderdate AS post_date FROM orders),
 s_products AS (
   SELECT p_partkey + 1000000000 AS product_id, p_name AS titulo,
@@ -221,7 +233,7 @@ s_items AS (
     CAST(l_quantity AS INTEGER) AS quantity FROM lineitem),
 s_prices AS (
   SELECT l_partkey + 1000000000 AS product_id, l_shipdate AS fecha,
-    CAST(round_even(l_extendedprice / l_quantity, 2) AS DECIMAL(18,2)) AS precio FROM lineitem)"""
+    {UNIT_CENTS} AS precio FROM lineitem)"""
 
 
 def catalog(spark: SparkSession, d: str) -> DataFrame:

@@ -12,6 +12,7 @@ from clientela.operators import rfm as M
 from clientela.operators import snapshot as N
 from clientela.operators import transitions as T
 from clientela.operators.ordered import last_per_key
+from clientela.sources.staging import staged
 from workload.base import (
     ACCOUNTS, ATTRIBUTED, LATEST, LINES, PRICE_LOG, PRICE_TIE, RFM, SNAPSHOTS, STATES, TIE, TIE_SQL,
     price_log, priced_attributes, query, sale_lines, states, table, weekly_snapshots)
@@ -216,13 +217,13 @@ def _describe_sql(col: str, name: str, source: str, by: str = "") -> str:
     lead = f"{by}, " if by else ""
     x = f"CAST({col} AS DOUBLE)"
     return f"""SELECT {lead}'{name}' AS columna, count({col}) AS count, round(avg({x}), 6) AS mean,
-  round(stddev_samp({x}), 6) AS std, min({x}) AS min, max({x}) AS max, quantile_cont({x}, 0.25) AS q25,
-  quantile_cont({x}, 0.5) AS q50, quantile_cont({x}, 0.75) AS q75 FROM {source}""" + (
+  round(stddev_samp({x}), 6) AS std, min({x}) AS min, max({x}) AS max, round(quantile_cont({x}, 0.25), 6) AS q25,
+  round(quantile_cont({x}, 0.5), 6) AS q50, round(quantile_cont({x}, 0.75), 6) AS q75 FROM {source}""" + (
         f" WHERE {by} IS NOT NULL GROUP BY {by}" if by else "")
 
 
 def _described(df: DataFrame) -> DataFrame:
-    return rounded(df, 6, "mean", "std")
+    return rounded(df, 6, "mean", "std", "q25", "q50", "q75")
 
 
 @query("describe", f"""WITH {LINES}
@@ -333,12 +334,12 @@ def matrix_to_long(spark, d):
     SELECT CAST(total_actualizado AS DOUBLE) AS x FROM lines)),
 binned AS (SELECT "MARCA", CAST(least(floor((CAST(total_actualizado AS DOUBLE) - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin,
   lo, hi FROM lines, span),
-quart AS (SELECT "MARCA", quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.75) AS q75
-  FROM (SELECT "MARCA", CAST(total_actualizado AS DOUBLE) AS x FROM lines) GROUP BY 1)
+quart AS (SELECT "MARCA", round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50,
+  round(quantile_cont(x, 0.75), 6) AS q75 FROM (SELECT "MARCA", CAST(total_actualizado AS DOUBLE) AS x FROM lines) GROUP BY 1)
 SELECT b."MARCA", b.bin, round(lo + b.bin * ((hi - lo) / 20), 6) AS desde, count(*) AS n, q25, q50, q75
 FROM binned b JOIN quart USING ("MARCA") GROUP BY ALL""")
 def distribution_profile(spark, d):
-    return rounded(D.distribution_profile(sale_lines(spark, d), "total_actualizado", "MARCA"), 6, "desde")
+    return rounded(D.distribution_profile(sale_lines(spark, d), "total_actualizado", "MARCA"))
 
 
 # --- snapshot ------------------------------------------------------------------------------
@@ -440,7 +441,7 @@ def gap_distribution(spark, d):
 @query("gap_summary", f"""WITH {SNAPSHOTS}, {_gap_sql('mail')}
 SELECT * EXCLUDE (columna) FROM ({_describe_sql('gap_entre_compras', 'g', 'gaps', 'rfm')})""")
 def gap_summary(spark, d):
-    return _described(G.gap_summary(G.purchase_gap(weekly_snapshots(spark, d))))
+    return _described(G.gap_summary(staged(G.purchase_gap(weekly_snapshots(spark, d)), "gaps")))
 
 
 _PREV = """moves AS (SELECT *, lag(rfm) OVER (PARTITION BY mail ORDER BY fecha_segmentacion, event_id) AS rfm_anterior

@@ -7,9 +7,10 @@ from clientela.operators import relational as R
 from clientela.operators import transitions as T
 from clientela.operators.rfm import iqr_filter, rfm
 from clientela.plans import jobs as J
+from clientela.sources.staging import staged
 from workload.base import (
-    ACCOUNTS, ATTRIBUTED, CATALOG, LINES, RFM, SHOP, SNAPSHOTS, STATES, TIE, TIE_SQL, catalog, query,
-    sale_lines, shop, states, weekly_snapshots)
+    ACCOUNTS, ATTRIBUTED, CATALOG, LINES, RFM, SHOP, SNAPSHOTS, STATES, TIE, TIE_SQL, UNIT_CENTS, catalog,
+    query, sale_lines, shop, states, weekly_snapshots)
 from workload.customers import (
     _GAPCOLS, _LABELS, _MONO, _PREV, EDGES, FEATURES, KEPT, MATRIX, RANKED, _contents, _describe_sql,
     _described, _gap_sql, account_lines, rounded)
@@ -56,7 +57,7 @@ BASE = f"{LINES}, {RFM}, {KEPT}, {LLOYD}"
 
 
 def kept(spark, d):
-    return iqr_filter(rfm(sale_lines(spark, d)))
+    return iqr_filter(staged(rfm(sale_lines(spark, d)), "rfm"))
 
 
 def lloyd(spark, d):
@@ -139,13 +140,13 @@ def label_clusters(spark, d):
 
 # --- composed jobs -------------------------------------------------------------------------
 
-JOB_MONTH, JOB_KIND, JOB_STATUS = "1998-03", "1-URGENT", "F"
+JOB_MONTH = "1998-03"
 _TEXT = "COALESCE(titulo, '') || ' ' || COALESCE(descripcion, '')"
 MONTH_LINES = f"""raw AS (
   SELECT i.bill_id, i.product_id, i.quantity, p.titulo, p.descripcion, CAST(k.meta_value AS INTEGER) AS tipo_prd_id,
     b.post_id, b.type, b.fecha, m.meta_value AS mail
   FROM s_items i JOIN s_bills b USING (bill_id) JOIN s_orders o ON o."ID" = b.post_id
-    AND o.post_type = '{JOB_KIND}' AND o.post_status = '{JOB_STATUS}'
+    AND o.post_type = 'shop_order' AND o.post_status = 'wc-bill'
     AND o.post_date >= TIMESTAMP '1998-03-01' AND o.post_date < TIMESTAMP '1998-04-01'
   LEFT JOIN s_attributes m ON m.post_id = o."ID" AND m.meta_key = '_billing_email'
   LEFT JOIN s_products p ON p.product_id = i.product_id
@@ -170,8 +171,8 @@ month_lines AS (SELECT n.bill_id, n.product_id, CAST(q AS INTEGER) AS quantity,
 
 
 def month_lines(spark, d):
-    return J.monthly_lines(shop(spark, d), catalog(spark, d), JOB_MONTH, JOB_KIND, JOB_STATUS,
-                           J.Rules(special="Box 20"))
+    return J.monthly_lines(shop(spark, d), catalog(spark, d), JOB_MONTH,
+                           rules=J.Rules(special="Box 20"))
 
 
 @query("monthly_lines", f"WITH {SHOP}, {CATALOG}, {MONTH_LINES} SELECT * FROM month_lines")
@@ -184,9 +185,8 @@ _ACC_MONTH = "2001-10"
 
 
 @query("accumulate", f"""WITH {LINES}, prices AS (SELECT product_id, precio FROM (
-    SELECT l_partkey AS product_id, CAST(round_even(l_extendedprice / l_quantity, 2) AS DECIMAL(18,2)) AS precio,
-      row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC,
-        CAST(round_even(l_extendedprice / l_quantity, 2) AS DECIMAL(18,2)) DESC) AS rn
+    SELECT l_partkey AS product_id, {UNIT_CENTS} AS precio,
+      row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, {UNIT_CENTS} DESC) AS rn
     FROM lineitem WHERE l_partkey IN (SELECT product_id FROM lines WHERE "Periodo" = '{_ACC_MONTH}')) WHERE rn = 1),
 top AS (SELECT product_id FROM lines WHERE "Periodo" = '{_ACC_MONTH}' GROUP BY 1 ORDER BY sum(quantity) DESC, 1 LIMIT 4),
 old AS (SELECT CAST(total_actualizado AS DOUBLE) / quantity AS viejo FROM (
@@ -261,7 +261,7 @@ NOW = "now AS (SELECT * FROM gaps WHERE fecha_segmentacion = DATE '2024-01-15')"
 SELECT d.*, s.* EXCLUDE (rfm, columna) FROM (SELECT rfm, segmento_gap, count(DISTINCT mail) AS cantidad_de_clientes,
   count(*) AS filas FROM now GROUP BY 1, 2) d JOIN ({_describe_sql('gap_entre_compras', 'g', 'now', 'rfm')}) s ON s.rfm = d.rfm""")
 def gap_report(spark, d):
-    dist, summary = J.gap_report(history(spark, d), "2024-01-15")
+    dist, summary = J.gap_report(staged(history(spark, d), "history"), "2024-01-15")
     return dist.join(_described(summary), "rfm")
 
 

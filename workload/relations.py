@@ -26,10 +26,10 @@ def read_table_(spark, d):
 
 
 @query("orders_in_month", f"""WITH {SHOP}
-SELECT * FROM s_orders WHERE post_type = '1-URGENT' AND post_status = 'F'
+SELECT * FROM s_orders WHERE post_type = 'shop_order' AND post_status = 'wc-bill'
   AND post_date >= TIMESTAMP '1998-03-01' AND post_date < TIMESTAMP '1998-04-01'""")
 def orders_in_month(spark, d):
-    return L.orders_in_month(shop(spark, d)["orders"], "1998-03", "1-URGENT", "F", ordered=True)
+    return L.orders_in_month(shop(spark, d)["orders"], "1998-03", ordered=True)
 
 
 @query("eav_attribute", f"""WITH {SHOP}
@@ -47,10 +47,10 @@ def eav_pivot(spark, d):
 
 
 @query("fetch_by_keys", f"""WITH {SHOP}
-SELECT * FROM s_bills WHERE post_id IN (SELECT "ID" FROM s_orders WHERE post_status = 'F')""")
+SELECT * FROM s_bills WHERE post_id IN (SELECT "ID" FROM s_orders WHERE post_status = 'wc-pending')""")
 def fetch_by_keys(spark, d):
     t = shop(spark, d)
-    keys = t["orders"].filter("post_status = 'F'").select(F.col("ID").alias("post_id"))
+    keys = t["orders"].filter("post_status = 'wc-pending'").select(F.col("ID").alias("post_id"))
     return R.fetch_by_keys(t["bills"], keys, "post_id")
 
 

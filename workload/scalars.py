@@ -245,7 +245,8 @@ def gap_bucket(spark, d):
 
 @query("round_money", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
-  round_even(CAST(l_extendedprice AS DECIMAL(18,2)) / 8, 2)::DOUBLE AS valor FROM lineitem""")
+  (c // 8 + CASE WHEN c % 8 > 4 OR (c % 8 = 4 AND c // 8 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE AS valor
+FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS c FROM lineitem)""")
 def round_money(spark, d):
     return table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
