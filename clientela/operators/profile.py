@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientela.operators.quantile import column_quantiles, exact_quantiles, sketch, unpivot
-from clientela.sources.staging import broadcast_if_bounded
+from clientela.sources.staging import broadcast_if_bounded, staged
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -73,32 +73,33 @@ def onehot_correlation(df: DataFrame, id_col: str, category: str, k: int = 10) -
     the ids that have any of them.
 
     Categories become k indicator columns by their rank, so an id is one row however many
-    lines it has, no pairs are formed, and one aggregation gives all joint sums."""
-    pairs = df.select(id_col, category).na.drop().distinct()
+    lines it has, no pairs are formed, and one aggregation gives all joint sums. The distinct
+    (id, category) rows are stored, since ranking and indicators both read them."""
+    pairs = staged(df.select(id_col, category).na.drop().distinct(), "pairs")
     top = (pairs.groupBy(category).agg(F.count(F.lit(1)).alias("ids"))
            .orderBy(F.col("ids").desc(), category).limit(k))
     in_order = F.array_sort(F.collect_list(F.struct((-F.col("ids")).alias("o"), category)))
-    names = broadcast_if_bounded(
-        top.agg(F.transform(in_order, lambda t: t[category]).alias("_t")))  # one row, k names
+    names = F.broadcast(top.agg(F.transform(in_order, lambda t: t[category]).alias("_t")))  # one row
     marks = (
         pairs.crossJoin(names).selectExpr(f"`{id_col}`", f"array_position(_t, `{category}`) AS r")
         .where("r > 0").groupBy(id_col)
         .agg(*[F.expr(f"max(if(r = {i + 1}, 1, 0))").alias(f"x{i}") for i in range(k)]))
-    joint = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = marks.agg(F.expr("CAST(count(1) AS DOUBLE)").alias("n"), *[
-        F.expr(f"CAST(sum(x{i} * x{j}) AS DOUBLE)").alias(f"{i}_{j}") for i, j in joint])
-    # From here on everything has at most k * k rows.
-    cells = sums.unpivot(["n"], [f"{i}_{j}" for i, j in joint], "ij", "ab").selectExpr(
-        "n", "ab", "int(split(ij, '_')[0]) AS i", "int(split(ij, '_')[1]) AS j")
-    table = cells.agg(F.expr("map_from_entries(collect_list(struct(i, ab)) FILTER (WHERE i = j))")
-                      .alias("ones"))
-    both = cells.unionByName(cells.where("i <> j").selectExpr("n", "ab", "j AS i", "i AS j"))
-    spread = "sqrt(ones[i] * (n - ones[i])) * sqrt(ones[j] * (n - ones[j]))"
-    corr = (f"CASE WHEN i = j THEN 1.0D WHEN {spread} > 0 "
-            f"THEN (n * ab - ones[i] * ones[j]) / ({spread}) END AS corr")
-    return (both.crossJoin(F.broadcast(table)).crossJoin(names)
-            .where("i < size(_t) AND j < size(_t)")
-            .selectExpr("_t[i] AS a", "_t[j] AS b", corr))
+    sums = marks.agg(F.expr("CAST(count(1) AS DOUBLE)").alias("n"), F.array(*[
+        F.expr(f"CAST(sum(x{i} * x{j}) AS DOUBLE)") for i in range(k) for j in range(i, k)]).alias("s"))
+
+    def joint(i: str, j: str) -> str:
+        """Element of the upper triangle, stored row by row."""
+        lo, hi = f"least({i}, {j})", f"greatest({i}, {j})"
+        return f"s[int({lo} * {k} - {lo} * ({lo} - 1) / 2 + {hi} - {lo})]"
+
+    cells = sums.crossJoin(names).selectExpr("n", "s", "_t", f"explode(sequence(0, {k * k - 1})) AS c")
+    parts = cells.selectExpr("n", "s", "_t", f"int(c div {k}) AS i", f"int(c % {k}) AS j").where(
+        "i < size(_t) AND j < size(_t)").selectExpr(
+        "_t[i] AS a", "_t[j] AS b", "i = j AS same", "n", f"{joint('i', 'i')} AS na",
+        f"{joint('j', 'j')} AS nb", f"{joint('i', 'j')} AS nab")
+    spread = "sqrt(na * (n - na)) * sqrt(nb * (n - nb))"
+    return parts.selectExpr("a", "b", f"""CASE WHEN same THEN 1.0D
+        WHEN {spread} > 0 THEN (n * nab - na * nb) / ({spread}) END AS corr""")
 
 
 def matrix_to_long(wide: DataFrame, label: str | None = None) -> DataFrame:
