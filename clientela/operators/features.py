@@ -11,11 +11,12 @@ PUBLISHED = ["mail", "Multimarca", "mezcla_en_misma_compra", "consume_combo", "F
 
 
 def _per_bill(lines: DataFrame, extra: dict) -> DataFrame:
-    """First aggregation step: one row per (customer, bill)."""
+    """First aggregation step: one row per (bill, customer). The numeric key comes first, which
+    makes the sort of the sort-based aggregation cheap."""
     main = F.col("tipo_prd_id") == C.KIND_MAIN
     brand = F.when(main, F.col("MARCA"))
     flag = lambda cond: F.max(F.when(cond, 1).otherwise(0))
-    return lines.filter(F.col("mail").isNotNull()).groupBy("mail", "bill_id").agg(
+    return lines.filter(F.col("mail").isNotNull()).groupBy("bill_id", "mail").agg(
         flag(F.col("tipo_prd_id") == C.KIND_OTHER).alias("otros"),
         flag(main).alias("main"),
         flag(main & F.col("MARCA").isNull()).alias("no_brand"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientela import contracts as C
 from clientela.functions import scalars as S
-from clientela.operators.ordered import neighbour
+from clientela.operators.ordered import HOT_ROWS, neighbour
 from clientela.operators.relational import (
     drop_returns, fetch_by_keys, fill_defaults, first_per_key, lookup_join, require)
 
@@ -65,7 +65,8 @@ def assemble_lines(orders: DataFrame, emails: DataFrame, bills: DataFrame, items
 
 def net_credit_notes(lines: DataFrame, text: str = "titulo_descripcion",
                      product: str = "product_id", order: str = "post_id",
-                     tie: Sequence[str] = ("bill_id", "quantity"), unit: str = "day") -> DataFrame:
+                     tie: Sequence[str] = ("bill_id", "quantity"), unit: str = "hour",
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
     """Subtract a credit note from the row it follows.
 
     Rows are ordered by (order, text, date). A note directly after a row of the same order and
@@ -73,7 +74,7 @@ def net_credit_notes(lines: DataFrame, text: str = "titulo_descripcion",
     at most once, by the row after it, so one look ahead is enough.
 
     A product has one text, so rows of one product are neighbours only within (order, text):
-    this is the group, and it is cut further by time for orders with very many lines."""
+    this is the group. One of more than `hot_rows` lines is cut further by time."""
     keyed = (
         lines.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
         .withColumn("_none", F.col(text).isNull())
@@ -82,7 +83,8 @@ def net_credit_notes(lines: DataFrame, text: str = "titulo_descripcion",
     ahead = neighbour(keyed, ["_order", "_none", "_text"], ["fecha", *tie],
                       [product, "type", "fecha", "quantity"], "_next",
                       chunk=F.coalesce(F.date_trunc(unit, "fecha").cast("timestamp_ntz"),
-                                       F.lit("9999-12-31").cast("timestamp_ntz")), forward=True)
+                                       F.lit("9999-12-31").cast("timestamp_ntz")), forward=True,
+                      hot_rows=hot_rows)
     nxt = F.col("_next")
     hit = ((nxt["type"] == C.CREDIT_NOTE) & (nxt[product] == F.col(product))
            & (nxt["fecha"] > F.col("fecha")))

@@ -6,10 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+HOT_ROWS = 1_000_000   # rows of one key that a single task may sort
+
+
 def order_key(cols: Sequence[str]) -> Column:
-    """One comparable value for several columns, nulls last."""
-    parts = [p for c in cols for p in (F.col(c).isNull(), F.col(c))]
-    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+    """One comparable value for several columns. Nulls of the first sort last; those of the tie
+    columns after it sort first."""
+    first = F.col(cols[0])
+    return F.struct(first.isNull().alias("k"), first.alias("k0"),
+                    *[F.col(c).alias(f"k{i}") for i, c in enumerate(cols[1:], 1)])
+
+
+def ordering(cols: Sequence[str]) -> list[Column]:
+    """The same order for a window."""
+    return [F.col(cols[0]).asc_nulls_last(), *[F.col(c).asc() for c in cols[1:]]]
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Hashes `_h` of keys with more than `rows` rows, by a heavy-hitter sketch: one narrow pass,
+    at most 10,000 rows out. The sketch decides how work is split, not what results are."""
+    hashes = df.select(F.xxhash64(*keys).alias("_h"))
+    return (hashes.agg(F.expr("approx_top_k(_h, 10000, 100000)").alias("t"))
+            .selectExpr("inline(t)").where(F.col("count") > rows)
+            .select(F.col("item").alias("_h"), F.lit(True).alias("_hot")))
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,26 +50,29 @@ def _edge_row(df, key, order, pick) -> DataFrame:
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-              out: str, chunk: Column | None = None, forward: bool = False) -> DataFrame:
+              out: str, chunk: Column | None = None, forward: bool = False,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `out`: a struct of `values` from the row before (or after) within its key, null if
     there is none.
 
-    `chunk` must not decrease along `order` (a truncated time, say) and keys must not be null.
-    It splits a key into pieces that are sorted in separate tasks; the row across a piece
-    boundary comes from a small table with one row per (key, piece). So a key that holds a
-    large share of all rows is not sorted by one task. Without it this is a plain window.
-    """
+    `chunk` must not decrease along `order` (a truncated time, say) nor be null, as keys must
+    not be. It cuts keys of more than `hot_rows` rows into pieces that are sorted in separate
+    tasks; the row across a piece boundary comes from a table with one row per (key, piece).
+    Where no key is hot that table is empty and what remains is a plain window. Without `chunk`
+    it is always a plain window."""
     shift = F.lead if forward else F.lag
     pick = F.min_by if forward else F.max_by
     packed = F.struct(*values)
-    ordering = [F.col(c).asc_nulls_last() for c in order]
     if chunk is None:
-        return df.withColumn(out, shift(packed).over(Window.partitionBy(*keys).orderBy(*ordering)))
-    pieces = df.withColumn("_chunk", chunk)
-    inside = pieces.withColumn(
-        "_in", shift(packed).over(Window.partitionBy(*keys, "_chunk").orderBy(*ordering)))
+        window = Window.partitionBy(*keys).orderBy(*ordering(order))
+        return df.withColumn(out, shift(packed).over(window))
+    hot = F.broadcast(hot_keys(df, keys, hot_rows))
+    pieces = (df.withColumn("_h", F.xxhash64(*keys)).join(hot, "_h", "left")
+              .withColumn("_chunk", F.when(F.col("_hot"), chunk)))
+    window = Window.partitionBy(*keys, "_chunk").orderBy(*ordering(order))
+    inside = pieces.withColumn("_in", shift(packed).over(window))
     across = (
-        pieces.groupBy(*keys, "_chunk")
+        pieces.filter(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk")
         .agg(pick(packed, order_key(order)).alias("_edge"))
         .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy("_chunk")))
         .filter(F.col("_edge").isNotNull())

@@ -52,14 +52,12 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
     `sketch` for the same arguments."""
     table = sketch(long, keys, ps, value) if sketched is None else sketched
     names = [f"`{k}`" for k in keys]
-
-    def bracket(i: int, p: float) -> str:
-        low, high = f"if(n <= {SMALL}, _min, _q[{i}])", f"if(n <= {SMALL}, _max, _q[{len(ps) + i}])"
-        return (f"named_struct('i', {i}, 'lo', {'_min' if p <= MARGIN else low}, "
-                f"'hi', {'_max' if p >= 1 - MARGIN else high})")
-
-    wanted = ", ".join(bracket(i, p) for i, p in enumerate(ps))
-    brackets = table.selectExpr(*names, "n", f"array({wanted}) AS _w")
+    # A small group has one bracket, its whole range; a large one has a bracket per quantile.
+    wide = "named_struct('i', -1, 'lo', _min, 'hi', _max)"
+    narrow = ", ".join(
+        f"named_struct('i', {i}, 'lo', {'_min' if p <= MARGIN else f'_q[{i}]'}, "
+        f"'hi', {'_max' if p >= 1 - MARGIN else f'_q[{len(ps) + i}]'})" for i, p in enumerate(ps))
+    brackets = table.selectExpr(*names, "n", f"if(n <= {SMALL}, array({wide}), array({narrow})) AS _w")
     if bounded_keys or not keys:
         brackets = F.broadcast(brackets)
     elif sketched is None:
@@ -71,21 +69,23 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
         paired.selectExpr(*names, "n", "_x", "inline(_w)").where("_x <= hi")
         .selectExpr(*names, "i", "n", "if(_x >= lo, _x, null) AS _v")
         .groupBy(*keys, "i", "_v").agg(F.expr("count(1)").alias("_c"), F.expr("max(n)").alias("n")))
-    over = ", ".join([*names, "i"])
-    share = "element_at(array({}), i + 1)".format(", ".join(f"{p!r}D" for p in ps))
     ranked = counted.selectExpr(
-        *names, "i", "n", "_v", f"{share} * (n - 1) AS _h",
-        f"sum(_c) OVER (PARTITION BY {over} ORDER BY _v NULLS FIRST "
+        *names, "i", "n", "_v",
+        f"sum(_c) OVER (PARTITION BY {', '.join([*names, 'i'])} ORDER BY _v NULLS FIRST "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto")
-    picked = ranked.groupBy(*keys, "i").agg(
-        F.expr("max(n)").alias("n"), F.expr("max(_h)").alias("_h"),
-        F.expr("coalesce(max(_upto) FILTER (WHERE _v IS NULL), 0)").alias("_below"),
-        F.expr("min(_v) FILTER (WHERE _upto >= floor(_h) + 1)").alias("_a"),
-        F.expr("min(_v) FILTER (WHERE _upto >= least(floor(_h) + 2, n))").alias("_b"))
-    answer = "_a + (_h - floor(_h)) * (_b - _a)" if interpolate else "_a"
+    aggs, cells = [F.expr("max(n)").alias("n")], []
+    for i, p in enumerate(ps):
+        mine, at = f"i IN (-1, {i})", f"floor({p!r}D * (n - 1))"
+        aggs += [
+            F.expr(f"coalesce(max(_upto) FILTER (WHERE {mine} AND _v IS NULL), 0)").alias(f"_u{i}"),
+            F.expr(f"min(_v) FILTER (WHERE {mine} AND _upto >= {at} + 1)").alias(f"_a{i}"),
+            F.expr(f"min(_v) FILTER (WHERE {mine} AND _upto >= least({at} + 2, n))").alias(f"_b{i}")]
+        cells.append(f"named_struct('p', {p!r}D, 'u', _u{i}, 'a', _a{i}, 'b', _b{i})")
+    picked = ranked.groupBy(*keys).agg(*aggs).selectExpr(*names, "n", f"inline(array({', '.join(cells)}))")
+    rank = "p * (n - 1)"
+    answer = f"a + ({rank} - floor({rank})) * (b - a)" if interpolate else "a"
     return picked.selectExpr(
-        *names, f"{share} AS p", "n",
-        "if(_below > floor(_h) OR _a IS NULL OR _b IS NULL, "
+        *names, "p", "n", f"if(u > floor({rank}) OR a IS NULL OR b IS NULL, "
         f"CAST(raise_error('quantile bracket missed its rank') AS DOUBLE), {answer}) AS valor")
 
 

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientela import contracts as C
-from clientela.operators.ordered import neighbour
+from clientela.operators.ordered import HOT_ROWS, neighbour
 
 LABELS = (C.LOST, C.AT_RISK, C.LOYAL)
 
 
-def previous_state(snap: DataFrame, tie: Sequence[str] = (), unit: str = "month") -> DataFrame:
+def previous_state(snap: DataFrame, tie: Sequence[str] = (), unit: str = "month",
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `rfm_anterior`, the customer's label in the snapshot before."""
     known = snap.filter(F.col("mail").isNotNull())
     chunk = F.coalesce(F.date_trunc(unit, "fecha_segmentacion").cast("timestamp_ntz"),
                        F.lit("9999-12-31").cast("timestamp_ntz"))
-    prev = neighbour(known, ["mail"], ["fecha_segmentacion", *tie], ["rfm"], "_prev", chunk=chunk)
+    prev = neighbour(known, ["mail"], ["fecha_segmentacion", *tie], ["rfm"], "_prev", chunk=chunk,
+                     hot_rows=hot_rows)
     return prev.select(*snap.columns, F.col("_prev.rfm").alias("rfm_anterior"))
 
 

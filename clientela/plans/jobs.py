@@ -13,6 +13,9 @@ from clientela.operators import transitions
 from clientela.operators.rfm import date_anchor, iqr_filter
 from clientela.sources.staging import staged
 
+ACTIVE_COLUMNS = ("mail", "bill_id", "fecha", "Periodo", "titulo", "tipo_prd_id", "MARCA",
+                  "CATEGORÍA", "Combo", "Presentacion", "total_actualizado")
+
 
 @dataclasses.dataclass(frozen=True)
 class Rules:
@@ -76,9 +79,12 @@ def segment_rfm(rfm: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def segment_customers(history: DataFrame, as_of, date, rules: Rules = Rules()) -> DataFrame:
     """Snapshot of the customers active in the year before `as_of`, dated `date`.
 
-    Features and RFM come from one pass over the active lines. The per-customer table is stored
-    once, and clustering carries it along, so features and labels need no join."""
-    active = relational.require(relational.active_customers(history, as_of), ["total_actualizado"])
+    The active lines are stored, in the columns that are read again: features with RFM, the
+    latest date and the texts each scan them. Features and RFM come from one pass, and the
+    clustering carries the customer's row along, so features and labels need no join."""
+    recent = relational.require(relational.active_customers(history, as_of), ["total_actualizado"])
+    wanted = dict.fromkeys((*ACTIVE_COLUMNS, *rules.tie))
+    active = staged(recent.select(*[F.col(f"`{c}`") for c in wanted]), "active")
     profile = staged(features.customer_profile(active, date_anchor(active), rules.zero_is_multi),
                      "profile")
     labelled = segment_rfm(profile, rules)

@@ -427,6 +427,12 @@ def purchase_gap(spark, d):
     return G.purchase_gap(weekly_snapshots(spark, d))
 
 
+@query("purchase_gap_split", f"WITH {SNAPSHOTS}, {_gap_sql('mail')} SELECT {_GAPCOLS} FROM gaps")
+def purchase_gap_split(spark, d):
+    """With every customer treated as a hot one."""
+    return G.purchase_gap(weekly_snapshots(spark, d), unit="week", hot_rows=0)
+
+
 @query("purchase_gap_within_label", f"WITH {SNAPSHOTS}, {_gap_sql('mail, rfm')} SELECT {_GAPCOLS} FROM gaps")
 def purchase_gap_within_label(spark, d):
     return G.purchase_gap(weekly_snapshots(spark, d), within_label=True)
@@ -453,6 +459,12 @@ def previous_state(spark, d):
     return T.previous_state(states(spark, d), tie=("event_id",), unit="day")
 
 
+@query("previous_state_split", f"WITH {STATES}, {_PREV} SELECT * FROM moves")
+def previous_state_split(spark, d):
+    """With every customer treated as a hot one."""
+    return T.previous_state(states(spark, d), tie=("event_id",), unit="day", hot_rows=0)
+
+
 EDGES = """edges AS (SELECT rfm_anterior, rfm, count(*) AS cantidad FROM moves WHERE rfm_anterior IS NOT NULL
   GROUP BY 1, 2)"""
 

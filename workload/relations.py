@@ -260,18 +260,28 @@ def broadcast_scalar(spark, d):
 
 # --- windows, sorts, sets ------------------------------------------------------------------
 
-@query("net_credit_notes", f"""WITH {LINES}, seen AS (
+NETTED = f"""WITH {LINES}, seen AS (
   SELECT *, lead(type) OVER w AS nt, lead("MARCA") OVER w AS nm, lead(fecha) OVER w AS nf,
     lead(quantity) OVER w AS nq FROM lines
   WINDOW w AS (PARTITION BY post_id ORDER BY "MARCA", fecha, {TIE_SQL}))
 SELECT post_id, product_id, "MARCA", l_linenumber, l_suppkey, type, fecha, total_actualizado,
   CASE WHEN nt = 'pmi-credit-note' AND nm = "MARCA" AND nf > fecha THEN quantity - nq ELSE quantity END AS quantity
-FROM seen""")
+FROM seen"""
+_NET_COLS = ("post_id", "product_id", "MARCA", "l_linenumber", "l_suppkey", "type", "fecha",
+             "total_actualizado", "quantity")
+
+
+@query("net_credit_notes", NETTED)
 def net_credit_notes(spark, d):
-    lines = sale_lines(spark, d)
-    net = L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE)
-    return net.select("post_id", "product_id", "MARCA", "l_linenumber", "l_suppkey", "type", "fecha",
-                      "total_actualizado", "quantity")
+    lines = sale_lines(spark, d).select("bill_id", *_NET_COLS)
+    return L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE).select(*_NET_COLS)
+
+
+@query("net_credit_notes_split", NETTED)
+def net_credit_notes_split(spark, d):
+    """With every recognised group treated as a hot one."""
+    lines = sale_lines(spark, d).select("bill_id", *_NET_COLS)
+    return L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE, hot_rows=0).select(*_NET_COLS)
 
 
 @query("last_per_key", """
