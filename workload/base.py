@@ -26,8 +26,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Stated schemas spare a footer-reading job per table.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{d}/{name}.parquet")
 
 
 # --- sale lines ----------------------------------------------------------------------------
@@ -35,29 +48,21 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def sale_lines(spark: SparkSession, d: str, account: bool = False) -> DataFrame:
     """Sale lines. `account` makes one customer of each (customer, order year), which leaves
     few enough lines per customer for brand and category flags to differ."""
-    who = F.col("o_custkey").cast("string")
-    if account:
-        who = F.concat(who, F.lit("-"), F.year("o_orderdate").cast("string"))
-    orders = table(spark, d, "orders").select("o_orderkey", who.alias("mail"))
-    parts = table(spark, d, "part").select(
-        F.col("p_partkey"), F.col("p_name").alias("titulo"), F.col("p_type").alias("descripcion"),
-        F.col("p_brand").alias("MARCA"),
-        F.when(F.col("p_size") <= 35, "FF").otherwise("other").alias("CATEGORÍA"),
-        F.when(F.col("p_type").isin("PROMO", "STANDARD"), 1).otherwise(2).alias("tipo_prd_id"),
-        "p_size")
-    return (
-        table(spark, d, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "mail", F.col("l_orderkey").alias("post_id"), F.col("l_orderkey").alias("bill_id"),
-            F.col("l_partkey").alias("product_id"), "titulo", "descripcion", "MARCA", "CATEGORÍA",
-            "tipo_prd_id",
-            F.when(F.col("l_returnflag") == "R", "pmi-credit-note").otherwise("pmi-bill").alias("type"),
-            F.col("l_quantity").cast("int").alias("quantity"), F.col("l_shipdate").alias("fecha"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("total_actualizado"),
-            period(F.col("l_shipdate")).alias("Periodo"),
-            "l_linenumber", "l_suppkey", "p_size"))
+    who = "CAST(o_custkey AS STRING)" + (" || '-' || year(o_orderdate)" if account else "")
+    orders = table(spark, d, "orders").selectExpr("o_orderkey AS l_orderkey", f"{who} AS mail")
+    parts = table(spark, d, "part").selectExpr(
+        "p_partkey AS l_partkey", "p_name AS titulo", "p_type AS descripcion", "p_brand AS MARCA",
+        "if(p_size <= 35, 'FF', 'other') AS `CATEGORÍA`",
+        "if(p_type IN ('PROMO', 'STANDARD'), 1, 2) AS tipo_prd_id", "p_size")
+    joined = table(spark, d, "lineitem").join(orders, "l_orderkey").join(parts, "l_partkey")
+    return joined.select(
+        *[F.expr(e) for e in (
+            "mail", "l_orderkey AS post_id", "l_orderkey AS bill_id", "l_partkey AS product_id",
+            "titulo", "descripcion", "MARCA", "`CATEGORÍA`", "tipo_prd_id",
+            "if(l_returnflag = 'R', 'pmi-credit-note', 'pmi-bill') AS type",
+            "CAST(l_quantity AS INT) AS quantity", "l_shipdate AS fecha",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS total_actualizado")],
+        period(F.col("l_shipdate")).alias("Periodo"), "l_linenumber", "l_suppkey", "p_size")
 
 
 def _lines_sql(name: str, who: str) -> str:
