@@ -62,17 +62,20 @@ def with_pattern(flags: DataFrame) -> DataFrame:
                             S.pattern_label(F.col("Multimarca"), F.col("FF")))
 
 
-def customer_profile(lines: DataFrame, anchor: DataFrame, zero_is_multi: bool = False) -> DataFrame:
-    """Features and RFM of each customer from one pass over the lines. `anchor` is a one-row
-    frame with the latest date, `max_fecha`."""
+def customer_profile(lines: DataFrame, zero_is_multi: bool = False) -> DataFrame:
+    """Features, value, frequency and last purchase of each customer, in one pass."""
     bills = _per_bill(lines, {
         "total": F.sum("total_actualizado"), "n": F.count("fecha"), "last": F.max("fecha")})
-    both = _per_customer(bills, zero_is_multi, {
+    return with_pattern(_per_customer(bills, zero_is_multi, {
         "ValorMonetario": F.coalesce(F.sum("total").cast("double"), F.lit(0.0)),
-        "Frecuencia": F.sum("n"), "ultima_compra": F.max("last")})
-    recency = S.elapsed_days(F.col("ultima_compra"), F.col("max_fecha"))
-    return (with_pattern(both).crossJoin(F.broadcast(anchor.select("max_fecha")))
-            .withColumn("Recencia", recency).drop("max_fecha"))
+        "Frecuencia": F.sum("n"), "ultima_compra": F.max("last")}))
+
+
+def with_recency(profile: DataFrame) -> DataFrame:
+    """Whole days from each last purchase to the latest of all."""
+    latest = F.broadcast(profile.agg(F.max("ultima_compra").alias("_max")))
+    return profile.crossJoin(latest).withColumn(
+        "Recencia", S.elapsed_days(F.col("ultima_compra"), F.col("_max"))).drop("_max")
 
 
 def mixed_brand_bills(lines: DataFrame) -> DataFrame:

@@ -50,14 +50,15 @@ def assemble_lines(orders: DataFrame, emails: DataFrame, bills: DataFrame, items
 
     Items drive: every item of a bill of these orders gives a line. An order with several
     e-mails keeps the smallest, so lines do not fan out. `keep_unmailed=False` drops orders
-    without an e-mail."""
-    mails = emails.groupBy("post_id").agg(F.min("mail").alias("mail"))
-    how = "left" if keep_unmailed else "inner"
-    mailed = orders.select(F.col("ID").alias("post_id")).distinct().join(mails, "post_id", how)
-    billed = bills.join(mailed, "post_id", "inner")
+    without an e-mail. Every large table is cut down to the given orders before anything else
+    is joined to it; where the orders are few, those cuts are broadcast joins."""
+    ids = orders.select(F.col("ID").alias("post_id")).distinct()
+    mails = fetch_by_keys(emails, ids, "post_id").groupBy("post_id").agg(F.min("mail").alias("mail"))
+    billed = bills.join(ids, "post_id").join(mails, "post_id", "left" if keep_unmailed else "inner")
+    sold = items.join(billed, "bill_id")
     one_kind = kinds.groupBy("product_id").agg(F.max("tipo_prd_id").alias("tipo_prd_id"))
-    described = items.join(products, "product_id", "left").join(one_kind, "product_id", "left")
-    return described.join(billed, "bill_id", "inner").select(
+    described = sold.join(products, "product_id", "left").join(one_kind, "product_id", "left")
+    return described.select(
         "bill_id", "product_id", "quantity", "titulo", "descripcion",
         S.coerce_int(F.col("tipo_prd_id"), 0).cast("int").alias("tipo_prd_id"),
         "post_id", "type", "fecha", "mail")
@@ -134,9 +135,8 @@ def month_lines(tables: dict[str, DataFrame], month: str, kind: str = C.ORDER_TY
     products."""
     orders = orders_in_month(tables["orders"], month, kind, status)
     meta = tables["attributes"]
-    bills = fetch_by_keys(tables["bills"], orders.select(F.col("ID").alias("post_id")), "post_id")
     raw = assemble_lines(
-        orders, eav_attribute(meta, C.EMAIL_KEY, "mail"), bills, tables["items"],
+        orders, eav_attribute(meta, C.EMAIL_KEY, "mail"), tables["bills"], tables["items"],
         tables["products"],
         eav_attribute(meta, C.KIND_KEY, "tipo_prd_id").withColumnRenamed("post_id", "product_id"),
         keep_unmailed=not v1)

@@ -46,11 +46,12 @@ def last_two_contents(lines: DataFrame, distinct: bool = True,
 def products_of_monobrand(lines: DataFrame, features: DataFrame, style: str = "joined",
                           tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
     """Different main-product titles of each single-brand customer, in first-purchase order.
-    `style="list"` gives the bracketed form."""
+    `style="list"` gives the bracketed form. Customers are picked after the lines have been
+    merged, when both sides are already spread by customer."""
     single = features.filter(F.col("Multimarca") == 0).select("mail")
-    main = lines.filter(F.col("tipo_prd_id") == C.KIND_MAIN).join(single, "mail", "left_semi")
-    return joined_text(main, ["mail"], "titulo", ["fecha", *tie], "producto_que_consume",
-                       style=style)
+    main = lines.filter((F.col("tipo_prd_id") == C.KIND_MAIN) & F.col("mail").isNotNull())
+    texts = joined_text(main, ["mail"], "titulo", ["fecha", *tie], "producto_que_consume", style=style)
+    return texts.join(single, "mail", "left_semi")
 
 
 def segment_join(features: DataFrame, rfm: DataFrame) -> DataFrame:

@@ -10,11 +10,10 @@ from clientela import contracts as C
 from clientela.functions import scalars as S
 from clientela.operators import cluster, features, gaps, lines, pricing, relational, snapshot
 from clientela.operators import transitions
-from clientela.operators.rfm import date_anchor, iqr_filter
-from clientela.sources.staging import staged
+from clientela.operators.rfm import iqr_filter
+from clientela.sources.staging import broadcast_if_bounded, staged
 
-ACTIVE_COLUMNS = ("mail", "bill_id", "fecha", "Periodo", "titulo", "tipo_prd_id", "MARCA",
-                  "CATEGORÍA", "Combo", "Presentacion", "total_actualizado")
+PRICE_ROWS = 1_000_000   # products whose prices may be broadcast, two numbers each
 
 
 @dataclasses.dataclass(frozen=True)
@@ -43,8 +42,8 @@ def monthly_lines(tables: dict[str, DataFrame], catalog: DataFrame, month: str,
     """Net, formatted, catalogued and priced sale lines of one month."""
     formatted = lines.month_lines(tables, month, kind, status, rules.v1, rules.special)
     named = lines.enrich_catalog(formatted, catalog, default_category=not rules.v1)
-    return lines.attach_latest_price(named, month_prices(tables["prices"], named),
-                                     None if rules.v1 else 0)
+    prices = broadcast_if_bounded(pricing.latest_price(tables["prices"]), PRICE_ROWS)
+    return lines.attach_latest_price(named, prices, None if rules.v1 else 0)
 
 
 def month_prices(log: DataFrame, month: DataFrame) -> DataFrame:
@@ -55,9 +54,11 @@ def month_prices(log: DataFrame, month: DataFrame) -> DataFrame:
 def accumulate(history: DataFrame | None, current: DataFrame, prices: DataFrame,
                period: str | None = None, tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
     """History at current money plus the month. Reads the previous month's version and gives a
-    new one, so a repeated run starts from the same input and changes nothing."""
+    new one, so a repeated run starts from the same input and changes nothing. With prices few
+    enough to broadcast, the history is not shuffled."""
     if history is None:
         return current
+    prices = broadcast_if_bounded(prices, PRICE_ROWS)
     index = pricing.basket_index(current, prices, history, tie=tie)
     repriced = pricing.reprice_history(history, prices, index)
     return relational.upsert_period(repriced, current, period=period)
@@ -76,19 +77,33 @@ def segment_rfm(rfm: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return cluster.label_clusters(grouped, rules.naming)
 
 
+def active_profile(history: DataFrame, as_of, days: int = 365,
+                   zero_is_multi: bool = False) -> DataFrame:
+    """Profile of each customer active in the `days` before `as_of`.
+
+    Activity is read off the aggregated last purchase, so the lines are not joined to a list of
+    customers. Lines without a value do not enter the profile but do show activity: only such
+    recent lines, normally none, are looked at apart."""
+    limit = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
+    valued = relational.require(history, ["mail", "fecha", "total_actualizado"])
+    everyone = features.customer_profile(valued, zero_is_multi)
+    recent = F.col("ultima_compra") >= limit
+    unvalued = history.filter(F.col("total_actualizado").isNull() & F.col("mail").isNotNull()
+                              & (F.col("fecha") >= limit))
+    seen = unvalued.select("mail").distinct().withColumn("_seen", F.lit(True))
+    return everyone.join(seen, "mail", "left").filter(recent | F.col("_seen")).drop("_seen")
+
+
 def segment_customers(history: DataFrame, as_of, date, rules: Rules = Rules()) -> DataFrame:
     """Snapshot of the customers active in the year before `as_of`, dated `date`.
 
-    The active lines are stored, in the columns that are read again: features with RFM, the
-    latest date and the texts each scan them. Features and RFM come from one pass, and the
-    clustering carries the customer's row along, so features and labels need no join."""
-    recent = relational.require(relational.active_customers(history, as_of), ["total_actualizado"])
-    wanted = dict.fromkeys((*ACTIVE_COLUMNS, *rules.tie))
-    active = staged(recent.select(*[F.col(f"`{c}`") for c in wanted]), "active")
-    profile = staged(features.customer_profile(active, date_anchor(active), rules.zero_is_multi),
-                     "profile")
-    labelled = segment_rfm(profile, rules)
-    return snapshot.build_snapshot(labelled, active, date, rules.distinct_contents,
+    The stored history is read three times, in few columns: for the profile, the month texts
+    and the single-brand texts. The profile is stored, and clustering carries the customer's
+    row along, so features, RFM and labels need no join."""
+    profile = staged(active_profile(history, as_of, zero_is_multi=rules.zero_is_multi), "profile")
+    labelled = segment_rfm(features.with_recency(profile), rules)
+    valued = relational.require(history, ["mail", "fecha", "total_actualizado"])
+    return snapshot.build_snapshot(labelled, valued, date, rules.distinct_contents,
                                    rules.list_style, rules.tie)
 
 

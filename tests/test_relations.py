@@ -135,6 +135,16 @@ def test_jdbc_options_per_table():
     assert got["prices"] == {"url": "u", "dbtable": C.SHOP_TABLES["prices"]}
 
 
+def test_active_profile_counts_unvalued_lines_as_activity(make):
+    ddl = FEAT + ", fecha timestamp_ntz, total_actualizado double"
+    row = lambda mail, day, total: (mail, 1, 1, "A", "FF", 0, "Box", f"{day} 00:00:00", total)
+    df = make([row("old", "2022-01-01", 1), row("new", "2024-06-01", 2), row("half", "2022-02-01", 3),
+               row("half", "2024-06-05", None), row("bare", "2024-06-06", None)], ddl)
+    got = {r.mail: (r.ValorMonetario, str(r.ultima_compra), r.Recencia)
+           for r in features.with_recency(jobs.active_profile(df, "2024-12-31")).collect()}
+    assert got == {"new": (2.0, "2024-06-01 00:00:00", 0), "half": (3.0, "2022-02-01 00:00:00", 851)}
+
+
 def test_history_renames_legacy_labels_and_replaces_the_date(make):
     old = make([("a", "estrella", "2024-08", "2024-08-01 00:00:00"), ("a", "perdido", "2024-09-01", "2024-08-15 00:00:00")],
                "mail string, rfm string, fecha_segmentacion string, ultima_compra timestamp_ntz")

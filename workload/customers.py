@@ -125,8 +125,7 @@ def customer_features_v1(spark, d):
 SELECT labelled.*, rfm.* EXCLUDE (mail), u.ultima_compra FROM labelled JOIN rfm USING (mail)
 JOIN (SELECT mail, max(fecha) AS ultima_compra FROM lines GROUP BY mail) u USING (mail)""")
 def customer_profile(spark, d):
-    lines = account_lines(spark, d)
-    return X.customer_profile(lines, M.date_anchor(lines))
+    return X.with_recency(X.customer_profile(account_lines(spark, d)))
 
 
 @query("mixed_brand_bills", f"""WITH {LINES}

@@ -224,7 +224,9 @@ JOIN (SELECT mail, max(fecha) AS ultima_compra FROM lines GROUP BY mail) u USING
 
 
 def segments(spark, d):
-    return J.segment_customers(account_lines(spark, d), AS_OF, SNAP_DATE, RULES)
+    """The history is a stored table, as it is between two monthly runs."""
+    history = staged(account_lines(spark, d), "history")
+    return J.segment_customers(history, AS_OF, SNAP_DATE, RULES)
 
 
 @query("segment_customers", f"WITH {SEGMENTS} SELECT * FROM segments")
