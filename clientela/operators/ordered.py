@@ -81,28 +81,21 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
     return joined.select(*df.columns, F.coalesce("_in", "_edge").alias(out))
 
 
-def joined_text(df: DataFrame, keys: Sequence[str], text: str, order: Sequence[str],
-                out: str, distinct: bool = True, piece: Column | None = None,
-                style: str = "joined") -> DataFrame:
-    """Texts of each key in order, as one string.
+def joined_text(df: DataFrame, keys: Sequence[str], text: str, at: str, out: str,
+                distinct: bool = True, style: str = "joined") -> DataFrame:
+    """Texts of each key by time `at`, then alphabetically, as one string.
 
     `distinct` keeps the first sight of each text; repeats are merged before the shuffle, so a
-    group holds no more elements than there are different texts. With repeats kept, the rows of
-    a key are first joined per `piece` (a truncated time) and the pieces then put in order.
-    `style="list"` gives the bracketed, quoted form without commas."""
+    group holds no more elements than there are different texts. With repeats kept, the texts of
+    each day are joined first and the days then put in order. `style="list"` gives the
+    bracketed, quoted form without commas."""
+    known = df.filter(F.col(text).isNotNull())
     if distinct:
-        part = (
-            df.filter(F.col(text).isNotNull()).groupBy(*keys, text)
-            .agg(F.min(order_key(order)).alias("_at"))
-        )
+        part = known.groupBy(*keys, text).agg(F.min(at).alias("_at"))
     else:
-        part = df.filter(F.col(text).isNotNull()).select(
-            *keys, text, order_key(order).alias("_at"),
-            (F.lit(0) if piece is None else piece).alias("_piece"))
-        part = (
-            part.groupBy(*keys, "_piece").agg(_sorted_join(text).alias(text))
-            .withColumn("_at", F.struct("_piece"))
-        )
+        daily = known.select(*keys, text, F.col(at).alias("_at"), F.col(at).cast("date").alias("_day"))
+        part = (daily.groupBy(*keys, "_day").agg(_sorted_join(text).alias(text))
+                .withColumnRenamed("_day", "_at"))
     if style == "list":
         quoted = F.concat(F.lit("'"), F.col(text), F.lit("'"))
         body = part.withColumn(text, quoted).groupBy(*keys).agg(_sorted_join(text, " ").alias(out))

@@ -1,7 +1,5 @@
 """The monthly segmentation snapshot."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +11,11 @@ LAST = "Contenido Ultima Compra"
 BEFORE_LAST = "Contenido Ante Ultima Compra"
 
 
-def period_contents(lines: DataFrame, distinct: bool = True,
-                    tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
-    """Titles bought per customer and month in purchase order, ', '-joined. The later rule
-    keeps each title once; the earlier one keeps repeats, joined day by day first."""
+def period_contents(lines: DataFrame, distinct: bool = True) -> DataFrame:
+    """Titles bought per customer and month in purchase order, ', '-joined; titles of one moment
+    alphabetically. The later rule keeps each title once, the earlier one keeps repeats."""
     kept = lines.filter(F.col("mail").isNotNull() & F.col("Periodo").isNotNull())
-    return joined_text(kept, ["mail", "Periodo"], "titulo", ["fecha", *tie], "contenido",
-                       distinct, piece=F.col("fecha").cast("date"))
+    return joined_text(kept, ["mail", "Periodo"], "titulo", "fecha", "contenido", distinct)
 
 
 def ranked_contents(contents: DataFrame, n: int) -> DataFrame:
@@ -28,29 +24,26 @@ def ranked_contents(contents: DataFrame, n: int) -> DataFrame:
     return contents.withColumn("orden", F.row_number().over(latest)).filter(F.col("orden") <= n)
 
 
-def nth_last_contents(lines: DataFrame, n: int, distinct: bool = True,
-                      tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
+def nth_last_contents(lines: DataFrame, n: int, distinct: bool = True) -> DataFrame:
     """Contents of the n-th last purchase month (1 = last); customers without it are absent."""
-    ranked = ranked_contents(period_contents(lines, distinct, tie), n)
+    ranked = ranked_contents(period_contents(lines, distinct), n)
     return ranked.filter(F.col("orden") == n).select("mail", "contenido")
 
 
-def last_two_contents(lines: DataFrame, distinct: bool = True,
-                      tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
+def last_two_contents(lines: DataFrame, distinct: bool = True) -> DataFrame:
     """Last and second-last contents side by side, from one ranking."""
-    ranked = ranked_contents(period_contents(lines, distinct, tie), 2)
+    ranked = ranked_contents(period_contents(lines, distinct), 2)
     pick = lambda n: F.max(F.when(F.col("orden") == n, F.col("contenido")))
     return ranked.groupBy("mail").agg(pick(1).alias(LAST), pick(2).alias(BEFORE_LAST))
 
 
-def products_of_monobrand(lines: DataFrame, features: DataFrame, style: str = "joined",
-                          tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
+def products_of_monobrand(lines: DataFrame, features: DataFrame, style: str = "joined") -> DataFrame:
     """Different main-product titles of each single-brand customer, in first-purchase order.
     `style="list"` gives the bracketed form. Customers are picked after the lines have been
     merged, when both sides are already spread by customer."""
     single = features.filter(F.col("Multimarca") == 0).select("mail")
     main = lines.filter((F.col("tipo_prd_id") == C.KIND_MAIN) & F.col("mail").isNotNull())
-    texts = joined_text(main, ["mail"], "titulo", ["fecha", *tie], "producto_que_consume", style=style)
+    texts = joined_text(main, ["mail"], "titulo", "fecha", "producto_que_consume", style=style)
     return texts.join(single, "mail", "left_semi")
 
 
@@ -60,10 +53,10 @@ def segment_join(features: DataFrame, rfm: DataFrame) -> DataFrame:
 
 
 def build_snapshot(segmented: DataFrame, lines: DataFrame, date, distinct: bool = True,
-                   style: str = "joined", tie: Sequence[str] = C.LINE_TIE) -> DataFrame:
+                   style: str = "joined") -> DataFrame:
     """Snapshot rows dated `date`. `segmented` holds pattern, label, RFM and ultima_compra."""
     out = segmented.withColumn("fecha_segmentacion", F.lit(date).cast("date"))
-    out = lookup_join(out, products_of_monobrand(lines, segmented, style, tie), "mail")
-    out = lookup_join(out, last_two_contents(lines, distinct, tie), "mail")
+    out = lookup_join(out, products_of_monobrand(lines, segmented, style), "mail")
+    out = lookup_join(out, last_two_contents(lines, distinct), "mail")
     return out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
                         for f in C.SNAPSHOT.fields])

@@ -24,7 +24,7 @@ class Rules:
     special: str | None = None       # text of the product sold in larger cartons
     zero_is_multi: bool = False      # no main product counts as several brands
     distinct_contents: bool = True   # each title once per month
-    list_style: str = "joined"
+    text_style: str = "joined"
     iqr_k: float | None = 1.5        # None: outliers stay
     k: int = 3
     method: str = "kmeans"           # or "lloyd", the repeatable one
@@ -33,7 +33,6 @@ class Rules:
     n_init: int = 10
     naming: str = "v1"
     within_label: bool = False
-    tie: Sequence[str] = C.LINE_TIE
 
 
 def monthly_lines(tables: dict[str, DataFrame], catalog: DataFrame, month: str,
@@ -104,7 +103,7 @@ def segment_customers(history: DataFrame, as_of, date, rules: Rules = Rules()) -
     labelled = segment_rfm(features.with_recency(profile), rules)
     valued = relational.require(history, ["mail", "fecha", "total_actualizado"])
     return snapshot.build_snapshot(labelled, valued, date, rules.distinct_contents,
-                                   rules.list_style, rules.tie)
+                                   rules.text_style)
 
 
 def segmentation_history(current: DataFrame, old: DataFrame | None,

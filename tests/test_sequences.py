@@ -92,7 +92,7 @@ def purchases():
 
 def literal_contents(rows, distinct):
     groups = {}
-    for r in sorted((r for r in rows if r[0]), key=lambda r: (r[2], r[4], r[5])):
+    for r in sorted((r for r in rows if r[0]), key=lambda r: (r[2], r[3])):
         groups.setdefault((r[0], r[1]), []).append(r[3])
     return {k: ", ".join(dict.fromkeys(v) if distinct else v) for k, v in groups.items()}
 

@@ -344,13 +344,11 @@ def distribution_profile(spark, d):
 # --- snapshot ------------------------------------------------------------------------------
 
 def _contents(distinct: bool) -> str:
-    order = f"fecha, {TIE_SQL}"
     if not distinct:
-        return f"""contents AS (SELECT mail, "Periodo", string_agg(titulo, ', ' ORDER BY {order}) AS contenido
+        return """contents AS (SELECT mail, "Periodo", string_agg(titulo, ', ' ORDER BY fecha, titulo) AS contenido
   FROM lines GROUP BY 1, 2)"""
-    return f"""firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mail, "Periodo", titulo ORDER BY {order}) AS rn
-  FROM lines) WHERE rn = 1),
-contents AS (SELECT mail, "Periodo", string_agg(titulo, ', ' ORDER BY {order}) AS contenido FROM firsts GROUP BY 1, 2)"""
+    return """firsts AS (SELECT mail, "Periodo", titulo, min(fecha) AS f FROM lines GROUP BY ALL),
+contents AS (SELECT mail, "Periodo", string_agg(titulo, ', ' ORDER BY f, titulo) AS contenido FROM firsts GROUP BY 1, 2)"""
 
 
 RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY mail ORDER BY "Periodo" DESC) AS orden FROM contents)"""
@@ -358,19 +356,19 @@ RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY mail ORDER BY "
 
 @query("period_contents", f"WITH {LINES}, {_contents(True)} SELECT * FROM contents")
 def period_contents(spark, d):
-    return N.period_contents(sale_lines(spark, d), tie=TIE)
+    return N.period_contents(sale_lines(spark, d))
 
 
 @query("period_contents_v1", f"WITH {LINES}, {_contents(False)} SELECT * FROM contents")
 def period_contents_v1(spark, d):
-    return N.period_contents(sale_lines(spark, d), distinct=False, tie=TIE)
+    return N.period_contents(sale_lines(spark, d), distinct=False)
 
 
 @query("nth_last_contents", f"""WITH {ACCOUNTS}, {_contents(True)}, {RANKED}
 SELECT mail, contenido, orden::INTEGER AS orden FROM ranked WHERE orden <= 2""")
 def nth_last_contents(spark, d):
     lines = sale_lines(spark, d, account=True)
-    parts = [N.nth_last_contents(lines, n, tie=TIE).withColumn("orden", F.lit(n)) for n in (1, 2)]
+    parts = [N.nth_last_contents(lines, n).withColumn("orden", F.lit(n)) for n in (1, 2)]
     return parts[0].unionByName(parts[1])
 
 
@@ -378,17 +376,14 @@ def nth_last_contents(spark, d):
 SELECT mail, max(CASE WHEN orden = 1 THEN contenido END) AS "Contenido Ultima Compra",
   max(CASE WHEN orden = 2 THEN contenido END) AS "Contenido Ante Ultima Compra" FROM ranked GROUP BY mail""")
 def last_two_contents(spark, d):
-    return N.last_two_contents(sale_lines(spark, d, account=True), distinct=False, tie=TIE)
+    return N.last_two_contents(sale_lines(spark, d, account=True), distinct=False)
 
 
-_MONO = f"""single AS (SELECT mail FROM features WHERE "Multimarca" = 0),
-mono AS (SELECT mail, titulo, rn FROM (
-  SELECT *, row_number() OVER (PARTITION BY mail, titulo ORDER BY fecha, {TIE_SQL}) AS rn FROM attributed
-  WHERE tipo_prd_id = 1 AND mail IN (SELECT mail FROM single)) WHERE rn = 1),
-monos AS (SELECT mail, string_agg(titulo, ', ' ORDER BY fecha, {TIE_SQL}) AS producto_que_consume,
-    '[' || string_agg('''' || titulo || '''', ' ' ORDER BY fecha, {TIE_SQL}) || ']' AS lista FROM (
-  SELECT *, row_number() OVER (PARTITION BY mail, titulo ORDER BY fecha, {TIE_SQL}) AS rn FROM attributed
-  WHERE tipo_prd_id = 1 AND mail IN (SELECT mail FROM single)) WHERE rn = 1 GROUP BY mail)"""
+_MONO = """single AS (SELECT mail FROM features WHERE "Multimarca" = 0),
+monos AS (SELECT mail, string_agg(titulo, ', ' ORDER BY f, titulo) AS producto_que_consume,
+    '[' || string_agg('''' || titulo || '''', ' ' ORDER BY f, titulo) || ']' AS lista FROM (
+  SELECT mail, titulo, min(fecha) AS f FROM attributed
+  WHERE tipo_prd_id = 1 AND mail IN (SELECT mail FROM single) GROUP BY 1, 2) GROUP BY mail)"""
 
 
 @query("products_of_monobrand", f"""WITH {ACCOUNTS}, {ATTRIBUTED}, {FEATURES}, {_MONO}
@@ -396,8 +391,8 @@ SELECT mail, producto_que_consume, lista FROM monos""")
 def products_of_monobrand(spark, d):
     lines = account_lines(spark, d)
     feats = X.customer_features(lines)
-    joined = N.products_of_monobrand(lines, feats, tie=TIE)
-    listed = N.products_of_monobrand(lines, feats, style="list", tie=TIE)
+    joined = N.products_of_monobrand(lines, feats)
+    listed = N.products_of_monobrand(lines, feats, style="list")
     return joined.join(listed.withColumnRenamed("producto_que_consume", "lista"), "mail")
 
 

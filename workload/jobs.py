@@ -17,7 +17,7 @@ from workload.customers import (
 
 COLS = ("ValorMonetario", "Frecuencia", "Recencia")
 ROUNDS = 3
-RULES = J.Rules(method="lloyd", max_iter=ROUNDS, tie=TIE)
+RULES = J.Rules(method="lloyd", max_iter=ROUNDS)
 
 
 def _lloyd_sql(rounds: int) -> str:
