@@ -3,7 +3,9 @@
 The built-in exact `percentile` holds all values of a group in one aggregation buffer. Here a
 mergeable sketch first brackets each wanted rank, values are then counted per bracket (merged
 before the shuffle), and only the few values inside a bracket are ranked. The sketch decides
-where to look, never the answer: ranks are counted on all rows."""
+where to look, never the answer: ranks are counted on all rows.
+
+A bracket holds about 6 in 10,000 rows of a large group, equal values counted once."""
 
 from collections.abc import Sequence
 
