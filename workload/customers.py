@@ -14,7 +14,7 @@ from clientela.operators import transitions as T
 from clientela.operators.ordered import last_per_key
 from clientela.sources.staging import staged
 from workload.base import (
-    ACCOUNTS, ATTRIBUTED, LATEST, LINES, PRICE_LOG, PRICE_TIE, RFM, SNAPSHOTS, STATES, TIE, TIE_SQL,
+    ACCOUNTS, ATTRIBUTED, LATEST, LINES, PRICE_LOG, PRICE_TIE, RFM, SNAPSHOTS, STATES, TIE,
     price_log, priced_attributes, query, sale_lines, states, table, weekly_snapshots)
 
 MONTH = "2001-10"

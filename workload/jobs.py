@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from clientela.operators import cluster as K
-from clientela.operators import relational as R
 from clientela.operators import transitions as T
 from clientela.operators.rfm import iqr_filter, rfm
 from clientela.plans import jobs as J
@@ -73,7 +72,7 @@ def standardize(spark, d):
 
 @query("kmeans")
 def kmeans(spark, d):
-    """Seeded random starts, so there is no SQL for it: customers per named cluster."""
+    """Random starts, so there is no SQL for it."""
     return K.kmeans(K.standardize(kept(spark, d))).select("mail", *COLS, K.CLUSTER)
 
 
