@@ -22,3 +22,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def op7_minhash_near_dedup(spark, d):
     from clientela.llm.minhash import near_duplicates
     return near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op1_line_dedup(spark, d):
+    from clientela.llm.winnow import repeated_runs
+    return repeated_runs(table(spark, d, "documents"))
+
+
+@query
+def op8_substring_dedup(spark, d):
+    from clientela.llm.chunks import repeated_passages
+    return repeated_passages(table(spark, d, "documents"))

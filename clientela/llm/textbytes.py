@@ -44,9 +44,10 @@ class Powers:
         if len(self.up) < n:
             n = max(n, PIECE_BYTES)
             with np.errstate(over="ignore"):
-                self.up, self.down = (
-                    np.cumprod(np.concatenate([[1], np.full(n - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                    for b in (self.base, self.inverse))
+                for name, factor in (("up", self.base), ("down", self.inverse)):
+                    factors = np.full(n, factor, np.uint64)
+                    factors[0] = 1
+                    setattr(self, name, np.cumprod(factors, dtype=np.uint64))
 
 
 @cache
