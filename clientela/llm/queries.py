@@ -3,6 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clientela.llm.sample import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +37,26 @@ def op1_line_dedup(spark, d):
 def op8_substring_dedup(spark, d):
     from clientela.llm.chunks import repeated_passages
     return repeated_passages(table(spark, d, "documents"))
+
+
+@query
+def op3_secret_scan(spark, d):
+    from clientela.llm.secrets import scan
+    return scan(table(spark, d, "documents"))
+
+
+@query
+def op10_benchmark_decontamination(spark, d):
+    from clientela.llm.decontaminate import leaks
+    return leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op6_quality_classifier(spark, d):
+    from clientela.llm.attention import score, train
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    parts = fold(F.col("doc_id"), 5)
+    model = train(docs, labels, parts != 0)
+    return score(docs, model).select(
+        "doc_id", F.coalesce(parts == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
