@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +61,16 @@ def op6_quality_classifier(spark, d):
     return score(docs, model).select(
         "doc_id", F.coalesce(parts == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op9_quality_rules(spark, d):
+    from clientela.llm.crf import judge, train
+    docs = table(spark, d, "documents")
+    return judge(docs, train(docs, table(spark, d, "labels")))
+
+
+@query
+def op5_bpe_encoding(spark, d):
+    from clientela.llm.bpe import encode_digests
+    return encode_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
