@@ -74,3 +74,23 @@ def op9_quality_rules(spark, d):
 def op5_bpe_encoding(spark, d):
     from clientela.llm.bpe import encode_digests
     return encode_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_toxicity(spark, d):
+    from clientela.llm.toxicity import DECISION, score, train
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    parts = fold(F.col("doc_id"), 3)
+    model = train(docs, labels, parts != 1)
+    return score(docs, model).select(
+        "doc_id", F.coalesce(parts == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= DECISION).cast("int").alias("predicted"))
+
+
+@query
+def op2_language_id(spark, d):
+    from clientela.llm.langid import identify, learn
+    docs = table(spark, d, "documents")
+    parts = fold(F.col("doc_id"), 3)
+    return identify(docs, learn(docs, parts != 1)).select(
+        "doc_id", F.coalesce(parts == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
