@@ -19,6 +19,7 @@ PASSAGE_WORDS = 64
 HIDDEN, ATTENTION = 16, 8
 PER_CLASS = 1500  # labelled documents of each class that are learned from
 STEPS, RATE, DECAY = 300, 0.02, 1e-4
+DECISION = 0.3    # score from which a document counts as good
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -31,9 +32,9 @@ def _pool(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.add.reduceat(values, at, axis=0)
 
 
-def bags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def bags(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Row and features of each passage; every row has one at least."""
-    piece = Piece(batch)
+    piece = Piece(batch, column)
     rows, firsts, ends = passages(piece, PASSAGE_WORDS)
     return rows, shapes(piece, firsts, ends)
 
@@ -109,6 +110,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return mapped(rows, work, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def keep_good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """Rows of `docs`, all columns, whose whole text scores `least` or more."""
+
+    def work(batches) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            owner, x = bags(part, text_col)
+            yield part.filter(pa.array(model.score(owner, x, part.num_rows) >= least))
+
+    return mapped(docs, work, docs.schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality",
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on the labels for which `learn` holds; see sample.labelled for the bound."""

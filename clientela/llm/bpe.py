@@ -12,9 +12,11 @@ import json
 from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from clientela.llm.store import mapped, renamed
 from clientela.llm.textbytes import slices
@@ -265,6 +267,17 @@ class Bpe:
             self.known[word] = found
         return found
 
+    def encode_all(self, text: str) -> np.ndarray:
+        """Ids of a text at once."""
+        known, piece = self.known, self.piece
+        found = []
+        for part, added in self._parts(text):
+            if added:
+                found.append(str(self.added[part]))
+            else:
+                found.extend([known.get(m[0]) or piece(m[0]) for m in self.pieces.finditer(part)])
+        return np.array(",".join(found).split(","), np.int32) if found else np.zeros(0, np.int32)
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
         sums, known, piece = Sums(self), self.known, self.piece
@@ -356,6 +369,29 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return mapped(rows, work, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
+def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """Rows of `docs`, all columns, with n_tokens, ids, and decoded_same: whether the ids decode to
+    the text again, which they do for every text (a null text, without ids, counts as empty)."""
+    source = _source(docs, path)
+
+    def work(batches) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(source.value)
+        for part in slices(batches, text_col):
+            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+            ids = [bpe.encode_all(t or "") for t in texts]
+            same = [Decoder(bpe).text(x.tolist()) == (t or "") for x, t in zip(ids, texts, strict=True)]
+            bounds = np.cumsum([0, *map(len, ids)])
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(np.diff(bounds)), pa.ListArray.from_arrays(
+                    bounds.astype(np.int32), pa.array(flat, pa.int32())), pa.array(same)],
+                names=[*part.schema.names, "n_tokens", "ids", "decoded_same"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded_same", T.BooleanType())])
+    return mapped(docs, work, schema)
+
+
 def encode_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) of each row; a null or empty text has an empty list."""
     rows = renamed(docs, id_col, text_col)

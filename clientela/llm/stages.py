@@ -1,27 +1,41 @@
-"""The stages of the corpus pipeline: (spark, docs, sf_dir) to the documents that stay."""
+"""The stages of the corpus pipeline: (spark, docs, sf_dir) to the documents that stay. Rows whose
+doc_id is null pass the stages that compare documents, since nothing orders them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clientela.llm.minhash import near_duplicates
+from clientela.llm import attention, bpe, decontaminate, minhash, winnow
+from clientela.llm.sample import fold
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that the classifier rejects go."""
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    model = attention.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    return attention.keep_good(docs, model, attention.DECISION)
 
 
 def lines(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    raise NotImplementedError
+    """Later copies of runs of lines go, and documents that hold nothing else. n_chars follows."""
+    left = winnow.delete_runs(docs, winnow.repeated_runs(docs))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, minhash.near_duplicates(docs).where("NOT kept"))
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    raise NotImplementedError
+def benchmark(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return _without(docs, decontaminate.leaks(docs, spark.read.parquet(f"{d}/benchmark.parquet")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    raise NotImplementedError
+    """Every document that is left, with its token ids."""
+    return bpe.encode_rows(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clientela.sources.staging import staged
 
@@ -12,7 +13,7 @@ SMALL_ROWS = 20_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+def mapped(df: DataFrame, work: Callable, schema: str | StructType) -> DataFrame:
     """mapInArrow whose Python workers find this package where the driver found it. On a cluster
     the package is installed, or shipped with --py-files, as any other."""
     env = df.sparkSession.sparkContext.environment

@@ -80,10 +80,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def delete_runs(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the lines of `found` (as repeated_runs returns it). All columns stay; a text
-    without a run stays as it is, byte for byte."""
-    gone = found.groupBy(id_col).agg(F.collect_list(F.struct("first_line", "last_line")).alias("__gone"))
-    lines = F.split(F.col(f"`{text_col}`"), "\n", -1)
-    stays = F.filter(lines, lambda _, i: ~F.exists("__gone", lambda g: (i >= g["first_line"]) & (i <= g["last_line"])))
-    text = F.when(F.col("__gone").isNull(), F.col(f"`{text_col}`")).otherwise(F.concat_ws("\n", stays))
-    joined = docs.join(gone, id_col, "left")
-    return joined.withColumn(text_col, text).select([F.col(f"`{c}`") for c in docs.columns])
+    without a run stays as it is, byte for byte. A document of which no word is left goes."""
+    gone = keep(found.groupBy(id_col).agg(F.collect_list(F.struct("first_line", "last_line")).alias("__gone")), "gone")
+    text = F.col(f"`{text_col}`")
+    stays = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.exists(
+        "__gone", lambda g: (i >= g["first_line"]) & (i <= g["last_line"])))
+    left = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(stays, "\n"))
+    return (docs.join(gone, id_col, "left").withColumn(text_col, left)
+            .where(F.col("__gone").isNull() | text.rlike(r"[^\x20\x09-\x0D]"))
+            .select([F.col(f"`{c}`") for c in docs.columns]))

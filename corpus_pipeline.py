@@ -10,7 +10,7 @@ STAGES = [
     ("quality_classifier", stages.quality),
     ("line_dedup", stages.lines),
     ("minhash_near_dedup", stages.near),
-    ("benchmark_decontamination", stages.decontaminate),
+    ("benchmark_decontamination", stages.benchmark),
     ("bpe_encoding", stages.encode),
 ]
 
