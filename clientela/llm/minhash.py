@@ -4,8 +4,9 @@ One hash per shingle falls into one of BANDS * ROWS bins; the least value of a b
 Empty bins borrow from another bin of the document, each along a random order of bins of its own
 (optimal densification), so short texts keep unbiased, independent bands. Documents that share a
 band meet in a bucket; a bucket yields edges of a star around one member, not all pairs. Edges are
-confirmed on the full shingle sets. What a star did not settle is taken up by further stars and at
-last by the pairs of a bucket that are still in different components."""
+confirmed on the full shingle sets. What stars leave open, buckets with members in different
+components, is settled exactly: such members are compared where the rarest of their shingles meet
+and the positions there still allow the similarity."""
 
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -22,7 +23,7 @@ from clientela.llm.textbytes import Piece, mix, shingle_sets, slices
 WORDS = 5           # per shingle
 PERCENT = 75        # least similarity of a link
 BANDS, ROWS = 64, 6  # a pair of similarity 0.75 shares no band with probability 4e-6
-STARS = 3           # rounds of stars before remaining pairs
+STARS = 2           # rounds of stars before the exact comparison of the rest
 
 
 @cache
@@ -168,9 +169,7 @@ def _linked(docs: DataFrame, members: DataFrame) -> DataFrame:
                 F.col("c.id").alias("a"), F.col("id").alias("b"), F.col("c.n").alias("na"),
                 F.col("n").alias("nb"), F.col("c.label").alias("la"), F.col("label").alias("lb"))
         else:
-            left = open_members.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-            right = open_members.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-            sides = left.join(right, "bucket").where("a < b")
+            sides = _rest(open_members, sets)
         pairs = (sides.where("la <> lb").where(_sized())
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         pairs = keep(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
@@ -184,6 +183,27 @@ def _linked(docs: DataFrame, members: DataFrame) -> DataFrame:
     return links
 
 
+def _rest(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of members in different components that can be similar enough, none missing. With
+    shingles in one order, rare ones first, two such sets share a shingle among the first
+    n - 0.75 n + 1 of each, and from the first shared one on enough of both must be left for the
+    overlap that the similarity asks for, 3/7 of both sizes."""
+    docs = members.select("id", "n", "label").distinct()
+    tokens = docs.join(sets, "id").select("id", "n", "label", F.explode("shingles").alias("token"))
+    frequency = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = tokens.join(frequency, "token").groupBy("id", "n", "label").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    first = F.expr(f"slice(tokens, 1, n - CAST(ceil(n * {PERCENT} / 100) AS INT) + 1)")
+    heads = keep(ordered.select("id", "n", "label", F.posexplode(first).alias("pos", "t"))
+                 .where("t.df > 1").select("id", "label", "n", (F.col("n") - F.col("pos")).alias("rest"),
+                                           F.col("t.token").alias("token")), "heads")
+    left = heads.select("token", F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rest").alias("ra"))
+    right = heads.select("token", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
+    enough = (100 + PERCENT) * F.least("ra", "rb") >= PERCENT * (F.col("na") + F.col("nb"))
+    return left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b"))
+                     & (F.col("la") != F.col("lb")) & _sized() & enough)
+
+
 def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members, with the component so far, of buckets that still hold several components."""
     if labels is None:
