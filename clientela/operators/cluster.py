@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientela import contracts as C
@@ -14,6 +14,7 @@ from clientela.operators.relational import lookup_join
 from clientela.sources.staging import staged
 
 CLUSTER = "rfm_cluster"
+MOST_CLUSTERS = 10_000
 SCALED = tuple(f"{c}_z" for c in C.RFM_COLS)
 
 
@@ -38,10 +39,18 @@ def nearest(cols: Sequence[str], centroids: Sequence[Sequence[float]]) -> Column
     return F.expr(f"least({', '.join(options)}).i" if len(options) > 1 else "0")
 
 
+def _few(clusters: DataFrame) -> DataFrame:
+    """The rows, or an error if there are too many to travel as one."""
+    count = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
+    capped = clusters.limit(MOST_CLUSTERS + 1).withColumn("_n", count)
+    return capped.where(F.when(F.col("_n") <= MOST_CLUSTERS, True).otherwise(
+        F.raise_error(F.lit(f"more than {MOST_CLUSTERS} clusters")).cast("boolean"))).drop("_n")
+
+
 def kmeans_assign(df: DataFrame, cols: Sequence[str], centroids: DataFrame,
                   out: str = CLUSTER) -> DataFrame:
     """Nearest row of `centroids` (cluster, cols...). The k centroids travel as one row."""
-    packed = centroids.agg(F.collect_list(F.struct(
+    packed = _few(centroids).agg(F.collect_list(F.struct(
         F.col("cluster").alias("i"), *[F.col(c).alias(f"c{n}") for n, c in enumerate(cols)]))
         .alias("_cs"))
 
@@ -56,36 +65,38 @@ def kmeans_assign(df: DataFrame, cols: Sequence[str], centroids: DataFrame,
     return joined.select(*df.columns, best.alias(out))
 
 
-def rank_seeds(df: DataFrame, cols: Sequence[str], k: int, by: str, id_col: str) -> DataFrame:
-    """k starting centroids (cluster, cols...): the rows at evenly spread ranks of `by`, the
-    smallest id where several rows share the value."""
+def rank_seeds(df: DataFrame, cols: Sequence[str], k: int, by: str, id_col: str) -> list[list[float]]:
+    """k different starting centroids: the rows at evenly spread ranks of the different values of
+    `by`, the smallest id where several rows share one. With too few values, the first different
+    points by (`by`, cols). Fewer than k different points are an error."""
+    values = df.groupBy(by).agg(F.min_by(F.struct(*cols), F.col(id_col)).alias("_row"))
     ps = [(2 * i + 1) / (2 * k) for i in range(k)]
-    marks = exact_quantiles(unpivot(df, [by]), ["columna"], ps, bounded_keys=True,
-                            interpolate=False)
-    numbered = marks.select(
-        F.array_position(F.array(*[F.lit(p) for p in ps]), F.col("p")).alias("_n"),
-        F.col("valor").alias("_v"))
-    hits = df.join(F.broadcast(numbered), F.col(by).cast("double") == F.col("_v"))
-    row = F.struct(*cols)
-    return (hits.groupBy("_n").agg(F.min_by(row, F.col(id_col)).alias("_row"))
-            .select((F.col("_n") - 1).cast("int").alias("cluster"), "_row.*"))
-
-
-def kmeans_lloyd(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, iters: int = 20,
+    marks = exact_quantiles(unpivot(values, [by]), ["columna"], ps, bounded_keys=True, interpolate=False)
+    hits = values.join(F.broadcast(marks.select("valor").distinct()), F.col(by).cast("double") == F.col("valor"))
+    rows = hits.orderBy("valor").select("_row.*").collect()
+    if len(rows) < k:
+        rows = df.select(by, *cols).distinct().orderBy(by, *cols).limit(k).collect()
+    seeds = [[float(row[c]) for c in cols] for row in rows]
+    if len(seeds) < k:
+        raise ValueError(f"{k} clusters asked for, {len(seeds)} different points")
+    return seeds
+
+
+def kmeans_lloyd(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, iters: int = 300,
                  by: str = "ValorMonetario", id_col: str = "mail", out: str = CLUSTER,
-                 tol: float = 0.0) -> DataFrame:
-    """Deterministic k-means: rank seeds, then at most `iters` rounds, ending early once no
-    centroid moves more than `tol`.
+                 tol: float = 1e-9) -> DataFrame:
+    """Deterministic k-means: rank seeds, then rounds until no centroid moves more than `tol`, at
+    most `iters`.
 
     Only the k centroids pass through the driver, one small aggregation per round; as literals
-    they make the assignment a plain projection. The input is written to the staging folder
-    first, so a round scans a narrow table and nothing grows with the number of rounds."""
+    they make the assignment a plain projection. Means are taken of decimals, whose sums do not
+    depend on the order of rows. The input is written to the staging folder first, so a round
+    scans a narrow table and nothing grows with the number of rounds."""
     data = staged(df, "lloyd")
-    seeds = rank_seeds(data, cols, k, by, id_col).orderBy("cluster").collect()
-    centres = [[float(row[c]) for c in cols] for row in seeds]
+    centres = rank_seeds(data, cols, k, by, id_col)
     for _ in range(iters):
         rows = (data.groupBy(nearest(cols, centres).alias("i"))
-                .agg(*[F.avg(c).alias(c) for c in cols]).collect())
+                .agg(*[F.avg(F.col(c).cast("decimal(24,12)")).cast("double").alias(c) for c in cols]).collect())
         moved = [list(c) for c in centres]
         for row in rows:
             moved[row["i"]] = [float(row[c]) for c in cols]
@@ -143,7 +154,7 @@ def name_clusters(means: DataFrame, rule: str = "v1", by: str = CLUSTER) -> Data
     greater recency is lost (the later one on a tie), the other at risk. Every cluster gets a
     name. v2: greatest value and greatest recency are picked apart; if they coincide, "lost"
     wins and one cluster stays without a name."""
-    rows = means.agg(F.array_sort(F.collect_list(F.struct(
+    rows = _few(means).agg(F.array_sort(F.collect_list(F.struct(
         F.col(by).alias("i"), F.col("ValorMonetario").alias("m"), F.col("Recencia").alias("r"))))
         .alias("a"))
     if rule == "v1":

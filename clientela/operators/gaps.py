@@ -9,25 +9,14 @@ from clientela.functions import scalars as S
 from clientela.operators.ordered import HOT_ROWS, neighbour
 from clientela.operators.profile import describe
 
-FAR = "9999-12-31"
-
-
 def purchase_gap(snap: DataFrame, within_label: bool = False,
-                 tie: Sequence[str] = ("fecha_segmentacion",), unit: str = "month",
+                 tie: Sequence[str] = ("fecha_segmentacion",),
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Whole days since the customer's previous `ultima_compra`, over all labels or within
     the same label, and its band. Rows without a customer (or label) have no previous one."""
     keys = ["mail", "rfm"] if within_label else ["mail"]
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    chunk = F.coalesce(F.date_trunc(unit, "ultima_compra").cast("timestamp_ntz"),
-                       F.lit(FAR).cast("timestamp_ntz"))
-    work = snap.withColumns({f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit(""))
-                             for i, k in enumerate(keys)})
-    prev = neighbour(work, [f"_k{i}" for i in range(len(keys))], ["ultima_compra", *tie],
-                     ["ultima_compra"], "_prev", chunk=chunk, hot_rows=hot_rows)
-    days = F.when(known, S.elapsed_days(F.col("_prev.ultima_compra"), F.col("ultima_compra")))
+    prev = neighbour(snap, keys, ["ultima_compra", *tie], ["ultima_compra"], "_prev", hot_rows=hot_rows)
+    days = S.elapsed_days(F.col("_prev.ultima_compra"), F.col("ultima_compra"))
     return (prev.withColumn("gap_entre_compras", days.cast("int"))
             .withColumn("segmento_gap", S.gap_bucket(F.col("gap_entre_compras")))
             .select(*snap.columns, "gap_entre_compras", "segmento_gap"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clientela import contracts as C
 from clientela.functions import scalars as S
+from clientela.sources.staging import broadcast_if_bounded
 from clientela.operators.ordered import HOT_ROWS, neighbour
 from clientela.operators.relational import (
     drop_returns, fetch_by_keys, fill_defaults, first_per_key, lookup_join, require)
@@ -66,26 +67,21 @@ def assemble_lines(orders: DataFrame, emails: DataFrame, bills: DataFrame, items
 
 def net_credit_notes(lines: DataFrame, text: str = "titulo_descripcion",
                      product: str = "product_id", order: str = "post_id",
-                     tie: Sequence[str] = ("bill_id", "quantity"), unit: str = "hour",
+                     tie: Sequence[str] = ("bill_id", "quantity"),
                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """Subtract a credit note from the row it follows.
 
     Rows are ordered by (order, text, date). A note directly after a row of the same order and
     product, and strictly later, takes its original quantity off that row. Each row is changed
-    at most once, by the row after it, so one look ahead is enough.
+    at most once, by the row after it, so one look ahead is enough. Lines without an order are
+    never netted.
 
     A product has one text, so rows of one product are neighbours only within (order, text):
-    this is the group. One of more than `hot_rows` lines is cut further by time."""
-    keyed = (
-        lines.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("_none", F.col(text).isNull())
-        .withColumn("_order", F.coalesce(F.col(order), F.lit(-1)))
-    )
-    ahead = neighbour(keyed, ["_order", "_none", "_text"], ["fecha", *tie],
-                      [product, "type", "fecha", "quantity"], "_next",
-                      chunk=F.coalesce(F.date_trunc(unit, "fecha").cast("timestamp_ntz"),
-                                       F.lit("9999-12-31").cast("timestamp_ntz")), forward=True,
-                      hot_rows=hot_rows)
+    this is the group. One of more than `hot_rows` lines is cut further."""
+    keyed = (lines.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+             .withColumn("_none", F.col(text).isNull()))
+    ahead = neighbour(keyed, [order, "_none", "_text"], ["fecha", *tie],
+                      [product, "type", "fecha", "quantity"], "_next", forward=True, hot_rows=hot_rows)
     nxt = F.col("_next")
     hit = ((nxt["type"] == C.CREDIT_NOTE) & (nxt[product] == F.col(product))
            & (nxt["fecha"] > F.col("fecha")))
@@ -115,7 +111,7 @@ def enrich_catalog(lines: DataFrame, catalog: DataFrame, default_category: bool
     defaults = {"MARCA": C.DEFAULT_BRAND}
     if default_category:
         defaults["CATEGORÍA"] = C.DEFAULT_BRAND
-    return fill_defaults(lookup_join(cleaned, table, "titulo"), defaults)
+    return fill_defaults(lookup_join(cleaned, broadcast_if_bounded(table), "titulo"), defaults)
 
 
 def attach_latest_price(lines: DataFrame, prices: DataFrame, default: float | None = 0) -> DataFrame:

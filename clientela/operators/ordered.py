@@ -1,13 +1,15 @@
 """Neighbouring rows and ordered texts inside groups that may be very large."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clientela.sources.staging import staged
 
 HOT_ROWS = 1_000_000   # rows of one key that a single task may sort
-SKETCH_PARTS = 256     # sketches left after the first merge
 
 
 def order_key(cols: Sequence[str]) -> Column:
@@ -24,17 +26,10 @@ def ordering(cols: Sequence[str]) -> list[Column]:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes `_h` of keys with more than `rows` rows, as far as a heavy-hitter sketch tells them
-    from the rest, which it does from about 1/5,000 of all rows on. One narrow pass; the tasks'
-    sketches are merged in two steps, and at most 1,000 rows come out. The sketch decides how
-    work is split, not what results are."""
-    parts = df.select(F.xxhash64(*keys).alias("_h")).groupBy(
-        (F.spark_partition_id() % SKETCH_PARTS).alias("part")).agg(
-        F.expr("approx_top_k_accumulate(_h, 10000)").alias("s"))
-    whole = parts.agg(F.expr("approx_top_k_combine(s, 10000)").alias("s"))
-    return (whole.selectExpr("inline(approx_top_k_estimate(s, 1000))")
-            .where(F.col("count") > rows)
-            .select(F.col("item").alias("_h"), F.lit(True).alias("_hot")))
+    """(_h, _rows): hashes and counts of all keys with more than `rows` rows. Counts merge before
+    the shuffle, so this is one narrow pass whatever the skew."""
+    counts = df.select(F.xxhash64(*keys).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > rows)
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -56,35 +51,41 @@ def _edge_row(df, key, order, pick) -> DataFrame:
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-              out: str, chunk: Column | None = None, forward: bool = False,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              out: str, forward: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `out`: a struct of `values` from the row before (or after) within its key, null if
-    there is none.
-
-    `chunk` must not decrease along `order` (a truncated time, say) nor be null, as keys must
-    not be. It cuts keys of more than `hot_rows` rows into pieces that are sorted in separate
-    tasks; the row across a piece boundary comes from a table with one row per (key, piece).
-    Where no key is hot that table is empty and what remains is a plain window. Without `chunk`
-    it is always a plain window."""
-    shift = F.lead if forward else F.lag
-    pick = F.min_by if forward else F.max_by
-    packed = F.struct(*values)
-    if chunk is None:
-        window = Window.partitionBy(*keys).orderBy(*ordering(order))
-        return df.withColumn(out, shift(packed).over(window))
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    pieces = (df.withColumn("_h", F.xxhash64(*keys)).join(hot, "_h", "left")
-              .withColumn("_chunk", F.when(F.col("_hot"), chunk)))
-    window = Window.partitionBy(*keys, "_chunk").orderBy(*ordering(order))
-    inside = pieces.withColumn("_in", shift(packed).over(window))
-    across = (
-        pieces.filter(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk")
-        .agg(pick(packed, order_key(order)).alias("_edge"))
-        .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy("_chunk")))
-        .filter(F.col("_edge").isNotNull())
-    )
-    joined = inside.join(across, [*keys, "_chunk"], "left")
-    return joined.select(*df.columns, F.coalesce("_in", "_edge").alias(out))
+    there is none. A row with a null in its key has none: null equals nothing. Such rows are
+    spread over tasks.
+
+    Keys of more than `hot_rows` rows, counted exactly, are dealt by range of (key, order) into
+    pieces that are sorted in separate tasks, also where many rows share a time; the row across
+    a piece boundary comes from a table with one row per (key, piece). The pieces are stored, so
+    a repeated task finds the same ones. Without hot keys it is a plain window."""
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    spread = F.when(~known, F.xxhash64(*order))
+    base = df.withColumns({"_h": F.xxhash64(*keys), "_loose": spread})
+    shift, packed = (F.lead if forward else F.lag), F.struct(*values)
+    window = Window.partitionBy(*keys, "_loose").orderBy(*ordering(order))
+    plain = lambda rows: rows.withColumn(out, F.when(known, shift(packed).over(window)))
+    hot = staged(hot_keys(df.where(known), keys, hot_rows), "hot-keys")
+    total = hot.agg(F.sum("_rows")).first()[0]
+    if not total:
+        return plain(base).select(*df.columns, out)
+    usual = plain(base.join(hot, "_h", "left_anti"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // max(hot_rows, 1000) + 1)
+    pieces = staged(
+        base.join(hot.select("_h"), "_h", "left_semi").where(known)
+        .repartitionByRange(parts, *keys, *ordering(order)).withColumn("_chunk", F.spark_partition_id()),
+        "hot-rows")
+    loose = base.join(hot.select("_h"), "_h", "left_semi").where(~known).withColumn(
+        out, F.lit(None).cast(pieces.select(packed).schema[0].dataType))
+    inside = pieces.withColumn("_in", shift(packed).over(Window.partitionBy(*keys, "_chunk").orderBy(*ordering(order))))
+    edge = F.min_by if forward else F.max_by
+    across = (pieces.groupBy(*keys, "_chunk").agg(edge(packed, order_key(order)).alias("_edge"))
+              .withColumn("_edge", shift("_edge").over(Window.partitionBy(*keys).orderBy("_chunk")))
+              .filter(F.col("_edge").isNotNull()))
+    joined = inside.join(across, [*keys, "_chunk"], "left").withColumn(out, F.coalesce("_in", "_edge"))
+    cols = [*df.columns, out]
+    return usual.select(*cols).unionByName(joined.select(*cols)).unionByName(loose.select(*cols))
 
 
 def joined_text(df: DataFrame, keys: Sequence[str], text: str, at: str, out: str,

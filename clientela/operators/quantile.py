@@ -5,7 +5,10 @@ mergeable sketch first brackets each wanted rank, values are then counted per br
 before the shuffle), and only the few values inside a bracket are ranked. The sketch decides
 where to look, never the answer: ranks are counted on all rows.
 
-A bracket holds about 6 in 10,000 rows of a large group, equal values counted once."""
+A bracket holds about 6 in 10,000 rows of a large group, equal values counted once. It is cut into
+CELLS equal cells, counted first, and only the one or two cells with the wanted ranks are ranked, so a
+task ranks the values of a cell. The sketch's rank error is bounded, not just likely, and the
+bracket is three times as wide."""
 
 from collections.abc import Sequence
 
@@ -17,6 +20,7 @@ from clientela.sources.staging import broadcast_if_bounded
 ACCURACY = 10_000        # sketch rank error: 1 / ACCURACY
 MARGIN = 3 / ACCURACY    # bracket half-width in rank share
 SMALL = 100_000          # groups up to this size are bracketed whole
+CELLS = 1_024            # of a bracket
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -69,12 +73,22 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
     # One count per value inside a bracket, and one for all values below it (_v null).
     counted = (
         paired.selectExpr(*names, "n", "_x", "inline(_w)").where("_x <= hi")
-        .selectExpr(*names, "i", "n", "if(_x >= lo, _x, null) AS _v")
-        .groupBy(*keys, "i", "_v").agg(F.expr("count(1)").alias("_c"), F.expr("max(n)").alias("n")))
-    ranked = counted.selectExpr(
+        .selectExpr(*names, "i", "n", "if(_x >= lo, _x, null) AS _v",
+                    f"if(_x >= lo, if(hi > lo, least(floor((_x - lo) / (hi - lo) * {CELLS}), {CELLS - 1}), 0), -1) AS _cell")
+        .groupBy(*keys, "i", "_cell", "_v").agg(F.expr("count(1)").alias("_c"), F.expr("max(n)").alias("n")))
+    part = ", ".join([*names, "i"])
+    filled = (counted.groupBy(*keys, "i", "_cell").agg(F.sum("_c").alias("_in"), F.max("n").alias("n"))
+              .selectExpr(*names, "i", "_cell", "n", "_in", f"sum(_in) OVER (PARTITION BY {part} ORDER BY _cell "
+                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end"))
+    spots = ", ".join(f"named_struct('i', {i}, 'at', CAST(floor({p!r}D * (n - 1)) AS BIGINT))" for i, p in enumerate(ps))
+    wanted = (f"exists(array({spots}), s -> (i = -1 OR s.i = i) AND _end >= s.at + 1 "
+              "AND _end - _in < least(s.at + 2, n))")
+    chosen = filled.where(f"_cell >= 0 AND {wanted}").selectExpr(*names, "i", "_cell", "_end - _in AS _before")
+    ranked = (counted.where("_cell >= 0").join(chosen, [*keys, "i", "_cell"]).selectExpr(
         *names, "i", "n", "_v",
-        f"sum(_c) OVER (PARTITION BY {', '.join([*names, 'i'])} ORDER BY _v NULLS FIRST "
+        f"_before + sum(_c) OVER (PARTITION BY {part}, _cell ORDER BY _v "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _upto")
+        .unionByName(filled.where("_cell < 0").selectExpr(*names, "i", "n", "CAST(null AS DOUBLE) AS _v", "_end AS _upto")))
     aggs, cells = [F.expr("max(n)").alias("n")], []
     for i, p in enumerate(ps):
         mine, at = f"i IN (-1, {i})", f"floor({p!r}D * (n - 1))"

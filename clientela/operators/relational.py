@@ -82,9 +82,11 @@ def lookup_join(df: DataFrame, table: DataFrame, on: str) -> DataFrame:
 
 
 def broadcast_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a global aggregate. `one_row` must come from a groupless aggregation, which is
-    what bounds the broadcast to a single row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the one row of a global aggregate. More than one row is an error."""
+    row = F.struct(*[F.col(f"`{c}`") for c in one_row.columns])
+    one = one_row.agg(F.max(row).alias("_row"), F.count(F.lit(1)).alias("_n")).select(F.when(
+        F.col("_n") <= 1, F.col("_row")).otherwise(F.raise_error(F.lit("more than one row"))).alias("_row"))
+    return df.crossJoin(F.broadcast(one)).select(*df.columns, "_row.*")
 
 
 def membership_flag(df: DataFrame, key: str, flags: dict[str, Column]) -> DataFrame:
@@ -137,14 +139,13 @@ def with_history(current: DataFrame | None, history: DataFrame | None) -> DataFr
 def upsert_period(history: DataFrame, current: DataFrame, col: str = "Periodo",
                   period: str | None = None) -> DataFrame:
     """Append `current` in place of what history holds for the same period, so a repeated run
-    changes nothing. With the period given, the filter prunes partitions of the history;
-    otherwise the periods of `current` are looked up: calendar months, so the broadcast set
-    stays in the hundreds whatever the data size."""
+    changes nothing; null counts as a period too. With the period given, the filter prunes
+    partitions of the history; otherwise the periods of `current` are looked up."""
     if period is not None:
         kept = history.filter(~F.col(col).eqNullSafe(period))
     else:
-        months = current.select(col).filter(F.col(col).isNotNull()).distinct()
-        kept = history.join(F.broadcast(months), col, "left_anti")
+        months = current.select(F.col(col).alias("_period")).distinct()
+        kept = history.join(months, F.col(col).eqNullSafe(F.col("_period")), "left_anti")
     return append_history(kept, current)
 
 

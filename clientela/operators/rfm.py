@@ -18,13 +18,14 @@ def date_anchor(lines: DataFrame) -> DataFrame:
 def rfm(lines: DataFrame, anchor: DataFrame | None = None, rounded: bool = False,
         monetary: str = "ValorMonetario") -> DataFrame:
     """One aggregation per customer. Frequency counts dated lines; recency is the number of
-    whole 24-hour periods from the last purchase to the latest date of all lines."""
-    one = (date_anchor(lines) if anchor is None else anchor).select("max_fecha")
+    whole 24-hour periods from the last purchase to the latest date of all lines, which is read
+    off the same aggregation: lines without a customer are one more group of it, then dropped."""
     total = F.coalesce(F.sum("total_actualizado").cast("double"), F.lit(0.0))
-    per = lines.filter(F.col("mail").isNotNull()).groupBy("mail").agg(
+    groups = lines.groupBy("mail").agg(
         (S.round_money(total) if rounded else total).alias(monetary),
         F.count("fecha").alias("Frecuencia"), F.max("fecha").alias("_last"))
-    dated = per.filter(F.col("_last").isNotNull()).crossJoin(F.broadcast(one))
+    one = groups.agg(F.max("_last").alias("max_fecha")) if anchor is None else anchor.select("max_fecha")
+    dated = groups.filter(F.col("mail").isNotNull() & F.col("_last").isNotNull()).crossJoin(F.broadcast(one))
     return dated.select("mail", monetary, "Frecuencia",
                         S.elapsed_days(F.col("_last"), F.col("max_fecha")).alias("Recencia"))
 

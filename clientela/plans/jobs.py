@@ -11,6 +11,7 @@ from clientela.functions import scalars as S
 from clientela.operators import cluster, features, gaps, lines, pricing, relational, snapshot
 from clientela.operators import transitions
 from clientela.operators.rfm import iqr_filter
+from clientela.sources import files
 from clientela.sources.staging import broadcast_if_bounded, staged
 
 PRICE_ROWS = 1_000_000   # products whose prices may be broadcast, two numbers each
@@ -38,10 +39,11 @@ class Rules:
 def monthly_lines(tables: dict[str, DataFrame], catalog: DataFrame, month: str,
                   kind: str = C.ORDER_TYPE, status: str = C.ORDER_STATUS,
                   rules: Rules = Rules()) -> DataFrame:
-    """Net, formatted, catalogued and priced sale lines of one month."""
+    """Net, formatted, catalogued and priced sale lines of one month. The month's lines are
+    stored, since they are read twice: for the products whose prices are needed, and for pricing."""
     formatted = lines.month_lines(tables, month, kind, status, rules.v1, rules.special)
-    named = lines.enrich_catalog(formatted, catalog, default_category=not rules.v1)
-    prices = broadcast_if_bounded(pricing.latest_price(tables["prices"]), PRICE_ROWS)
+    named = staged(lines.enrich_catalog(formatted, catalog, default_category=not rules.v1), "month")
+    prices = broadcast_if_bounded(month_prices(tables["prices"], named), PRICE_ROWS)
     return lines.attach_latest_price(named, prices, None if rules.v1 else 0)
 
 
@@ -131,3 +133,33 @@ def transition_report(history: DataFrame, tie: Sequence[str] = ()) -> dict[str,
     edges = transitions.transition_edges(history, tie)
     return {"edges": edges, "nodes": transitions.transition_nodes(history),
             "matrix": transitions.transition_matrix(edges)}
+
+
+def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store: str,
+              first: bool = False, rules: Rules = Rules()) -> dict[str, str]:
+    """The monthly run started on the day `as_of`: extract, accumulate, segment, append, publish.
+    Returns the places written.
+
+    The run takes the month of the day before. `store` is the folder of all months; unless it is
+    the `first` run, the month before has its place there. Each step reads what earlier steps or
+    the month before stored and writes to a place of its own month, so a run that is repeated
+    gives the same result."""
+    spark = catalog.sparkSession
+    calendar = S.run_calendar(F.lit(as_of))
+    day, month, previous = spark.range(1).select(
+        *[calendar[c].cast("string") for c in ("process_date", "process_month", "previous_month")]).first()
+    date = f"{month}-01"
+    paths = {name: f"{store}/{month}/{name}" for name in ("lines", "history", "snapshot", "snapshots")}
+    paths |= {name: f"{store}/{name}" for name in ("latest", "segments")}
+    before = (lambda name: None) if first else (lambda name: spark.read.parquet(f"{store}/{previous}/{name}"))
+
+    files.write_snapshot(monthly_lines(shop, catalog, month, rules=rules), paths["lines"], "parquet")
+    current = spark.read.parquet(paths["lines"])
+    history = accumulate(before("history"), current, month_prices(shop["prices"], current), month)
+    files.write_snapshot(history, paths["history"], "parquet", partition="Periodo")
+    done = segment_customers(spark.read.parquet(paths["history"]), day, date, rules)
+    files.write_snapshot(done, paths["snapshot"], "parquet")
+    snapshots = segmentation_history(spark.read.parquet(paths["snapshot"]), before("snapshots"), rules)
+    files.publish_latest(snapshots, paths["snapshots"], paths["latest"])
+    files.write_by_segment(relational.current_snapshot(spark.read.parquet(paths["snapshots"]), date), paths["segments"])
+    return paths

@@ -1,20 +1,50 @@
 """CSV and Parquet snapshots in and out."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientela import contracts as C
 
 
+NULL = r"\N"   # a text with a backslash is written with two, so none reads as this
+
+CSV = {"header": True, "quote": '"', "escape": '"', "nullValue": NULL, "emptyValue": '""',
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+       "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+
+
+def _escaped(df: DataFrame) -> DataFrame:
+    """Texts on one line each: backslash, line feed and carriage return as two characters."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    out = {c: F.replace(F.replace(F.replace(F.col(f"`{c}`"), F.lit("\\"), F.lit("\\\\")),
+                                  F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")) for c in texts}
+    return df.withColumns(out) if out else df
+
+
+def _unescaped(text: Column) -> Column:
+    """The texts that _escaped wrote. Doubled backslashes are set aside first."""
+    parts = F.transform(F.split(text, r"\\\\", -1), lambda x: F.replace(F.replace(
+        x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(text.contains("\\"), F.array_join(parts, "\\")).otherwise(text)
+
+
 def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                      sep: str = ",") -> DataFrame:
-    """CSV with header. Columns are matched by name and cast to `schema`, so a file may hold an
-    unnamed index column or another column order; bad values become null. Without a schema every
-    column is text, since types should not depend on a file's content."""
-    raw = (spark.read.option("header", True).option("sep", sep).option("escape", '"')
-           .option("inferSchema", False).csv(path))
+                      sep: str = ",", foreign: bool = False) -> DataFrame:
+    """CSV with header, as `write_snapshot` writes it. Columns are matched by name and cast to
+    `schema`, so a file may hold an unnamed index column or another column order; bad values
+    become null. Without a schema every column is text, since types should not depend on a file's
+    content.
+
+    A `foreign` file may have line breaks inside quotes, so it is read by one task; its
+    backslashes are plain characters and its empty fields null."""
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "inferSchema": False,
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "multiLine": foreign,
+               "nullValue": "" if foreign else NULL}
+    raw = spark.read.options(**options).csv(path)
     raw = raw.drop(*[c for c in raw.columns if c in C.INDEX_COLUMNS])
+    if not foreign and raw.columns:
+        raw = raw.select(*[_unescaped(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if schema is None:
         return raw
     have = set(raw.columns)
@@ -25,18 +55,20 @@ def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType | Non
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "csv", sep: str = ",",
                    partition: str | None = None, mode: str = "overwrite") -> None:
-    """CSV, TSV or Parquet. Partitioned Parquet replaces only the partitions it writes."""
-    writer = df.write.mode(mode)
+    """CSV, TSV or Parquet. Partitioned Parquet replaces only the partitions it writes. In CSV,
+    line breaks are escaped, so files can be split; null, empty text and outer blanks are kept
+    apart."""
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}")
+    out = _escaped(df) if fmt == "csv" else df
+    writer = out.write.mode(mode)
     if partition is not None:
-        writer = balanced(df, partition).write.mode(mode).partitionBy(partition).option(
+        writer = balanced(out, partition).write.mode(mode).partitionBy(partition).option(
             "partitionOverwriteMode", "dynamic")
     if fmt == "csv":
-        (writer.option("header", True).option("sep", sep).option("escape", '"')
-         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
-    elif fmt == "parquet":
-        writer.parquet(path)
+        writer.options(**CSV, sep=sep).csv(path)
     else:
-        raise ValueError(f"unknown format {fmt!r}")
+        writer.parquet(path)
 
 
 def balanced(df: DataFrame, col: str) -> DataFrame:
@@ -46,9 +78,19 @@ def balanced(df: DataFrame, col: str) -> DataFrame:
 
 
 def write_by_segment(df: DataFrame, path: str, col: str = "rfm", fmt: str = "csv") -> None:
-    """One folder per segment label; rows without a label are left out."""
+    """One folder per segment label; rows without a label are left out. The whole table is
+    replaced, so a label that no longer occurs leaves no folder behind."""
     labelled = df.filter(F.col(col).isNotNull())
-    write_snapshot(labelled, path, fmt, partition=col)
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}")
+    texts = labelled.drop(col).columns
+    out = _escaped(labelled.select(*[F.col(f"`{c}`") for c in texts], F.col(col))) if fmt == "csv" else labelled
+    writer = balanced(out, col).write.mode("overwrite").partitionBy(col).option(
+        "partitionOverwriteMode", "static")
+    if fmt == "csv":
+        writer.options(**CSV).csv(path)
+    else:
+        writer.parquet(path)
 
 
 def publish_latest(df: DataFrame, archive: str, latest: str, fmt: str = "csv") -> None:

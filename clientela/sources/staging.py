@@ -37,6 +37,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def broadcast_if_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that the frame is small; else leave the join to
-    shuffle. The frame is cached since it is needed again right after the count."""
-    held = df.persist()
+    shuffle. The frame is stored, as it is needed again right after the count."""
+    held = staged(df, "bounded")
     return F.broadcast(held) if held.limit(rows + 1).count() <= rows else held

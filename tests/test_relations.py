@@ -111,9 +111,36 @@ def test_csv_by_name_with_index_column(spark, make, tmp_path):
         f.write('Unnamed: 0,total,mail,fecha\n0,1.50,a,2024-01-01 10:00:00\n1,x,"b,""c""",\n')
     schema = T.StructType([T.StructField("mail", T.StringType()), T.StructField("total", T.DoubleType()),
                            T.StructField("fecha", T.TimestampNTZType()), T.StructField("nuevo", T.IntegerType())])
-    rows = [tuple(map(str, r)) for r in files.read_csv_snapshot(spark, path, schema).collect()]
+    rows = [tuple(map(str, r)) for r in files.read_csv_snapshot(spark, path, schema, foreign=True).collect()]
     assert rows == [("a", "1.5", "2024-01-01 10:00:00", "None"), ('b,"c"', "None", "None", "None")]
-    assert files.read_csv_snapshot(spark, path).columns == ["total", "mail", "fecha"]
+    assert files.read_csv_snapshot(spark, path, foreign=True).columns == ["total", "mail", "fecha"]
+
+
+TEXTS = [(1, "a\nb"), (2, " lead"), (3, "trail "), (4, ""), (5, None), (6, 'q"u"o,t;e\t'), (7, "\r\n"), (8, r"\N"),
+         (9, "\\n \\\\ \\"), (10, "é 日"), (11, '"'), (12, "\\\n")]
+
+
+@pytest.mark.parametrize("sep", [",", "\t", ";"])
+def test_csv_keeps_every_text(spark, tmp_path, sep):
+    df = spark.createDataFrame(TEXTS, "id long, t string")
+    path = str(tmp_path / "texts")
+    files.write_snapshot(df.repartition(3), path, sep=sep)
+    assert sorted(map(tuple, files.read_csv_snapshot(spark, path, df.schema, sep).collect())) == TEXTS
+
+
+def test_foreign_csv_with_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "foreign.csv")
+    with open(path, "w") as f:
+        f.write('id,t\n1,"a\nb"\n2, c \n3,\n')
+    got = files.read_csv_snapshot(spark, path, foreign=True).collect()
+    assert [tuple(r) for r in got] == [("1", "a\nb"), ("2", " c "), ("3", None)]
+
+
+def test_labels_that_are_gone_leave_no_folder(spark, make, tmp_path):
+    path = str(tmp_path / "seg")
+    for label in ("x", "y"):
+        files.write_by_segment(make([("a", label)], "mail string, rfm string"), path)
+    assert [p.name for p in (tmp_path / "seg").iterdir() if p.is_dir()] == ["rfm=y"]
 
 
 def test_partition_overwrite_touches_only_its_period(spark, make, tmp_path):

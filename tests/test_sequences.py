@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from clientela.operators import gaps, lines, ordered, snapshot, transitions
 
@@ -59,8 +58,7 @@ def test_neighbour_of_one_hot_key(make, hot_rows, forward):
     rows = [("hot" if n % 3 else f"k{n}", f"2024-{rng.randint(1, 9):02d}-10 00:00:00", n) for n in range(300)]
     df = make(rows, "k string, t timestamp_ntz, n int")
     got = {r.n: r.p.n if r.p else None for r in ordered.neighbour(
-        df, ["k"], ["t", "n"], ["n"], "p", chunk=F.date_trunc("month", "t").cast("timestamp_ntz"),
-        forward=forward, hot_rows=hot_rows).collect()}
+        df, ["k"], ["t", "n"], ["n"], "p", forward=forward, hot_rows=hot_rows).collect()}
     want = {}
     for key in {r[0] for r in rows}:
         group = [r[2] for r in sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))]
@@ -70,10 +68,28 @@ def test_neighbour_of_one_hot_key(make, hot_rows, forward):
     assert got == want
 
 
-def test_hot_keys_are_found(make):
-    df = make([("a",)] * 50 + [(f"k{i}",) for i in range(40)], "k string")
-    hot = ordered.hot_keys(df, ["k"], rows=20).collect()
-    assert len(hot) == 1 and hot[0]["_h"] == df.filter("k = 'a'").select(F.xxhash64("k")).first()[0]
+def test_all_hot_keys_are_found(spark):
+    df = spark.range(3_000 * 4).selectExpr("concat('k', id % 3000) AS k").union(
+        spark.range(500).selectExpr("concat('few', id) AS k"))
+    hot = ordered.hot_keys(df, ["k"], rows=3).collect()
+    assert len(hot) == 3_000 and {r["_rows"] for r in hot} == {4}
+
+
+def test_rows_of_one_time_are_dealt_too(spark):
+    df = spark.range(20_000).selectExpr("'k' AS k", "CAST('2024-01-01' AS TIMESTAMP_NTZ) AS t", "id AS n")
+    got = ordered.neighbour(df, ["k"], ["t", "n"], ["n"], "p", hot_rows=1_000)
+    assert got.where("p.n = n - 1").count() == 19_999 and got.where("p IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 0])
+def test_null_equals_nothing(make, hot_rows):
+    day = lambda n: f"2024-01-0{n} 00:00:00"
+    rows = [(None, "a", 1, day(1), 10, "sale", 1), (None, "a", 1, day(2), 4, NOTE, 2),
+            (-1, "a", 1, day(3), 10, "sale", 3), (-1, "a", 1, day(4), 4, NOTE, 4)]
+    got = {r.bill_id: r.quantity for r in lines.net_credit_notes(make(rows, LINE), hot_rows=hot_rows).collect()}
+    assert got == {1: 10, 2: 4, 3: 6, 4: 4}
+    snaps = make([("", "p", "2024-02-01", day(9)), (None, "p", "2024-01-01", day(1))], SNAP)
+    assert {r.gap_entre_compras for r in gaps.purchase_gap(snaps, hot_rows=hot_rows).collect()} == {None}
 
 
 BOUGHT = "mail string, Periodo string, fecha timestamp_ntz, titulo string, bill_id long, product_id long, quantity int, total_actualizado double, tipo_prd_id int"
@@ -152,5 +168,9 @@ def test_transitions(make):
 def test_edges_count_all_but_first_snapshots(make):
     df = make([r for r in SNAPS if r[0]], SNAP)
     assert sum(r.cantidad for r in transitions.transition_edges(df).collect()) == (3 - 1) + 0 + (2 - 1)
+    moves = transitions.transition_edges(df).unionByName(make([("p", "nuevo", 3)], "rfm_anterior string, rfm string, cantidad long"))
+    for labels in (None, ["q"]):
+        wide = transitions.transition_matrix(moves, labels)
+        assert all(abs(r["p"] + r["q"] + r["nuevo"] - 1) < 1e-12 for r in wide.collect())
     wide = transitions.transition_matrix(transitions.transition_edges(df), ["p", "q"])
     assert all(abs(r["p"] + r["q"] - 1) < 1e-12 for r in wide.collect())

@@ -107,6 +107,24 @@ def test_lloyd_cost_falls_and_finds_the_groups(spark):
     assert cost(library, cols) == pytest.approx(costs[2])
 
 
+def test_seeds_are_different_points(make):
+    rows = [(f"c{i}", 1.0, float(i % 4)) for i in range(40)] + [("z", 9.0, 0.0)]
+    df = make(rows, "mail string, ValorMonetario double, y double")
+    cols = ["ValorMonetario", "y"]
+    seeds = cluster.rank_seeds(df, cols, 3, "ValorMonetario", "mail")
+    assert len({tuple(x) for x in seeds}) == 3
+    assert len({r.rfm_cluster for r in cluster.kmeans_lloyd(df, cols, k=3).collect()}) == 3
+    with pytest.raises(ValueError):
+        cluster.kmeans_lloyd(make(rows[:2], "mail string, ValorMonetario double, y double"), cols, k=3)
+
+
+def test_nothing_stays_cached(spark, make):
+    from clientela.operators import profile
+    df = make([(i % 3, float(i)) for i in range(50)], "g int, x double")
+    profile.describe(df, ["x"], by="g").collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_assign_tie_goes_to_the_lowest(make):
     df = make([(1.0,), (4.0,)], "x double")
     cents = make([(1, 0.0), (0, 2.0)], "cluster int, x double")

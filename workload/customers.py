@@ -424,7 +424,7 @@ def purchase_gap(spark, d):
 @query("purchase_gap_split", f"WITH {SNAPSHOTS}, {_gap_sql('mail')} SELECT {_GAPCOLS} FROM gaps")
 def purchase_gap_split(spark, d):
     """With every customer treated as a hot one."""
-    return G.purchase_gap(weekly_snapshots(spark, d), unit="week", hot_rows=0)
+    return G.purchase_gap(weekly_snapshots(spark, d), hot_rows=0)
 
 
 @query("purchase_gap_within_label", f"WITH {SNAPSHOTS}, {_gap_sql('mail, rfm')} SELECT {_GAPCOLS} FROM gaps")
@@ -450,13 +450,13 @@ _PREV = """moves AS (SELECT *, lag(rfm) OVER (PARTITION BY mail ORDER BY fecha_s
 
 @query("previous_state", f"WITH {STATES}, {_PREV} SELECT * FROM moves")
 def previous_state(spark, d):
-    return T.previous_state(states(spark, d), tie=("event_id",), unit="day")
+    return T.previous_state(states(spark, d), tie=("event_id",))
 
 
 @query("previous_state_split", f"WITH {STATES}, {_PREV} SELECT * FROM moves")
 def previous_state_split(spark, d):
     """With every customer treated as a hot one."""
-    return T.previous_state(states(spark, d), tie=("event_id",), unit="day", hot_rows=0)
+    return T.previous_state(states(spark, d), tie=("event_id",), hot_rows=0)
 
 
 EDGES = """edges AS (SELECT rfm_anterior, rfm, count(*) AS cantidad FROM moves WHERE rfm_anterior IS NOT NULL
@@ -465,7 +465,7 @@ EDGES = """edges AS (SELECT rfm_anterior, rfm, count(*) AS cantidad FROM moves W
 
 @query("transition_edges", f"WITH {STATES}, {_PREV}, {EDGES} SELECT * FROM edges")
 def transition_edges(spark, d):
-    return T.transition_edges(states(spark, d), tie=("event_id",), unit="day")
+    return T.transition_edges(states(spark, d), tie=("event_id",))
 
 
 @query("transition_nodes", "SELECT event_type AS rfm, count(*) AS cantidad FROM events GROUP BY 1")
@@ -481,5 +481,5 @@ MATRIX = ("SELECT rfm_anterior, " + ", ".join(
 
 @query("transition_matrix", f"WITH {STATES}, {_PREV}, {EDGES} {MATRIX}")
 def transition_matrix(spark, d):
-    edges = T.transition_edges(states(spark, d), tie=("event_id",), unit="day")
-    return rounded(T.transition_matrix(edges, _LABELS))
+    edges = T.transition_edges(states(spark, d), tie=("event_id",))
+    return rounded(T.transition_matrix(edges))

@@ -15,8 +15,8 @@ from workload.customers import (
     _described, _gap_sql, account_lines, rounded)
 
 COLS = ("ValorMonetario", "Frecuencia", "Recencia")
-ROUNDS = 3
-RULES = J.Rules(method="lloyd", max_iter=ROUNDS)
+ROUNDS = 60   # unrolled in SQL: more than any of the tables takes until nothing moves
+RULES = J.Rules(method="lloyd")
 
 
 def _lloyd_sql(rounds: int) -> str:
@@ -24,19 +24,19 @@ def _lloyd_sql(rounds: int) -> str:
     z = ", ".join(f'CASE WHEN s_{i} > 0 THEN ("{c}" - m_{i}) / s_{i} ELSE 0.0 END AS z{i}'
                   for i, c in enumerate(COLS))
     stats = ", ".join(f'avg("{c}") AS m_{i}, stddev_pop("{c}") AS s_{i}' for i, c in enumerate(COLS))
-    ctes = [f"""scaled AS (SELECT kept.*, {z} FROM kept, (SELECT {stats} FROM kept))""",
-            """placed AS (SELECT *, row_number() OVER (ORDER BY "ValorMonetario", mail) - 1 AS r,
-  count(*) OVER () AS n FROM scaled)""",
-            """seeds AS (SELECT i, min("ValorMonetario") AS v FROM placed, (VALUES (0), (1), (2)) s(i)
+    ctes = [f"""scaled AS MATERIALIZED (SELECT kept.*, {z} FROM kept, (SELECT {stats} FROM kept))""",
+            """placed AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r, count(*) OVER () AS n
+  FROM (SELECT DISTINCT "ValorMonetario" AS v FROM scaled))""",
+            """seeds AS (SELECT i, min(v) AS v FROM placed, (VALUES (0), (1), (2)) s(i)
   WHERE r = CAST(floor((2 * i + 1) / 6.0::DOUBLE * (n - 1)) AS BIGINT) GROUP BY i)""",
             """c0 AS (SELECT i, z0, z1, z2 FROM (SELECT seeds.i, scaled.*, row_number() OVER (
     PARTITION BY seeds.i ORDER BY mail) AS rn FROM seeds JOIN scaled ON "ValorMonetario" = v) WHERE rn = 1)"""]
     for t in range(rounds + 1):
-        ctes.append(f"""a{t} AS (SELECT mail, arg_min(i, (dist, i)) AS i FROM (SELECT scaled.mail, c.i,
+        ctes.append(f"""a{t} AS MATERIALIZED (SELECT mail, arg_min(i, (dist, i)) AS i FROM (SELECT scaled.mail, c.i,
     (scaled.z0 - c.z0) ** 2 + (scaled.z1 - c.z1) ** 2 + (scaled.z2 - c.z2) ** 2 AS dist
     FROM scaled, c{t} c) GROUP BY mail)""")
         if t < rounds:
-            ctes.append(f"""c{t + 1} AS (SELECT i, avg(z0) AS z0, avg(z1) AS z1, avg(z2) AS z2
+            ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT i, avg(z0) AS z0, avg(z1) AS z1, avg(z2) AS z2
   FROM scaled JOIN a{t} USING (mail) GROUP BY i)""")
     ctes.append(f"""clustered AS (SELECT scaled.*, CAST(a{rounds}.i AS INTEGER) AS rfm_cluster
   FROM scaled JOIN a{rounds} USING (mail))""")
@@ -60,7 +60,7 @@ def kept(spark, d):
 
 
 def lloyd(spark, d):
-    return K.kmeans_lloyd(K.standardize(kept(spark, d)), iters=ROUNDS)
+    return K.kmeans_lloyd(K.standardize(kept(spark, d)))
 
 
 @query("standardize", f"""WITH {BASE}
@@ -273,6 +273,6 @@ FROM edges JOIN nodes USING (rfm_anterior) JOIN matrix USING (rfm_anterior)""")
 def transition_report(spark, d):
     snap = states(spark, d)
     report = J.transition_report(snap, tie=("event_id",))
-    matrix = rounded(T.transition_matrix(report["edges"], _LABELS))
+    matrix = rounded(T.transition_matrix(report["edges"]))
     nodes = report["nodes"].toDF("rfm_anterior", "total")
     return report["edges"].join(nodes, "rfm_anterior").join(matrix, "rfm_anterior")
