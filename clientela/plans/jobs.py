@@ -114,7 +114,8 @@ def segmentation_history(current: DataFrame, old: DataFrame | None,
     is replaced."""
     if old is not None:
         old = relational.replace_values(
-            old.withColumn("fecha_segmentacion", S.snapshot_date(F.col("fecha_segmentacion"))),
+            old.drop("gap_entre_compras", "segmento_gap").withColumn(
+                "fecha_segmentacion", S.snapshot_date(F.col("fecha_segmentacion"))),
             C.LEGACY_LABELS)
         combined = relational.upsert_period(old, current, "fecha_segmentacion")
     else:

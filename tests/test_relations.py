@@ -1,5 +1,7 @@
 """Features, prices, history, files and jobs."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,3 +188,28 @@ def test_lookup_of_an_unknown_customer(make):
     df = make([("a", 3)], "mail string, Recencia int")
     assert tuple(relational.customer_lookup(df, "a").first()) == ("a", 3, True)
     assert tuple(relational.customer_lookup(df, "z").first()) == ("z", None, False)
+
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not present")
+def test_monthly_run_can_be_repeated(spark, tmp_path):
+    """Two months in a row; the second again gives the same tables, equal to the operators' own."""
+    from workload.base import catalog, shop
+    tables, titles = shop(spark, DATA), catalog(spark, DATA)
+    rules = jobs.Rules(special="Box 20", method="lloyd")
+    run = lambda day, first=False: jobs.run_month(tables, titles, day, str(tmp_path), first, rules)
+    read = lambda p: sorted(map(str, spark.read.parquet(p).collect()))
+    run("1998-04-01", True)
+    paths = run("1998-05-01")
+    once = {name: read(paths[name]) for name in ("lines", "history", "snapshot", "snapshots")}
+    latest = sorted(p.name for p in (tmp_path / "segments").iterdir() if p.is_dir())
+    paths = run("1998-05-01")
+    assert {name: read(paths[name]) for name in once} == once
+    assert sorted(p.name for p in (tmp_path / "segments").iterdir() if p.is_dir()) == latest
+    months = {r[0] for r in spark.read.parquet(paths["history"]).select("Periodo").distinct().collect()}
+    assert months == {"1998-03", "1998-04"}
+    assert once["lines"] == sorted(map(str, jobs.monthly_lines(tables, titles, "1998-04", rules=rules).collect()))
+    schema = spark.read.parquet(paths["snapshots"]).schema
+    assert sorted(map(str, files.read_csv_snapshot(spark, paths["latest"], schema).collect())) == once["snapshots"]

@@ -242,8 +242,8 @@ s_prices AS (
 
 
 def catalog(spark: SparkSession, d: str) -> DataFrame:
-    """Title, brand and category; one product family is missing from the catalogue."""
-    return table(spark, d, "part").filter("p_name NOT LIKE '%ring'").select(
+    """Title, brand and category of the whole product table."""
+    return table(spark, d, "part").select(
         F.col("p_name").alias("titulo"), F.col("p_brand").alias("MARCA"),
         F.when(F.col("p_size") <= 35, "FF").otherwise("other").alias("CATEGORÍA"))
 
@@ -253,4 +253,4 @@ CATALOG = """catalog AS (
     SELECT *, row_number() OVER (PARTITION BY titulo ORDER BY "MARCA", "CATEGORÍA") AS rn FROM (
       SELECT p_name AS titulo, p_brand AS "MARCA",
         CASE WHEN p_size <= 35 THEN 'FF' ELSE 'other' END AS "CATEGORÍA"
-      FROM part WHERE p_name NOT LIKE '%ring')) WHERE rn = 1)"""
+      FROM part)) WHERE rn = 1)"""

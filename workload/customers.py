@@ -10,6 +10,7 @@ from clientela.operators import profile as D
 from clientela.operators import relational as R
 from clientela.operators import rfm as M
 from clientela.operators import snapshot as N
+from clientela.operators.lines import in_month
 from clientela.operators import transitions as T
 from clientela.operators.ordered import last_per_key
 from clientela.sources.staging import staged
@@ -48,7 +49,9 @@ def top_k_products(spark, d):
 
 
 def _month_split(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return lines.filter(F.col("Periodo") == MONTH), lines.filter(F.col("Periodo") < MONTH)
+    """The month and what is before it, by ranges of the date that reach the scan."""
+    start = F.lit(f"{MONTH}-01").cast("timestamp_ntz")
+    return lines.filter(in_month(F.col("fecha"), MONTH)), lines.filter(F.col("fecha") < start)
 
 
 _INDEX_TIE = "fecha, bill_id, l_linenumber, l_suppkey, quantity, total_actualizado"
@@ -155,6 +158,12 @@ def rfm(spark, d):
     return M.rfm(sale_lines(spark, d))
 
 
+@query("rfm_rounded", f"""WITH {LINES}, {RFM}
+SELECT mail, round_even("ValorMonetario", 2) AS "ValorMonetario", "Frecuencia", "Recencia" FROM rfm""")
+def rfm_rounded(spark, d):
+    return M.rfm(sale_lines(spark, d), rounded=True)
+
+
 @query("rfm_subday", """
 SELECT CAST(user_id AS VARCHAR) AS mail, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS "ValorMonetario",
   count(*) AS "Frecuencia",
@@ -329,6 +338,18 @@ def matrix_to_long(spark, d):
     return D.matrix_to_long(wide, "a")
 
 
+@query("matrix_to_long_unlabelled", """SELECT CAST(isodow(ts) AS VARCHAR) AS a, CAST(user_id % 7 + 1 AS VARCHAR) AS b,
+  count(*) / 10.0::DOUBLE AS corr FROM events GROUP BY 1, 2""")
+def matrix_to_long_unlabelled(spark, d):
+    """A square matrix whose rows follow the order of the columns, without labels of their own."""
+    days = [str(i) for i in range(1, 8)]
+    counts = table(spark, d, "events").groupBy(
+        (F.weekday("ts") + 1).cast("string").alias("a"), (F.col("user_id") % 7 + 1).cast("string").alias("b")).agg(
+        (F.count(F.lit(1)) / F.lit(10.0)).alias("corr"))
+    wide = D.long_to_wide(counts, days)
+    return D.matrix_to_long(wide.select(*days, (F.col("a").cast("int") - 1).alias("fila")))
+
+
 @query("distribution_profile", f"""WITH {LINES}, span AS (SELECT min(x) AS lo, max(x) AS hi FROM (
     SELECT CAST(total_actualizado AS DOUBLE) AS x FROM lines)),
 binned AS (SELECT "MARCA", CAST(least(floor((CAST(total_actualizado AS DOUBLE) - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin,
@@ -432,6 +453,18 @@ def purchase_gap_within_label(spark, d):
     return G.purchase_gap(weekly_snapshots(spark, d), within_label=True)
 
 
+@query("purchase_gap_nulls", f"""WITH {SNAPSHOTS.replace("snaps AS", "whole AS", 1)}, snaps AS (SELECT * REPLACE (
+  CASE CAST(mail AS INTEGER) % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE mail END AS mail) FROM whole), {_gap_sql('mail')}
+SELECT mail, fecha_segmentacion, ultima_compra, CASE WHEN mail IS NOT NULL THEN gap_entre_compras END AS gap_entre_compras,
+  CASE WHEN mail IS NULL THEN 'Primera / Única Compra' ELSE segmento_gap END AS segmento_gap FROM gaps""")
+def purchase_gap_nulls(spark, d):
+    """Null customers have no purchases before; the customer '' is one like others."""
+    code = F.col("mail").cast("int") % 4
+    snaps = weekly_snapshots(spark, d).withColumn("mail", F.when(code == 1, "").when(code != 0, F.col("mail")))
+    ranked = snaps.select("mail", "fecha_segmentacion", "ultima_compra")
+    return G.purchase_gap(ranked)
+
+
 @query("gap_distribution", f"""WITH {SNAPSHOTS}, {_gap_sql('mail')}
 SELECT rfm, segmento_gap, count(DISTINCT mail) AS cantidad_de_clientes, count(*) AS filas FROM gaps GROUP BY 1, 2""")
 def gap_distribution(spark, d):

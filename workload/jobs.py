@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from clientela.operators import cluster as K
 from clientela.operators import transitions as T
+from clientela.operators.lines import in_month
 from clientela.operators.rfm import iqr_filter, rfm
 from clientela.plans import jobs as J
-from clientela.sources.staging import staged
+from clientela.sources import files
+from clientela.sources.staging import stage_path, staged
 from workload.base import (
     ACCOUNTS, ATTRIBUTED, CATALOG, LINES, RFM, SHOP, SNAPSHOTS, STATES, TIE, TIE_SQL, UNIT_CENTS, catalog,
     query, sale_lines, shop, states, weekly_snapshots)
@@ -70,10 +72,28 @@ def standardize(spark, d):
     return rounded(K.standardize(kept(spark, d)), 6, *K.SCALED)
 
 
-@query("kmeans")
+@query("kmeans", f"""WITH {BASE}
+SELECT count(*) AS filas, count(DISTINCT mail) AS clientes, 3 AS grupos, true AS cercanos, true AS costo FROM scaled""")
 def kmeans(spark, d):
-    """Random starts, so there is no SQL for it."""
-    return K.kmeans(K.standardize(kept(spark, d))).select("mail", *COLS, K.CLUSTER)
+    """What holds for any starts: each row is labelled once, every cluster has rows, each row lies
+    nearest to the mean of its own cluster, and the cost is not above that of the repeatable form."""
+    labelled = staged(K.kmeans(K.standardize(kept(spark, d))), "kmeans-labels")
+    found = K.cluster_means(labelled, cols=K.SCALED).withColumnRenamed(K.CLUSTER, "cluster")
+    near = K.kmeans_assign(labelled, K.SCALED, found, "cerca")
+    facts = near.agg(
+        F.count(F.lit(1)).alias("filas"), F.count_distinct("mail").alias("clientes"),
+        F.count_distinct(K.CLUSTER).cast("int").alias("grupos"),
+        F.sum(F.when(F.col("cerca") == F.col(K.CLUSTER), 0).otherwise(1)).alias("_lejos"))
+    costs = [_cost(x).withColumnRenamed("costo", f"_{i}") for i, x in enumerate((labelled, lloyd(spark, d)))]
+    return facts.crossJoin(costs[0]).crossJoin(costs[1]).select(
+        "filas", "clientes", "grupos", (F.col("_lejos") == 0).alias("cercanos"),
+        (F.col("_0") <= F.col("_1") * 1.0001).alias("costo"))
+
+
+def _cost(labelled):
+    """Squared distances to the cluster means, in all."""
+    spread = labelled.groupBy(K.CLUSTER).agg(*[(F.var_pop(c) * F.count(F.lit(1))).alias(c) for c in K.SCALED])
+    return spread.agg(F.sum(sum(F.col(c) for c in K.SCALED)).alias("costo"))
 
 
 @query("kmeans_assign", f"""WITH {LINES}, {RFM}, cents(i, c0, c1, c2) AS (
@@ -200,8 +220,8 @@ FROM lines l LEFT JOIN prices p USING (product_id) WHERE "Periodo" <= '{_ACC_MON
 def accumulate(spark, d):
     """History up to a month at current money, plus that month."""
     lines = sale_lines(spark, d).select(*_ACC_COLS, "total_actualizado")
-    now = lines.filter(F.col("Periodo") == _ACC_MONTH)
-    old = lines.filter(F.col("Periodo") < _ACC_MONTH)
+    now = lines.filter(in_month(F.col("fecha"), _ACC_MONTH))
+    old = lines.filter(F.col("fecha") < F.lit(f"{_ACC_MONTH}-01").cast("timestamp_ntz"))
     log = shop(spark, d)["prices"].withColumn("product_id", F.col("product_id") - 1_000_000_000)
     out = J.accumulate(old, now.withColumn("total_actualizado", F.col("total_actualizado").cast("double")),
                        J.month_prices(log, now), _ACC_MONTH, tie=TIE)
@@ -233,6 +253,20 @@ def segment_customers(spark, d):
     return segments(spark, d)
 
 
+_FACTS = ("mail", "Multimarca", "mezcla_en_misma_compra", "consume_combo", "FF", "cluster_patrones_consumo", "Recencia",
+          "Frecuencia", "ValorMonetario", "fecha_segmentacion", "producto_que_consume", "ultima_compra",
+          "Contenido Ultima Compra", "Contenido Ante Ultima Compra")
+
+
+@query("segment_customers_default", f"WITH {SEGMENTS} SELECT {', '.join(chr(34) + c + chr(34) for c in _FACTS)}, true AS nombrado FROM segments")
+def segment_customers_default(spark, d):
+    """With the job's own clustering, whose labels depend on its starts: all else, and that every
+    customer has a label."""
+    history = staged(account_lines(spark, d), "history")
+    done = J.segment_customers(history, AS_OF, SNAP_DATE)
+    return done.select(*_FACTS, F.col("rfm").isNotNull().alias("nombrado"))
+
+
 def old_snapshots(spark, d):
     """Earlier weekly snapshots, under a legacy label and with dates kept as text."""
     df = weekly_snapshots(spark, d).filter("fecha_segmentacion < '2024-01-15'")
@@ -255,6 +289,25 @@ def segmentation_history(spark, d):
     return history(spark, d)
 
 
+@query("segmentation_history_within_label", f"WITH {HISTORY.replace('PARTITION BY mail', 'PARTITION BY mail, rfm')} SELECT {_GAPCOLS} FROM gaps")
+def segmentation_history_within_label(spark, d):
+    now = weekly_snapshots(spark, d).filter("fecha_segmentacion >= '2024-01-15'")
+    return J.segmentation_history(now, old_snapshots(spark, d), J.Rules(within_label=True))
+
+
+@query("run_month")
+def run_month(spark, d):
+    """Two monthly runs in a row over the shop's tables, and the published table read back. No
+    SQL: the parts have theirs, tests compare the whole with them and with a repeated run."""
+    store = stage_path(spark, "store")
+    tables, titles = shop(spark, d), catalog(spark, d)
+    rules = J.Rules(special="Box 20", method="lloyd")
+    for turn, day in enumerate(("1998-04-01", "1998-05-01")):
+        paths = J.run_month(tables, titles, day, store, first=turn == 0, rules=rules)
+    schema = spark.read.parquet(paths["snapshots"]).schema
+    return files.read_csv_snapshot(spark, paths["latest"], schema)
+
+
 NOW = "now AS (SELECT * FROM gaps WHERE fecha_segmentacion = DATE '2024-01-15')"
 
 

@@ -20,6 +20,14 @@ _LSQL = ", ".join(_LCOLS)
 
 # --- sources and sinks ---------------------------------------------------------------------
 
+# A text with line breaks, quotes, outer blanks, backslashes, empty or null, by a number.
+_TEXT = """CASE {n} % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || {t} WHEN 3 THEN {t} || chr(10) || {t} || ' '
+  WHEN 4 THEN '"' || {t} || '",' WHEN 5 THEN {t} || chr(92) || 'n' WHEN 6 THEN chr(92) || 'N' ELSE {t} END AS nota"""
+
+
+def noted(df, number: str, text: str):
+    return df.select("*", F.expr(_TEXT.format(n=number, t=text)))
+
 @query("read_table", "SELECT * FROM customer")
 def read_table_(spark, d):
     return read_table(spark, f"{d}/customer.parquet")
@@ -54,34 +62,40 @@ def fetch_by_keys(spark, d):
     return R.fetch_by_keys(t["bills"], keys, "post_id")
 
 
-@query("read_csv_snapshot", f"WITH {LINES} SELECT {_LSQL} FROM lines")
+_NOTED = f"WITH {LINES} SELECT {_LSQL}, {_TEXT.format(n='(l_linenumber + product_id)', t='type')} FROM lines"
+_NOTED_SNAPS = f"{_TEXT.format(n='CAST(mail AS INTEGER)', t='rfm')}"
+
+
+@query("read_csv_snapshot", _NOTED)
 def read_csv_snapshot(spark, d):
     """Written with an index column, as older snapshots have one, and read back."""
-    df = sale_lines(spark, d).select(*_LCOLS)
+    df = noted(sale_lines(spark, d).select(*_LCOLS), "(l_linenumber + product_id)", "type")
     path = stage_path(spark, "csv")
     files.write_snapshot(df.select(F.monotonically_increasing_id().alias("Unnamed: 0"), "*"), path)
     return files.read_csv_snapshot(spark, path, df.schema)
 
 
-@query("write_snapshot", f"WITH {LINES} SELECT {_LSQL} FROM lines")
+@query("write_snapshot", _NOTED)
 def write_snapshot(spark, d):
-    df = sale_lines(spark, d).select(*_LCOLS)
+    df = noted(sale_lines(spark, d).select(*_LCOLS), "(l_linenumber + product_id)", "type")
     path = stage_path(spark, "tsv")
     files.write_snapshot(df, path, sep="\t")
     return files.read_csv_snapshot(spark, path, df.schema, sep="\t")
 
 
-@query("write_by_segment", f"WITH {SNAPSHOTS} SELECT * FROM snaps")
+@query("write_by_segment", f"WITH {SNAPSHOTS} SELECT *, {_NOTED_SNAPS} FROM snaps")
 def write_by_segment(spark, d):
-    df = weekly_snapshots(spark, d)
+    """Written twice, the first time with a label that is gone then."""
+    df = noted(weekly_snapshots(spark, d), "CAST(mail AS INT)", "rfm")
     path = stage_path(spark, "segments")
-    files.write_by_segment(df, path, fmt="parquet")
-    return spark.read.parquet(path).select(*df.columns)
+    files.write_by_segment(df.withColumn("rfm", F.lit("gone")), path)
+    files.write_by_segment(df, path)
+    return files.read_csv_snapshot(spark, path, df.schema)
 
 
-@query("publish_latest", f"WITH {SNAPSHOTS} SELECT *, 2 AS copias FROM snaps")
+@query("publish_latest", f"WITH {SNAPSHOTS} SELECT *, {_NOTED_SNAPS}, 2 AS copias FROM snaps")
 def publish_latest(spark, d):
-    df = weekly_snapshots(spark, d)
+    df = noted(weekly_snapshots(spark, d), "CAST(mail AS INT)", "rfm")
     archive, latest = stage_path(spark, "archive"), stage_path(spark, "latest")
     files.publish_latest(df, archive, latest)
     both = spark.read.parquet(archive).unionByName(files.read_csv_snapshot(spark, latest, df.schema))
@@ -191,12 +205,15 @@ def join_dedup_right(spark, d):
 
 
 @query("enrich_catalog", f"""WITH {LINES}, {CATALOG}
-SELECT l.post_id, l.product_id, l.l_linenumber, l.l_suppkey, l.quantity, l.total_actualizado, l.titulo,
+SELECT l.post_id, l.product_id, l.l_linenumber, l.l_suppkey, l.quantity, l.total_actualizado, l.t AS titulo,
   COALESCE(c."MARCA", 'otros') AS "MARCA", COALESCE(c."CATEGORÍA", 'otros') AS "CATEGORÍA"
-FROM lines l LEFT JOIN catalog c ON c.titulo = l.titulo""")
+FROM (SELECT *, CASE WHEN titulo LIKE '%ring' THEN titulo || ' x' ELSE titulo END AS t FROM lines) l
+LEFT JOIN catalog c ON c.titulo = l.t""")
 def enrich_catalog(spark, d):
     lines = sale_lines(spark, d).select("post_id", "product_id", "l_linenumber", "l_suppkey",
                                         "quantity", "total_actualizado", "titulo")
+    other = F.when(F.col("titulo").like("%ring"), F.concat("titulo", F.lit(" x"))).otherwise(F.col("titulo"))
+    lines = lines.withColumn("titulo", other)  # titles that the catalogue lacks
     return L.enrich_catalog(lines, catalog(spark, d))
 
 
@@ -284,6 +301,16 @@ def net_credit_notes_split(spark, d):
     return L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE, hot_rows=0).select(*_NET_COLS)
 
 
+@query("net_credit_notes_nulls", NETTED.replace("FROM lines", "FROM loose").replace("seen AS", """loose AS (
+  SELECT * REPLACE (CASE WHEN post_id % 3 = 0 THEN NULL ELSE post_id END AS post_id) FROM lines), seen AS""", 1).replace(
+    "CASE WHEN nt", "CASE WHEN post_id IS NOT NULL AND nt"))
+def net_credit_notes_nulls(spark, d):
+    """A third of the lines have no order: they net nothing."""
+    lines = sale_lines(spark, d).select("bill_id", *_NET_COLS).withColumn(
+        "post_id", F.when(F.col("post_id") % 3 != 0, F.col("post_id")))
+    return L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE).select(*_NET_COLS)
+
+
 @query("last_per_key", """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
@@ -336,6 +363,17 @@ def upsert_period(spark, d):
     return R.upsert_period(once, new)
 
 
+@query("upsert_period_nulls", f"""WITH {LINES}
+SELECT post_id, product_id, l_linenumber, l_suppkey, total_actualizado, CASE WHEN "Periodo" < '{MONTH}' THEN "Periodo" END AS "Periodo",
+  CASE WHEN "Periodo" >= '{MONTH}' THEN quantity + 1 ELSE quantity END AS quantity FROM lines""")
+def upsert_period_nulls(spark, d):
+    """A null period is replaced by a null period, also twice."""
+    cols = ("post_id", "product_id", "l_linenumber", "l_suppkey", "total_actualizado", "Periodo", "quantity")
+    lines = sale_lines(spark, d).select(*cols).withColumn("Periodo", F.when(F.col("Periodo") < MONTH, F.col("Periodo")))
+    new = lines.filter(F.col("Periodo").isNull()).withColumn("quantity", F.col("quantity") + 1)
+    return R.upsert_period(R.upsert_period(lines, new), new)
+
+
 @query("dedup", f"WITH {LINES} SELECT DISTINCT mail, fecha FROM lines")
 def dedup(spark, d):
     return R.dedup(sale_lines(spark, d), ["mail", "fecha"])
