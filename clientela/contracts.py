@@ -46,23 +46,8 @@ def _schema(*fields: tuple) -> T.StructType:
 
 
 _long, _int, _str = T.LongType(), T.IntegerType(), T.StringType()
-_ts, _dbl, _money = T.TimestampNTZType(), T.DoubleType(), T.DecimalType(18, 2)
+_ts, _dbl = T.TimestampNTZType(), T.DoubleType()
 
-ORDERS = _schema(("ID", _long), ("post_type", _str), ("post_status", _str), ("post_date", _ts))
-PRODUCTS = _schema(("product_id", _long), ("titulo", _str), ("descripcion", _str))
-ATTRIBUTES = _schema(("post_id", _long), ("meta_key", _str), ("meta_value", _str))
-BILLS = _schema(("post_id", _long), ("bill_id", _long), ("type", _str), ("fecha", _ts))
-ITEMS = _schema(("bill_id", _long), ("product_id", _long), ("quantity", _int))
-PRICE_LOG = _schema(("product_id", _long), ("fecha", _ts), ("precio", _money))
-CATALOG = _schema(("titulo", _str), ("MARCA", _str), ("CATEGORÍA", _str))
-SALE_LINES = _schema(
-    ("bill_id", _long), ("product_id", _long), ("quantity", _int), ("titulo", _str),
-    ("descripcion", _str), ("tipo_prd_id", _int), ("post_id", _long), ("type", _str),
-    ("fecha", _ts), ("mail", _str), ("titulo_descripcion", _str), ("Unidad", _int),
-    ("Presentacion", _str), ("Combo", _int), ("Periodo", _str), ("Carton_unidad", _int),
-    ("Carton_cantidad", _dbl), ("MARCA", _str), ("CATEGORÍA", _str), ("precio", _money),
-    ("total_actualizado", _dbl),
-)
 SNAPSHOT = _schema(
     ("mail", _str), ("Multimarca", _int), ("mezcla_en_misma_compra", _int),
     ("consume_combo", _int), ("FF", _int), ("cluster_patrones_consumo", _str),

@@ -1,6 +1,6 @@
 """Neighbouring rows and ordered texts inside groups that may be very large."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -89,8 +89,10 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
 
 
 def joined_text(df: DataFrame, keys: Sequence[str], text: str, at: str, out: str,
-                distinct: bool = True, style: str = "joined") -> DataFrame:
-    """Texts of each key by time `at`, then alphabetically, as one string.
+                distinct: bool = True, style: str = "joined",
+                only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Texts of each key by time `at`, then alphabetically, as one string. `only` picks the keys
+    of the merged rows whose texts are built.
 
     `distinct` keeps the first sight of each text; repeats are merged before the shuffle, so a
     group holds no more elements than there are different texts. With repeats kept, the texts of
@@ -103,6 +105,9 @@ def joined_text(df: DataFrame, keys: Sequence[str], text: str, at: str, out: str
         daily = known.select(*keys, text, F.col(at).alias("_at"), F.col(at).cast("date").alias("_day"))
         part = (daily.groupBy(*keys, "_day").agg(_sorted_join(text).alias(text))
                 .withColumnRenamed("_day", "_at"))
+    if only is not None:
+        picked = only(part)
+        part = part.join(picked, picked.columns, "left_semi")
     if style == "list":
         quoted = F.concat(F.lit("'"), F.col(text), F.lit("'"))
         body = part.withColumn(text, quoted).groupBy(*keys).agg(_sorted_join(text, " ").alias(out))
