@@ -18,8 +18,8 @@ from clientela.llm.winnow import _seen_before
 
 SEEN = 32        # bytes that the hash depends on
 CUT_BITS = 5     # a bound every 32 bytes on average, after
-LEAST = 16       # bytes in a chunk
-RUN_WORDS = 15   # words that begin in a run of repeated chunks
+LEAST, MOST = 16, 240  # bytes in a chunk; text that recurs with a short period has no bounds of its own
+RUN_WORDS = 20   # words that begin in a run of repeated chunks
 
 GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, np.uint64).astype(np.uint32)
 
@@ -36,21 +36,28 @@ def gear(data: np.ndarray) -> np.ndarray:
 
 def bounds(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of each chunk. A text's last chunk ends with it."""
-    cuts = np.flatnonzero(gear(piece.bytes) >> np.uint32(32 - CUT_BITS) == 0) + 1
-    splits = np.searchsorted(cuts, piece.offsets)
+    data = piece.bytes
+    cuts = np.flatnonzero(gear(data) >> np.uint32(32 - CUT_BITS) == 0) + 1
+    cuts = cuts[:-1] if len(cuts) and cuts[-1] == len(data) else cuts
+    cuts = cuts[(data[cuts] & 0xC0) != 0x80]  # between characters
+    splits = np.searchsorted(cuts, piece.offsets).tolist()
     cuts, firsts, ends = cuts.tolist(), [], []
-    offsets, splits = piece.offsets.tolist(), splits.tolist()
+    offsets = piece.offsets.tolist()
     for row in range(piece.rows):
         first, stop = offsets[row], offsets[row + 1]
         sees = first + SEEN  # before, the hash holds bytes of the text before
-        for cut in cuts[splits[row]:splits[row + 1]]:
-            if cut >= sees and cut - first >= LEAST and cut < stop:
+        for cut in [*cuts[splits[row]:splits[row + 1]], stop]:
+            while cut - first > MOST:
+                end = first + MOST
+                while data[end] & 0xC0 == 0x80:
+                    end -= 1
+                firsts.append(first)
+                ends.append(end)
+                first = end
+            if first < cut == stop or cut >= sees and LEAST <= cut - first and cut < stop:
                 firsts.append(first)
                 ends.append(cut)
                 first = cut
-        if first < stop:
-            firsts.append(first)
-            ends.append(stop)
     return np.array(firsts, np.int64), np.array(ends, np.int64)
 
 
