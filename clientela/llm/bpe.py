@@ -111,7 +111,7 @@ class Bpe:
         while state and state << 8 | byte not in self.go:
             state = self.back[state]
         found = self.go.get(state << 8 | byte, 0)
-        if len(self.go) < 16 * CACHED:
+        if len(self.go) < 4 * CACHED:
             self.go[key] = found
         return found
 
@@ -135,6 +135,8 @@ class Bpe:
                     before, left = l[0], l[2]        # of equal ranks the one further left goes first
                 else:
                     before, right = r[0] + 1, r[1]   # so the bound precedes an equal rank on its right
+            if len(self.firm) >= 2 * CACHED:
+                self.firm.clear()
             self.firm[key] = found
         return found
 
