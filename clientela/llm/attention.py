@@ -17,7 +17,7 @@ from clientela.llm.textbytes import Piece, slices
 
 PASSAGE_WORDS = 64
 HIDDEN, ATTENTION = 16, 8
-PER_CLASS = 1500  # labelled documents of each class that are learned from
+PER_CLASS = 1000  # labelled documents of each class that are learned from
 STEPS, RATE, DECAY = 300, 0.02, 1e-4
 DECISION = 0.3    # score from which a document counts as good
 
@@ -85,7 +85,13 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     if not sample:
         model.out[:] = 0
         return model
-    rows, x = bags(pa.record_batch({"text": pa.array([t for t, _ in sample], pa.string())}))
+    rows, x, seen = [], [], 0
+    for part in slices([pa.record_batch({"text": pa.array([t for t, _ in sample], pa.string())})]):
+        owner, found = bags(part)
+        rows.append(owner + seen)
+        x.append(found)
+        seen += part.num_rows
+    rows, x = np.concatenate(rows), np.concatenate(x)
     y = np.array([label for _, label in sample], float)
     model.center, model.scale = x.mean(0), np.maximum(x.std(0), 0.02)
     share = np.clip(y.mean(), 1e-9, 1 - 1e-9)

@@ -102,14 +102,19 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     model = Model()
     if not sample:
         return model
-    piece = Piece(pa.record_batch({"text": pa.array([t for t, _ in sample], pa.string())}))
-    rows, firsts, ends = tiled_lines(piece)
-    x = shapes(piece, firsts, ends)
+    rows, x, seen = [], [], 0
+    for part in slices([pa.record_batch({"text": pa.array([t for t, _ in sample], pa.string())})]):
+        piece = Piece(part)
+        owner, firsts, ends = tiled_lines(piece)
+        rows.append(owner + seen)
+        x.append(shapes(piece, firsts, ends))
+        seen += part.num_rows
+    rows, x = np.concatenate(rows), np.concatenate(x)
     y = np.array([label for _, label in sample])[rows]
     model.center, model.scale = x.mean(0), np.maximum(x.std(0), 0.02)
     adam = Adam([model.weights, model.bias, model.move], RATE)
     for _ in range(STEPS):
-        adam.step(model.gradients(rows, x, y, piece.rows))
+        adam.step(model.gradients(rows, x, y, seen))
     return model
 
 

@@ -10,8 +10,8 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 22
-PIECE_ROWS = 1000
+PIECE_BYTES = 1 << 20
+PIECE_ROWS = 500
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -25,6 +25,12 @@ LEAST_TEXTS = 5      # learned from, that hold an n-gram that gets a vector
 DECISION = 0.7       # score from which a document counts as toxic
 
 
+def bags_of(rows: np.ndarray) -> np.ndarray:
+    """Bag of each word: BAG_WORDS in a row of one text."""
+    number = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
+    return np.cumsum(number % BAG_WORDS == 0) - 1
+
+
 class Words:
     """Words of a piece, lower-cased, each between spaces; and the buckets of their n-grams."""
 
@@ -54,12 +60,6 @@ class Words:
         """Word that an n-gram starting there belongs to; a space belongs to the word behind it."""
         return self.gaps[positions + 1] - 1
 
-    def bags(self, n_rows: int) -> np.ndarray:
-        """Bag of each word: BAG_WORDS in a row of one text."""
-        number = np.arange(self.n) - np.searchsorted(self.rows, self.rows, "left")
-        opened = number % BAG_WORDS == 0
-        return np.cumsum(opened) - 1
-
     def means(self, values: np.ndarray) -> np.ndarray:
         """Mean value of each word's n-grams, for one value per bucket."""
         total, count = np.zeros(self.n), np.zeros(self.n)
@@ -95,7 +95,7 @@ class Model:
         words = Words(piece)
         if not words.n:
             return np.full(piece.rows, -np.inf)
-        bags = words.bags(piece.rows)
+        bags = bags_of(words.rows)
         sizes = np.bincount(bags)
         logits = np.bincount(bags, weights=words.means(self.values)) / sizes + self.bias
         rows = words.rows[np.concatenate([[0], np.cumsum(sizes)[:-1]])]
@@ -133,15 +133,24 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     number = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y != 1))
     held = number % 4 == 0
     texts = pa.array([t for t, _ in sample], pa.string())
-    piece = Piece(pa.record_batch({"text": texts.filter(pa.array(~held))}))
-    known, words = y[~held], Words(piece)
-    n = piece.rows
-    # distinct words, their n-grams, and the bags over them
-    ends = np.concatenate([words.starts[1:] - 1, [len(words.text) - 1]])
-    spelled = Piece(pa.record_batch({"text": pa.array([words.text.tobytes().decode()])}))
-    _, first, word = np.unique(spelled.hashes(words.starts, ends), return_index=True, return_inverse=True)
-    distinct = b" ".join(words.text[words.starts[i]:ends[i]].tobytes() for i in first)
-    own = Words(Piece(pa.record_batch({"text": pa.array([distinct.decode()])})))
+    known = y[~held]
+    # distinct words, and the word and text of each occurrence
+    hashes, owner_rows, spelled, n = [], [], {}, 0
+    for part in slices([pa.record_batch({"text": texts.filter(pa.array(~held))})]):
+        words = Words(Piece(part))
+        if words.n:
+            ends = np.concatenate([words.starts[1:] - 1, [len(words.text) - 1]])
+            found = Piece(pa.record_batch({"text": [words.text.tobytes().decode()]})).hashes(words.starts, ends)
+            for i, h in zip(*np.unique(found, return_index=True)[::-1], strict=True):
+                spelled.setdefault(int(h), words.text[words.starts[i]:ends[i]].tobytes())
+            hashes.append(found)
+            owner_rows.append(words.rows + n)
+        n += part.num_rows
+    if not hashes:
+        return model
+    order, word = np.unique(np.concatenate(hashes), return_inverse=True)
+    text_rows = np.concatenate(owner_rows)
+    own = Words(Piece(pa.record_batch({"text": [b" ".join(spelled[int(h)] for h in order).decode()]})))
     entries, owners = [], []
     for size in GRAMS:
         bucket, inside = own.buckets(size)
@@ -150,15 +159,15 @@ def fit(sample: list[tuple[str, int]]) -> Model:
         owners.append(own.word_of(at))
     entries, owners = np.concatenate(entries), np.concatenate(owners)
     part = 1 / np.maximum(np.bincount(owners, minlength=own.n), 1)[owners]
-    bags = words.bags(n)
+    bags = bags_of(text_rows)
     sizes = np.bincount(bags)
-    rows = words.rows[np.concatenate([[0], np.cumsum(sizes)[:-1]])]
+    rows = text_rows[np.concatenate([[0], np.cumsum(sizes)[:-1]])]
     weight = np.where(known == 1, 0.5 / known.mean(), 0.5 / (1 - known.mean())) / n
 
     g = np.random.default_rng(9)
     vectors, softmax, bias = g.normal(0, 0.1, (BUCKETS, WIDTH)), g.normal(0, 0.1, (WIDTH, 2)), np.zeros(2)
     adam = Adam([vectors, softmax, bias], RATE)
-    pairs = np.unique(words.rows * own.n + word)  # (text, word), once each
+    pairs = np.unique(text_rows * own.n + word)  # (text, word), once each
     texts_of = np.bincount(pairs % own.n, minlength=own.n)
     used = np.bincount(entries, weights=texts_of[owners], minlength=BUCKETS) >= LEAST_TEXTS
     vectors[~used] = 0
@@ -179,7 +188,7 @@ def fit(sample: list[tuple[str, int]]) -> Model:
                    np.column_stack([-pull, pull]) + 1e-6 * softmax, np.array([-by_bag.sum(), by_bag.sum()])])
     model.values = vectors @ (softmax[:, 1] - softmax[:, 0])
     model.bias = float(bias[1] - bias[0])
-    z = model.logits(Piece(pa.record_batch({"text": texts.filter(pa.array(held))})))
+    z = np.concatenate([model.logits(Piece(part)) for part in slices([pa.record_batch({"text": texts.filter(pa.array(held))})])])
     some = np.isfinite(z)
     model.slope, model.shift = _scaled(z[some], y[held][some])
     return model
