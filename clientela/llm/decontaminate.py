@@ -2,7 +2,9 @@
 
 Items, and windows of a document that are as long as an item, get a 64-bit SimHash of their words.
 Fingerprints within RADIUS bits agree on one of RADIUS + 1 blocks of bits at least, so joining on
-blocks finds all of them. Candidates are confirmed by the weighted similarity of their shingles. A
+blocks finds all of them. A block of changed words costs few shingles but many bits, so the windows
+of a document that holds enough of an item's shingles are candidates too, however far their
+fingerprints are. Candidates are confirmed by the weighted similarity of their shingles. A
 window without a shingle of an item cannot be confirmed: windows are laid only where an item's
 shingle stands in the text, so that it has its place in the window."""
 
@@ -50,6 +52,23 @@ def _similarity(a: str, b: str) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def _counted(cut: DataFrame, hits: DataFrame, seeds: DataFrame, known: DataFrame) -> DataFrame:
+    """Windows of the documents that hold at least PERCENT of an item's shingles, each as often as
+    the item does: the similarity is at most the share of the item that the document holds. Nor can
+    it be over the lesser number of shingles by the greater."""
+    own = seeds.groupBy("mark", "k", "shingle").agg(F.count("*").alias("wanted"))
+    held = hits.groupBy("id", "k", "shingle").agg(F.count("*").alias("there"))
+    shared = (held.join(small(own, ITEM_ROWS), ["k", "shingle"]).groupBy("id", "mark")
+              .agg(F.sum(F.least("wanted", "there")).alias("joint")))
+    most = F.col("n") - F.col("k") + 1
+    pairs = (shared.join(small(known.select("mark", "item", "n", "k", F.col("hashes").alias("own")), ITEM_ROWS), "mark")
+             .where(100 * F.col("joint") >= PERCENT * most))
+    there = F.size("hashes") - F.col("k") + 1
+    return (cut.select("id", "start", "hashes").join(pairs, "id")
+            .where((100 * there >= PERCENT * most) & (100 * most >= PERCENT * there))
+            .select("id", "start", "hashes", "item", "k", "own"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item of which a window is found in it: id, item, start (word of
@@ -58,25 +77,27 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     Words are runs outside white space (0x20, 0x09-0x0D), lower-cased; an item of fewer than 5
     words is one shingle. Null and empty texts and items match nothing; rows without an id are
     left out. Where an id repeats, the windows of all its texts count. In a text shorter than an
-    item the window is the whole text. Missed can only be windows whose fingerprint differs in
-    more than RADIUS bits although their shingles are similar enough."""
+    item the window is the whole text. Every laid window is found whose shingles are similar
+    enough, by its fingerprint or by the count of the item's shingles in its document."""
     docs = renamed(docs, id_col, text_col).where("id IS NOT NULL")
     known = (renamed(items, item_col, item_text).select(F.col("id").alias("item"), _words(F.col("text")).alias("words"))
              .where("size(words) > 0").select("item", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
              .withColumn("n", F.size("hashes")).withColumn("k", F.least("n", F.lit(WORDS))))
-    known = keep(known.distinct(), "items")
+    known = keep(known.distinct().withColumn("mark", F.monotonically_increasing_id()), "items")
     lengths = [r.k for r in known.select("k").distinct().collect()]  # at most WORDS values
 
     hashed = docs.select("id", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    windows = None
+    seeds = hits = None
     for k in lengths or [WORDS]:
-        seeds = (known.where(F.col("k") == k).select("n", F.posexplode(_shingles("hashes", k)).alias("offset", "shingle"))
-                 .distinct())
-        places = hashed.select("id", F.size("hashes").alias("length"),
+        own = (known.where(F.col("k") == k)
+               .select("mark", "n", "k", F.posexplode(_shingles("hashes", k)).alias("offset", "shingle")))
+        places = hashed.select("id", F.size("hashes").alias("length"), F.lit(k).alias("k"),
                                F.posexplode(_shingles("hashes", k)).alias("pos", "shingle"))
-        laid = places.join(small(seeds, ITEM_ROWS), "shingle").select(
-            "id", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("length") - F.col("n"))).alias("start"))
-        windows = laid if windows is None else windows.union(laid)
+        held = places.join(small(own.select("shingle").distinct(), ITEM_ROWS), "shingle", "left_semi")
+        seeds, hits = (own, held) if hits is None else (seeds.union(own), hits.union(held))
+    seeds, hits = keep(seeds, "seeds"), keep(hits, "hits")
+    windows = hits.join(small(seeds.select("n", "k", "offset", "shingle").distinct(), ITEM_ROWS), ["k", "shingle"]).select(
+        "id", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("length") - F.col("n"))).alias("start"))
     windows = keep(windows.distinct(), "windows")
 
     laid = windows.groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("laid"))
@@ -88,7 +109,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             .join(small(_blocks(marked).select(
                 "item", "k", "block", F.col("hashes").alias("own"), F.col("fingerprint").alias("other")), ITEM_ROWS), "block")
             .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= RADIUS)
-            .drop("block", "fingerprint", "other").distinct())
+            .drop("block", "fingerprint", "other"))
+    near = near.unionByName(_counted(cut, hits, seeds, known)).distinct()
     sides = near.select("id", "item", "start", F.size("hashes").alias("n_words"),
                         F.expr(_per_length("hashes")).alias("a"), F.expr(_per_length("own")).alias("b"))
     good = sides.withColumn("similarity", _similarity("a", "b")).where(100 * F.col("similarity") >= PERCENT)

@@ -71,3 +71,19 @@ def test_blocks_find_every_fingerprint_within_the_radius(spark):
     for _ in range(200):
         flips = r.sample(range(64), decontaminate.RADIUS)
         assert len({b // decontaminate.BLOCK_BITS for b in flips}) < 64 // decontaminate.BLOCK_BITS
+
+
+def test_changed_ends_and_blocks_are_found_as_by_brute_force(docs, prose, spark):
+    """Few shingles but many bits of the fingerprint."""
+    items, rows, want = [], [], {}
+    for i, (n, first, last) in enumerate([(15, 14, 15), (30, 28, 30), (40, 37, 40), (59, 54, 59), (60, 30, 34), (100, 50, 59),
+                                          (200, 172, 200), (200, 0, 28), (20, 15, 20), (60, 20, 40)] * 4):
+        words = prose(n, 100 + i).split()
+        new = [*words[:first], *prose(last - first, 300 + i).split(), *words[last:]]
+        items.append((i, " ".join(words)))
+        rows.append((i, " ".join([prose(7, 500 + i), *new, prose(11, 700 + i)])))
+        a, b = ({tuple(x[j:j + 5]) for j in range(n - 4)} for x in (words, new))
+        if 100 * len(a & b) >= 75 * len(a | b):
+            want[i, i] = (7, n, round(len(a & b) / len(a | b), 6))
+    got = decontaminate.leaks(docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 6)) for r in got} == want and len(want) == 32
