@@ -1,8 +1,9 @@
 """Secret scans with ownership frequency, in DataFrame operations only.
 
 Candidates are found by pattern in every text. Across the corpus, each candidate value (by digest,
-never in clear) is counted by distinct repositories and owners: what several owners hold is a
-copied example, what one owner holds looks live. Live-looking bare tokens become spans too."""
+never in clear) is counted by distinct repositories and owners: what several owners or many
+repositories hold is a copied example, what few repositories of one owner hold looks live.
+Live-looking bare tokens become spans too."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ BASE = (
 )
 BARE = ("bare", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
 OWNERS = 1  # most owners of a value that still looks live
+REPOSITORIES = 20  # and most repositories, copies of one text counted once
 
 SPAN = "array<struct<start:int,rank:int,end:int,digest:string>>"
 
@@ -59,7 +61,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
     A document is a repository, `owner_col` its owner. Positions are code points, ends exclusive.
     n_live and n_example split all base spans and candidate tokens by whether at most OWNERS owners
-    hold their value; values of rows without an owner have none. `spans` holds the base spans and
+    and REPOSITORIES repositories hold their value. Copies of one text count as one repository; a
+    repository without an owner counts as an owner of its own. `spans` holds the base spans and
     the live-looking bare tokens (20 or more of A-Z, a-z, 0-9, +/_=-, with a digit and letters of
     both cases) that overlap no base span. A null text counts as empty. Rows that repeat an id are
     one repository, and each is returned."""
@@ -71,16 +74,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     base = raw.withColumn("base", F.concat(*kinds)).withColumn("bare", F.filter("bare", lambda b: ~F.exists(
         "base", lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"])) & _mixed(F.col("text"), b)))
     found = keep(base.select(
-        F.monotonically_increasing_id().alias("row"), "id", "owner",
+        F.monotonically_increasing_id().alias("row"), "id", "owner", F.xxhash64("text").alias("copy"),
         *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), "base", "bare"), "secrets")
 
     candidates = found.where("size(base) + size(bare) > 0").select(
-        "row", "id", "owner", F.explode(F.concat("base", "bare")).alias("span")).select(
-        "row", "id", "owner", "span", F.col("span.digest").alias("digest"))
+        "row", "id", "owner", "copy", F.explode(F.concat("base", "bare")).alias("span")).select(
+        "row", "id", "owner", "copy", "span", F.col("span.digest").alias("digest"))
+    holder = F.when(F.col("owner").isNull(), F.struct(F.lit(None).cast("string").alias("owner"), "copy")).otherwise(
+        F.struct(F.col("owner").cast("string").alias("owner"), F.lit(None).cast("long").alias("copy")))
     frequency = candidates.groupBy("digest").agg(
-        F.count_distinct("id").alias("repositories"), F.count_distinct("owner").alias("owners"))
-    judged = candidates.join(frequency, "digest").withColumn("live", F.col("owners") <= OWNERS)
+        F.least(F.count_distinct(F.coalesce(F.col("id").cast("string"), F.concat(F.lit("copy "), "copy"))),
+                F.count_distinct("copy")).alias("repositories"),
+        F.count_distinct(holder).alias("owners"))
+    judged = candidates.join(frequency, "digest").withColumn(
+        "live", (F.col("owners") <= OWNERS) & (F.col("repositories") <= REPOSITORIES))
     bare = F.lit(len(BASE))
     verdicts = judged.groupBy("row").agg(
         F.count_if(F.col("live")).alias("n_live"), F.count_if(~F.col("live")).alias("n_example"),

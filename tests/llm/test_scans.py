@@ -44,6 +44,16 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert secrets.scan(table.limit(0)).count() == 0
 
 
+def test_values_copied_widely_within_one_source_or_without_one_are_examples(spark):
+    wide, one, few, stray, alone = (x + "qW3eR5tY7u" * 2 for x in ("Wd1", "On2", "Fe3", "St4", "Al5"))
+    rows = [(i, f"{wide} text {i}", "hot") for i in range(30)] + [(100 + i, f"{one} same", "hot") for i in range(30)]
+    rows += [(200 + i, f"{few} text {i}", "hot") for i in range(3)] + [(300 + i, f"{stray} text {i}", None) for i in range(3)]
+    rows += [(400 + i, f"{alone} same", None) for i in range(3)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(x.doc_id // 100, x.spans, x.n_live, x.n_example) for x in got} == {
+        (0, "", 0, 1), (1, "bare:0:23", 1, 0), (2, "bare:0:23", 1, 0), (3, "", 0, 1), (4, "bare:0:23", 1, 0)}
+
+
 def test_scans_run_no_python(spark):
     rows = spark.createDataFrame([(1, "a b c d e f", "x")], "doc_id long, text string, source string")
     for df in (secrets.scan(rows), decontaminate.leaks(rows, rows.selectExpr("doc_id AS item_id", "text"))):
