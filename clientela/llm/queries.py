@@ -34,6 +34,13 @@ def op1_line_dedup(spark, d):
     return repeated_runs(table(spark, d, "documents"))
 
 
+@query
+def op1_line_dedup_long(spark, d):
+    """With runs of one or two lines that hold many words, which the SQL of op1_line_dedup leaves out."""
+    from clientela.llm.winnow import LONG_WORDS, repeated_runs
+    return repeated_runs(table(spark, d, "documents"), long_words=LONG_WORDS)
+
+
 @query
 def op8_substring_dedup(spark, d):
     from clientela.llm.chunks import repeated_passages

@@ -25,5 +25,5 @@ def runs(found: DataFrame, sums: tuple[str, ...] = ()) -> DataFrame:
     numbered = found.withColumn("reach", reach).withColumn("run", F.sum(opened).over(order))
     return numbered.groupBy("id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
-        F.min_by("source", "start").alias("source"), F.count("*").alias("units"),
+        F.min_by("source", F.struct("start", -F.col("end"), "source")).alias("source"), F.count("*").alias("units"),
         *[F.sum(c).alias(c) for c in sums]).drop("run")

@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
     """Later copies of runs of lines go, and documents that hold nothing else. n_chars follows."""
-    left = winnow.delete_runs(docs, winnow.repeated_runs(docs))
+    left = winnow.delete_runs(docs, winnow.repeated_runs(docs, long_words=winnow.LONG_WORDS))
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

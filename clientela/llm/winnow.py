@@ -4,9 +4,10 @@ Every line that holds more than white space is hashed. Of each WINDOW consecutiv
 least (the last among equals) is a fingerprint, so two texts that share WINDOW lines in a row are
 certain to share a fingerprint. Only windows around fingerprints that several texts hold are
 compared. A matched window is extended to both sides as long as the next window matches too; the
-later copy of the run goes."""
+later copy of the run goes. Shorter runs count where they hold many words: single lines and pairs
+of lines are windows of their own then."""
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,8 @@ from clientela.llm.repeats import repeated, runs
 from clientela.llm.store import keep, mapped, renamed
 from clientela.llm.textbytes import SPACE, Piece, grams, slices
 
-WINDOW = 3  # lines; the shortest run that is found
+WINDOW = 3       # lines; the shortest run that is found whatever it holds
+LONG_WORDS = 50  # a shorter run is found if it holds more words
 
 
 def solid_lines(piece: Piece) -> tuple[np.ndarray, ...]:
@@ -40,34 +42,49 @@ def _seen_before(rows: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray
     return out
 
 
-def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        piece = Piece(part)
-        rows, number, firsts, ends = solid_lines(piece)
-        lines = [piece.hashes(firsts, ends, kind) for kind in (0, 1)]
-        h1, at = grams(lines[0], rows, WINDOW)
-        h2, _ = grams(lines[1], rows, WINDOW)
-        least = lines[0][at] if len(at) else h1
-        for i in range(1, WINDOW):
-            least = np.minimum(least, lines[0][at + i])
-        yield pa.record_batch({
-            "id": part.column(0).take(pa.array(rows[at])),
-            "fingerprint": least.view(np.int64), "h1": h1.view(np.int64), "h2": h2.view(np.int64),
-            "start": number[at].astype(np.int32), "end": number[at + WINDOW - 1].astype(np.int32),
-            "again": _seen_before(rows[at], h1, h2)})
-
-
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Runs of at least WINDOW lines that stand earlier, in a text of smaller id or higher up in
-    the same text: id, first_line, last_line (from 0), n_windows, source_id (the least id that
-    holds the first window).
+def _windows(long_words: int | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Windows of WINDOW lines; and, unless `long_words` is None, shorter ones of more words."""
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            piece = Piece(part)
+            rows, number, firsts, ends = solid_lines(piece)
+            lines = [piece.hashes(firsts, ends, kind) for kind in (0, 1)]
+            words = np.zeros(len(piece.bytes) + 1, np.int64)
+            words[piece.words()[0] + 1] = 1
+            words = np.cumsum(words)
+            words = np.concatenate([[0], np.cumsum(words[ends] - words[firsts])])
+            found = []
+            for n in range(WINDOW if long_words is None else 1, WINDOW + 1):
+                h1, at = grams(lines[0], rows, n)
+                h2, _ = grams(lines[1], rows, n)
+                if n < WINDOW:
+                    held = words[at + n] - words[at] > long_words
+                    h1, h2, at = h1[held], h2[held], at[held]
+                least = lines[0][at] if len(at) else h1
+                for i in range(1, n):
+                    least = np.minimum(least, lines[0][at + i])
+                found.append((at, at + n - 1, least, h1, h2))
+            at, last, least, h1, h2 = map(np.concatenate, zip(*found, strict=True))
+            yield pa.record_batch({
+                "id": part.column(0).take(pa.array(rows[at])),
+                "fingerprint": least.view(np.int64), "h1": h1.view(np.int64), "h2": h2.view(np.int64),
+                "start": number[at].astype(np.int32), "end": number[last].astype(np.int32),
+                "again": _seen_before(rows[at], h1, h2)})
+    return work
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  long_words: int | None = None) -> DataFrame:
+    """Runs of at least WINDOW lines, or of more than `long_words` words if given, that stand earlier, in a text of smaller id or higher up in
+    the same text: id, first_line, last_line (from 0), n_windows (matched, of all lengths), source_id
+    (the least id that holds the first window).
 
     Lines are split at line feeds and compared whole; blank lines neither count nor break a run.
     Null and empty texts have no run. Rows without an id are left out, since nothing orders them.
     Rows that repeat an id are one document: equal texts do not remove each other."""
     docs = renamed(docs, id_col, text_col).where("id IS NOT NULL")
     kind = docs.schema["id"].dataType.simpleString()
-    windows = mapped(docs, _windows, f"id {kind}, fingerprint long, h1 long, h2 long, start int, end int, again boolean")
+    windows = mapped(docs, _windows(long_words), f"id {kind}, fingerprint long, h1 long, h2 long, start int, end int, again boolean")
     windows = keep(windows, "windows")
     joined = (windows.groupBy("fingerprint").agg(F.min("id").alias("low"), F.max("id").alias("high"))
               .where("low < high").select("fingerprint"))

@@ -90,6 +90,15 @@ def test_line_runs_are_those_of_brute_force(docs):
     assert [(x.first_line, x.last_line, x.source_id) for x in got if x.doc_id == 101] == [(1, 4, 100)]
 
 
+def test_short_runs_of_many_words_are_found(docs, prose):
+    long, half, other, short = prose(51, 1), prose(30, 2), prose(21, 3), prose(50, 4)
+    rows = [(1, f"a\n{long}\nb\n{half}\n\n{other}\nc\n{short}\nd"), (2, f"e\n{long}\nf"), (3, f"g\n{half}\n{other}\nh"),
+            (4, f"i\n{short}\nj\n{half}\nk\n{other}"), (5, f"{long}\nl\n{long}\nb"), (6, "p\nq\nr"), (7, "p\nq\nr\n" + long)]
+    got = winnow.repeated_runs(docs(rows), long_words=winnow.LONG_WORDS).collect()
+    assert sorted((x.doc_id, x.first_line, x.last_line, x.source_id) for x in got) == [
+        (2, 1, 1, 1), (3, 1, 2, 1), (5, 0, 0, 1), (5, 2, 3, 1), (7, 0, 2, 6), (7, 3, 3, 1)]
+
+
 def test_deleting_runs_keeps_the_rest(docs):
     rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny"), (3, "a\nb\nc"), (4, "k\r\n\n"), (5, None), (None, "a\nb\nc"), (6, "")]
     table = docs(rows)
