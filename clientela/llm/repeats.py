@@ -1,6 +1,6 @@
 """What recurs across documents: units with a digest, first holders, and runs of repeated units."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,10 @@ def repeated(units: DataFrame) -> DataFrame:
     return across.unionByName(within)
 
 
-def runs(found: DataFrame, sums: tuple[str, ...] = ()) -> DataFrame:
+def runs(found: DataFrame, sums: tuple[str, ...] = (), more: tuple[Column, ...] = ()) -> DataFrame:
     """Merge repeated units (id, start, end, source, ...) of a text that touch or overlap into
-    longest runs: id, start, end, source (of the first unit), units, and the named sums."""
+    longest runs: id, start, end, source (of the first unit), units, the named sums
+    and more aggregates."""
     order = Window.partitionBy("id").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)
@@ -26,4 +27,4 @@ def runs(found: DataFrame, sums: tuple[str, ...] = ()) -> DataFrame:
     return numbered.groupBy("id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
         F.min_by("source", F.struct("start", -F.col("end"), "source")).alias("source"), F.count("*").alias("units"),
-        *[F.sum(c).alias(c) for c in sums]).drop("run")
+        *[F.sum(c).alias(c) for c in sums], *more).drop("run")

@@ -131,6 +131,19 @@ def test_passages_are_found_and_removed(docs, prose):
     assert chunks.repeated_passages(docs([])).count() == 0
 
 
+def test_passages_of_51_words_are_found_to_their_ends(docs, prose):
+    rows, spans = [], {}
+    for i in range(300):
+        passage = prose(51, 10_000 + i)
+        for k in (0, 1):
+            before = f"{k}é" + prose(40, 20_000 + 2 * i + k) + f" {k}"
+            rows.append((2 * i + k, before + passage + f"{k} " + prose(40, 30_000 + 2 * i + k)))
+            spans[2 * i + k] = (len(before), len(before) + len(passage))
+    got = {r.doc_id: (r.start, r.end, r.source_id, r.n_words) for r in chunks.repeated_passages(docs(rows)).collect()}
+    assert set(got) <= {i for i in spans if i % 2} and len(got) >= 299  # one shares no whole chunk
+    assert all(got[i][:3] == (*spans[i], i - 1) and got[i][3] in (50, 51) for i in got)
+
+
 def test_chunks_tile_texts_and_survive_insertions(prose):
     import pyarrow as pa
     text = prose(400, 7) + "é日本" * 5
