@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientela.llm.sample import fold
+from clientela.sources.staging import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +102,26 @@ def op2_language_id(spark, d):
     parts = fold(F.col("doc_id"), 3)
     return identify(docs, learn(docs, parts != 1)).select(
         "doc_id", F.coalesce(parts == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_tokenizer_alignment(spark, d):
+    from clientela.llm.align import alignment
+    path = public_tokenizers.path
+    return alignment(table(spark, d, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+@query
+def op12_token_files(spark, d):
+    from clientela.llm.tokenfiles import checksums, read_tokens, write_tokens
+    folder = stage_path(spark, "op12-tokens")
+    write_tokens(table(spark, d, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return checksums(read_tokens(spark, folder))
+
+
+@query
+def op13_hard_negatives(spark, d):
+    from clientela.llm.negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, d, "embeddings").withColumn("label", label)
+    return hard_negatives(vectors, vectors.where(F.col("vec_id") % 100 == 0))

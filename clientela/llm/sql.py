@@ -95,3 +95,23 @@ scored AS (SELECT both_of.doc_id, both_of.item_id, both_of.n, both_of.start, bot
 ranked AS (SELECT scored.*, length FROM scored JOIN (SELECT doc_id, len(w) AS length FROM docs) USING (doc_id) WHERE 100 * similarity >= 75)
 SELECT doc_id, item_id, start, least(n, length - start) AS n_words, similarity FROM ranked
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n DESC) = 1"""
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor, b.id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND (a.label <> b.label OR a.id <> b.id)),
+positives AS (
+  SELECT anchor, id AS positive, score AS best FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT anchor AS anchor_id, positive AS positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, best AS positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor)
+WHERE NOT same AND 30 * best <= 100 * score AND 100 * score <= 90 * best
+QUALIFY row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, id) <= 10"""

@@ -1,0 +1,97 @@
+"""Encoding by the installed tokenizer libraries, a stretch of text at a time.
+
+A text is cut where neither tokenizer can join what lies on both sides, so the ids of a text are
+those of its stretches in a row, and a stretch that comes again costs a look-up. Tables of known
+stretches are bounded in bytes."""
+
+import json
+import os
+import re
+from array import array
+from collections.abc import Callable
+
+import numpy as np
+
+from clientela.llm.bpe import byte_letters
+
+CACHE_BYTES = 64 << 20  # of a worker's known stretches
+AT_ONCE = 4096          # stretches given to a library at once
+WHOLE = re.compile(r"(?s).+")
+
+# Fixed value of byte-level tokenizers: characters that their pattern takes for white space.
+GAPS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+#: White space and what follows it up to the next: no alternative of the pattern goes on from
+#: other characters to white space. Words of plain letters end before a mark too, as letters and
+#: marks never share a match.
+BYTE_STRETCHES = re.compile(f"[{GAPS}]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[,.;:|{GAPS}]|\\Z)|[{GAPS}]*[^{GAPS}]+|[{GAPS}]+")
+#: Blanks and what follows them up to the next: no piece has a blank after another character.
+PIECE_STRETCHES = re.compile(r" *[^ ]+| +")
+
+
+class Wordwise:
+    """Ids of texts. `spelled` holds the bytes of each id, `widths` how many they are."""
+
+    def __init__(self, cut: re.Pattern, encode: Callable[[list[str]], list[list[int]]], spelled: list[bytes]):
+        self.cut, self.encode, self.spelled = cut, encode, spelled
+        self.widths = np.array([len(s) for s in spelled], np.int64)
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        known, cut = self.known, self.cut.findall
+        if self.held > CACHE_BYTES:
+            known.clear()
+            self.held = 0
+        cuts = [cut(t) for t in texts]
+        fresh = list(set().union(*cuts).difference(known))
+        for at in range(0, len(fresh), AT_ONCE):
+            some = fresh[at:at + AT_ONCE]
+            found = [array("i", ids).tobytes() for ids in self.encode(some)]
+            known.update(zip(some, found, strict=True))
+            self.held += sum(map(len, some)) + sum(map(len, found)) + 200 * len(some)  # 200: of the objects
+        take = known.__getitem__
+        return [b"".join(map(take, stretches)) for stretches in cuts]
+
+
+def byte_level(source: str, plain: bool = False) -> Wordwise:
+    """The tokenizer of a JSON text, by the tokenizers library without truncation and padding and
+    without adding special tokens. `plain`: the strings of special tokens in a text are text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_str(source)
+    library.no_truncation()
+    library.no_padding()
+    library.encode_special_tokens = plain
+    described = json.loads(source)
+    split, added = described["pre_tokenizer"] or {}, described["added_tokens"]
+    known = (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+             and described["normalizer"] is None
+             and not any(t["lstrip"] or t["rstrip"] or re.search(f"[,.;:{GAPS}]", t["content"]) for t in added))
+    letters = byte_letters()
+    spelled = [b""] * library.get_vocab_size(with_added_tokens=True)
+    for token, i in described["model"]["vocab"].items():
+        spelled[i] = bytes(letters[c] for c in token)
+    for token in added:
+        spelled[token["id"]] = token["content"].encode()
+    return Wordwise(BYTE_STRETCHES if known else WHOLE,
+                    lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)], spelled)
+
+
+def piece_model(source: bytes) -> Wordwise:
+    """The model of a file, by the sentencepiece library. Texts are given with the blank in front
+    that the library adds."""
+    from sentencepiece import SentencePieceProcessor
+    library = SentencePieceProcessor(model_proto=source)
+    spelled, apart = [], True
+    for i in range(library.get_piece_size()):
+        piece = library.id_to_piece(i)
+        spelled.append(bytes([int(piece[3:5], 16)]) if library.is_byte(i) else piece.replace("▁", " ").encode())
+        apart = apart and "▁" not in piece.lstrip("▁")
+    blank = [library.piece_to_id("▁")]  # a last blank by itself, for which the library has nothing to add one to
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [ids or blank for ids in library.encode([t[1:] for t in texts], num_threads=1)]
+
+    return Wordwise(PIECE_STRETCHES if apart else WHOLE, encode, spelled)
