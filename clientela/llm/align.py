@@ -14,153 +14,140 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientela.llm import wordwise
+from clientela.llm import encoders
 from clientela.llm.store import keep, mapped, renamed
 from clientela.llm.textbytes import slices
 
-LONGEST = 1 << 12    # most tokens compared at once
 HEAD_ROWS = 1 << 18  # pairs of the highest counts that are sent to every task
 GATHERED = 1 << 21   # pairs of documents counted together before they are shuffled
 
 
 class Groups:
-    """Groups of two lists of ends, whose last ends are equal. `runs` holds (index in A, index in
-    B, length) of stretches of one-to-one groups, `knots` (from, to in A, from, to in B) of the
-    others, `order` the sign of each in turn, `links` the index pairs of overlapping tokens in knots."""
-
-    def __init__(self, a: list[int], b: list[int]):
-        self.runs: list[tuple[int, int, int]] = []
-        self.knots: list[tuple[int, int, int, int]] = []
-        self.link_a: list[int] = []
-        self.link_b: list[int] = []
-        self.compared = 0  # stretches and single ends compared
-        i = j = 0
-        n = len(a)
+    """Groups of two lists of ends, whose last ends are equal: `runs` (first in A, first in B, length)
+    of one-to-one groups, `knots` (from, to in A, from, to in B) of the others."""
+
+    def __init__(self, ends_a: np.ndarray, ends_b: np.ndarray):
+        self.ends_a, self.ends_b = ends_a, ends_b
+        runs, knots, compared = [], [], 0
+        a, b = [*ends_a.tolist(), -1], [*ends_b.tolist(), -2]  # the last entries agree with nothing
+        i, j, n = 0, 0, len(ends_a)
         while i < n:
-            if a[i] == b[j]:
-                length = self._run(a, b, i, j)
-                self.runs.append((i, j, length))
-                i += length
-                j += length
-            else:
-                i, j = self._knot(a, b, i, j)
-
-    def _run(self, a: list[int], b: list[int], i: int, j: int) -> int:
-        """How many ends agree from here at this shift."""
-        length, step = 1, 1
-        while True:
-            self.compared += 1
-            ours = a[i + length:i + length + step]
-            if len(ours) == step and ours == b[j + length:j + length + step]:
-                length += step
-                step = min(2 * step, LONGEST)
-                continue
-            while step > 1:  # the first difference lies in this stretch
-                step //= 2
-                self.compared += 1
-                ours = a[i + length:i + length + step]
-                if len(ours) == step and ours == b[j + length:j + length + step]:
-                    length += step
-            return length
-
-    def _knot(self, a: list[int], b: list[int], i: int, j: int) -> tuple[int, int]:
-        """Walk to the next shared end, noting the tokens that overlap on the way."""
-        first_a, first_b = i, j
-        add_a, add_b = self.link_a.append, self.link_b.append
-        end_a, end_b = a[i], b[j]
-        while True:
-            add_a(i)
-            add_b(j)
-            if end_a < end_b:
-                i += 1
-                end_a = a[i]
-            elif end_b < end_a:
-                j += 1
-                end_b = b[j]
-            else:
-                break
-        self.compared += i - first_a + j - first_b
-        self.knots.append((first_a, i + 1, first_b, j + 1))
-        return i + 1, j + 1
-
-    def starts(self) -> tuple[np.ndarray, np.ndarray]:
-        """First token in A and in B of every group, in order."""
-        a, b, _ = self._spread()
-        knots = np.array(self.knots, np.int64).reshape(-1, 4)
-        first = np.concatenate([a, knots[:, 0]])
-        order = np.argsort(first, kind="stable")
-        return first[order], np.concatenate([b, knots[:, 2]])[order]
+            x, y = a[i], b[j]
+            if x == y:  # a run at this shift: probe twice as far each time, then halve
+                k, m, step = i + 1, j + 1, 1
+                while a[k:k + step] == b[m:m + step]:
+                    k += step
+                    m += step
+                    step += step
+                    compared += 1
+                while step > 1:
+                    step >>= 1
+                    compared += 1
+                    if a[k:k + step] == b[m:m + step]:
+                        k += step
+                        m += step
+                runs.append((i, j, k - i))
+            else:  # a knot: go on in the list that is behind, to the next shared end
+                k, m = i, j
+                while x != y:
+                    if x < y:
+                        k += 1
+                        x = a[k]
+                    else:
+                        m += 1
+                        y = b[m]
+                k += 1
+                m += 1
+                compared += k - i + m - j
+                knots.append((i, k, j, m))
+            i, j = k, m
+        self.compared = compared  # stretches and single ends
+        self.runs, self.knots = np.array(runs, np.int64).reshape(-1, 3), np.array(knots, np.int64).reshape(-1, 4)
+
+    @staticmethod
+    def _each(firsts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Every index of some stretches."""
+        return np.arange(lengths.sum()) + np.repeat(firsts - (np.cumsum(lengths) - lengths), lengths)
+
+    def last(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a token of A, of B, is the last of its group."""
+        out = []
+        for side, n in ((0, len(self.ends_a)), (1, len(self.ends_b))):
+            last = np.ones(n, bool)
+            firsts, stops = self.knots[:, 2 * side], self.knots[:, 2 * side + 1]
+            last[self._each(firsts, stops - firsts - 1)] = False
+            out.append(last)
+        return out[0], out[1]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Indices in A and B of all pairs of tokens whose bytes overlap."""
-        a, b, _ = self._spread()
-        return (np.concatenate([a, np.array(self.link_a, np.int64)]), np.concatenate([b, np.array(self.link_b, np.int64)]))
-
-    def _spread(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        runs = np.array(self.runs, np.int64).reshape(-1, 3)
-        lengths = runs[:, 2]
-        within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return np.repeat(runs[:, 0], lengths) + within, np.repeat(runs[:, 1], lengths) + within, lengths
-
-
-def written(groups: Groups, a: list[str], b: list[str]) -> list[str]:
-    """`a1,a2|b1` of every group in order."""
-    runs, knots, out = iter([*groups.runs, None]), iter([*groups.knots, None]), []
-    run, knot = next(runs), next(knots)
-    while run or knot:
-        if knot is None or (run and run[0] < knot[0]):
-            i, j, n = run
-            out.extend([x + "|" + y for x, y in zip(a[i:i + n], b[j:j + n], strict=True)])
-            run = next(runs)
-        else:
-            i, i2, j, j2 = knot
-            out.append(",".join(a[i:i2]) + "|" + ",".join(b[j:j2]))
-            knot = next(knots)
-    return out
+        """Indices in A and B of all pairs of tokens whose bytes overlap: each end in a knot closes one."""
+        run_a, run_b, length = self.runs.T
+        in_a = self._each(self.knots[:, 0], self.knots[:, 1] - self.knots[:, 0])
+        in_b = self._each(self.knots[:, 2], self.knots[:, 3] - self.knots[:, 2])
+        own_a, own_b = self.ends_a[in_a], self.ends_b[in_b]
+        ends = np.union1d(own_a, own_b)
+        return (np.concatenate([self._each(run_a, length), in_a[np.searchsorted(own_a, ends)]]),
+                np.concatenate([self._each(run_b, length), in_b[np.searchsorted(own_b, ends)]]))
 
 
 class Aligner:
     """Both tokenizers, and what their ids spell."""
 
     def __init__(self, bytes_json: str, piece_file: bytes):
-        self.a, self.b = wordwise.byte_level(bytes_json, plain=True), wordwise.piece_model(piece_file)
-        self.names = [str(i) for i in range(max(len(self.a.spelled), len(self.b.spelled)))]
+        self.a, self.b = encoders.byte_level(bytes_json, plain=True), encoders.piece_model(piece_file)
         self.base = len(self.b.spelled)  # a pair of ids is a * base + b
-
-    def same(self, side: wordwise.Wordwise, ids: np.ndarray, text: bytes) -> bool:
-        return b"".join([side.spelled[i] for i in ids.tolist()]) == text
+        self.most = max(len(self.a.spelled), self.base)
+        self.written = [b"%d%c" % (i, mark) for mark in b",|;" for i in range(self.most)]
+
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides; none where the bytes of a side are not those of blank + text."""
+        a = [np.frombuffer(x, "<i4") for x in self.a.ids([" " + t if t else "" for t in texts])]
+        b = [np.frombuffer(x, "<i4") for x in self.b.ids(texts)]
+        none, raw = np.zeros(0, "<i4"), [b" " + t.encode() if t else b"" for t in texts]
+        for side, ids in ((self.a, a), (self.b, b)):
+            say = side.spelled.__getitem__
+            if b"".join(map(say, np.concatenate(ids).tolist())) != b"".join(raw):
+                for k, text in enumerate(raw):
+                    if b"".join(map(say, ids[k].tolist())) != text:
+                        a[k] = b[k] = none
+                        raw[k] = b""
+        return a, b
+
+    def digests(self, ids: list[np.ndarray], groups: Groups, counts: list[np.ndarray]) -> list[str]:
+        """SHA-256 of the groups of each text as a1,a2|b1;a3|b2: a token and the mark behind it are
+        one entry of a table, laid in the order of groups."""
+        last = groups.last()
+        marked = [ids[0] + np.where(last[0], self.most, 0), ids[1] + np.where(last[1], 2 * self.most, 0)]
+        group = [np.cumsum(x) - x for x in last]  # of each token
+        size = [np.diff(np.concatenate([[0], np.flatnonzero(x) + 1])) for x in last]
+        before = np.concatenate([[0], np.cumsum(size[0] + size[1])])  # tokens of both sides before a group
+        first = [np.cumsum(x) - x for x in size]                      # first token of a group in its side
+        out = np.empty(len(marked[0]) + len(marked[1]), np.int64)
+        place_a = before[group[0]] + np.arange(len(marked[0])) - first[0][group[0]]
+        place_b = before[group[1]] + size[0][group[1]] + np.arange(len(marked[1])) - first[1][group[1]]
+        out[place_a], out[place_b] = marked[0], marked[1]
+        named = list(map(self.written.__getitem__, out.tolist()))
+        bounds = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).tolist()
+        return [hashlib.sha256(b"".join(named[s:e])[:-1]).hexdigest() if e > s else ""
+                for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def piece(self, texts: list[str]) -> dict[str, list]:
         """The columns of `aligned` for some texts; `pairs` are the distinct pairs of ids of a text,
         ascending, and `times` how often each is linked."""
-        spaced = [" " + t if t else "" for t in texts]
-        sides = []
-        for side in (self.a, self.b):
-            sides.append([np.frombuffer(x, np.int32) for x in side.ids(spaced)])
-        for k, text in enumerate(spaced):
-            if text:
-                raw = text.encode()
-                if not all(self.same(side, ids[k], raw) for side, ids in zip((self.a, self.b), sides, strict=True)):
-                    sides[0][k] = sides[1][k] = np.zeros(0, np.int32)
+        sides = self.tokens(texts)
         counts = [np.array([len(x) for x in side], np.int64) for side in sides]
         ids = [np.concatenate(side).astype(np.int64) for side in sides]
-        ends = [np.cumsum(self_.widths[x]) for self_, x in zip((self.a, self.b), ids, strict=True)]
-        groups = Groups(ends[0].tolist(), ends[1].tolist())  # texts end together, so no group spans two
-        first, _ = groups.starts()
-        bounds = np.concatenate([[0], np.cumsum(counts[0])])
-        cuts = np.searchsorted(first, bounds)
-        name = self.names.__getitem__
-        names = written(groups, list(map(name, ids[0].tolist())), list(map(name, ids[1].tolist())))
-        digests = [hashlib.sha256(";".join(names[s:e]).encode()).hexdigest() if e > s else ""
-                   for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        groups = Groups(np.cumsum(self.a.widths[ids[0]]), np.cumsum(self.b.widths[ids[1]]))  # texts end together: no group spans two
+        text_of = np.repeat(np.arange(len(texts)), counts[0])
         link_a, link_b = groups.links()
-        text_of = np.repeat(np.arange(len(texts)), counts[0])[link_a]
         size = len(self.a.spelled) * self.base
-        keys, times = np.unique(text_of * size + ids[0][link_a] * self.base + ids[1][link_b], return_counts=True)
+        keys, times = np.unique(text_of[link_a] * size + ids[0][link_a] * self.base + ids[1][link_b], return_counts=True)
         rows = np.searchsorted(keys, np.arange(len(texts) + 1) * size)
         keys %= size
-        return {"n_a": counts[0].tolist(), "n_b": counts[1].tolist(), "n_groups": np.diff(cuts).tolist(),
-                "n_links": np.bincount(text_of, minlength=len(texts)).tolist(), "groups_sha256": digests,
+        return {"n_a": counts[0].tolist(), "n_b": counts[1].tolist(),
+                "n_groups": np.bincount(text_of[groups.last()[0]], minlength=len(texts)).tolist(),
+                "n_links": np.bincount(text_of[link_a], minlength=len(texts)).tolist(),
+                "groups_sha256": self.digests(ids, groups, counts),
                 "pairs": [keys[s:e].astype("<i8").tobytes() for s, e in zip(rows[:-1], rows[1:], strict=True)],
                 "times": [times[s:e].astype("<i4").tobytes() for s, e in zip(rows[:-1], rows[1:], strict=True)]}
 

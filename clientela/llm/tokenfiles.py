@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clientela.llm import wordwise
+from clientela.llm import encoders
 from clientela.llm.store import mapped, renamed
 from clientela.llm.textbytes import slices
 
@@ -24,14 +24,14 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 ASCENDING = ("part", "at", "offset")
 
-_LOADED: dict[int, wordwise.Wordwise] = {}
+_LOADED: dict[int, encoders.Encoder] = {}
 
 
-def _loaded(source) -> wordwise.Wordwise:
+def _loaded(source) -> encoders.Encoder:
     key = hash(source.value)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = wordwise.byte_level(source.value)
+        _LOADED[key] = encoders.byte_level(source.value)
     return _LOADED[key]
 
 
@@ -46,7 +46,7 @@ def layout(id_col: str) -> dict[str, str]:
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode whole texts (null: empty) as the tokenizers library does, with `end_id` behind each,
+    """Encode whole texts (null: empty) to the ids of the tokenizers library, with `end_id` behind each,
     and write them to a new folder.
 
     Rows are dealt by ranges of their id and sorted, rows without an id first. Rows of one id follow

@@ -10,7 +10,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from clientela.llm import align, wordwise
+from clientela.llm import align, bpe, encoders
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 POOL = ["a", "the ", " and", "tion", " ", "  ", "\n", "\n  ", "\t", "é", "日本", "😀", "12", "!", ", ", "\x1c", "\x85", " ", "　",
@@ -33,7 +33,7 @@ def both():
 def plain(both, rows):
     """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, digest), by the definition."""
     library, pieces = both
-    letters = align.wordwise.byte_letters()
+    letters = bpe.byte_letters()
     tokens = []
     for text in rows:
         a = library.encode(" " + text, add_special_tokens=False).ids if text else []
@@ -87,15 +87,25 @@ def got(df):
     return {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in df.collect()}
 
 
-def test_stretches_give_the_libraries_ids(both):
+def test_the_libraries_ids(both, monkeypatch):
     library, pieces = both
-    a, b = wordwise.byte_level(open(A, encoding="utf-8").read(), plain=True), wordwise.piece_model(open(B, "rb").read())
-    some = [t for t in texts(3000) if t]
-    for t, x, y in zip(some, a.ids([" " + t for t in some]), b.ids([" " + t for t in some]), strict=True):
-        assert np.frombuffer(x, np.int32).tolist() == library.encode(" " + t, add_special_tokens=False).ids
-        if "▁" not in t:  # read as a blank by the library; such texts have no tokens
+    a, b = encoders.byte_level(open(A, encoding="utf-8").read(), plain=True), encoders.piece_model(open(B, "rb").read())
+    some = [t for t in texts(3000) if t] + ["x" * 40_000, "^" * 40_000 + "y", " " * 40_000 + "z", "日本語" * 9000]
+    for long in (encoders.LONG, 7):  # long texts are given to the piece model in parts
+        monkeypatch.setattr(encoders, "LONG", long)
+        for t, x, y in zip(some, a.ids([" " + t for t in some]), b.ids(some), strict=True):
+            assert np.frombuffer(x, np.int32).tolist() == library.encode(" " + t, add_special_tokens=False).ids
             assert np.frombuffer(y, np.int32).tolist() == pieces.encode(t)
-    assert a.cut is not wordwise.WHOLE and b.cut is not wordwise.WHOLE
+
+
+def test_every_character_is_split_as_the_library_splits(both):
+    """Both libraries class letters, digits and white space alike."""
+    library, _ = both
+    a = encoders.byte_level(open(A, encoding="utf-8").read(), plain=True)
+    some = [" ".join(f"a{c}b 1{c}{c}2 !{c}? {c}  {c}" for c in map(chr, range(n, n + 64)) if not "\ud800" <= c <= "\udfff")
+            for n in range(0, 0x30000, 64)]
+    want = library.encode_batch(some, add_special_tokens=False)
+    assert all(np.frombuffer(x, np.int32).tolist() == w.ids for x, w in zip(a.ids(some), want, strict=True))
 
 
 def test_equal_to_the_definition(spark, both, monkeypatch):
@@ -109,14 +119,14 @@ def test_equal_to_the_definition(spark, both, monkeypatch):
 
 def test_runs_are_skipped():
     """One-to-one stretches take steps by the logarithm of their length; the shift follows knots."""
-    ends = list(range(1, 100_001))
+    ends = np.arange(1, 100_001)
     even = align.Groups(ends, ends)
-    assert even.runs == [(0, 0, 100_000)] and even.compared < 100
-    b = [e for e in ends if e not in (500, 501, 70_000)]
+    assert even.runs.tolist() == [[0, 0, 100_000]] and even.compared < 100
+    b = np.array([e for e in ends.tolist() if e not in (500, 501, 70_000)])
     knotted = align.Groups(ends, b)
-    assert knotted.knots == [(499, 502, 499, 500), (69_999, 70_001, 69_997, 69_998)] and knotted.compared < 200
-    first_a, first_b = knotted.starts()
-    assert len(first_a) == len(b) and first_b.tolist() == list(range(len(b)))
+    assert knotted.knots.tolist() == [[499, 502, 499, 500], [69_999, 70_001, 69_997, 69_998]] and knotted.compared < 200
+    last_a, last_b = knotted.last()
+    assert last_a.sum() == len(b) and last_b.all()
 
 
 def test_links_and_groups_add_up():
@@ -124,12 +134,13 @@ def test_links_and_groups_add_up():
     for _ in range(300):
         total = r.randint(1, 60)
         a, b = ([*sorted(r.sample(range(1, total), r.randint(0, total - 1))), total] for _ in "ab")
-        found = align.Groups(a, b)
+        found = align.Groups(np.array(a), np.array(b))
         i, j = found.links()
         want = {(x, y) for x in range(len(a)) for y in range(len(b))
                 if (a[x - 1] if x else 0) < b[y] and (b[y - 1] if y else 0) < a[x]}
         assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and len(i) == len(want)
-        assert len(found.starts()[0]) == len(set(a) & set(b)) == len(a) + len(b) - len(want)
+        last_a, last_b = found.last()
+        assert {a[k] for k in np.flatnonzero(last_a)} == {b[k] for k in np.flatnonzero(last_b)} == set(a) & set(b)
 
 
 def test_edge_rows(spark):
