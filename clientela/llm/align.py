@@ -18,6 +18,7 @@ from clientela.llm import encoders
 from clientela.llm.store import keep, mapped, renamed
 from clientela.llm.textbytes import slices
 
+SHORT = 8             # ends of a run compared one by one before stretches are
 HEAD_ROWS = 1 << 18  # pairs of the highest counts that are sent to every task
 GATHERED = 1 << 21   # pairs of documents counted together before they are shuffled
 
@@ -34,18 +35,23 @@ class Groups:
         while i < n:
             x, y = a[i], b[j]
             if x == y:  # a run at this shift: probe twice as far each time, then halve
-                k, m, step = i + 1, j + 1, 1
-                while a[k:k + step] == b[m:m + step]:
-                    k += step
-                    m += step
-                    step += step
-                    compared += 1
-                while step > 1:
-                    step >>= 1
-                    compared += 1
-                    if a[k:k + step] == b[m:m + step]:
+                k, m, near = i + 1, j + 1, i + SHORT
+                while k < near and a[k] == b[m]:
+                    k += 1
+                    m += 1
+                if k == near:
+                    step = SHORT
+                    while a[k:k + step] == b[m:m + step]:
                         k += step
                         m += step
+                        step += step
+                        compared += 1
+                    while step > 1:
+                        step >>= 1
+                        compared += 1
+                        if a[k:k + step] == b[m:m + step]:
+                            k += step
+                            m += step
                 runs.append((i, j, k - i))
             else:  # a knot: go on in the list that is behind, to the next shared end
                 k, m = i, j
@@ -105,6 +111,8 @@ class Aligner:
         b = [np.frombuffer(x, "<i4") for x in self.b.ids(texts)]
         none, raw = np.zeros(0, "<i4"), [b" " + t.encode() if t else b"" for t in texts]
         for side, ids in ((self.a, a), (self.b, b)):
+            if side.lossless:
+                continue
             say = side.spelled.__getitem__
             if b"".join(map(say, np.concatenate(ids).tolist())) != b"".join(raw):
                 for k, text in enumerate(raw):

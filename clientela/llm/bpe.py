@@ -63,7 +63,6 @@ class Bpe:
             if token not in self.parts and self.stands(*pair, rank):  # of several ways to one token, the one that merging takes
                 self.parts[token] = (rank, *pair)
         self.firm.clear()
-        self.firm.clear()
         self.longest = max(map(len, self.ids))
         self._automaton()
 
@@ -371,26 +370,34 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return mapped(rows, work, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
-def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def encode_rows(docs: DataFrame, path: str, text_col: str = "text",
+                added: tuple[str, str, str] = ("n_tokens", "ids", "decoded_same")) -> DataFrame:
     """Rows of `docs`, all columns, with n_tokens, ids, and decoded_same: whether the ids decode to
-    the text again, which they do for every text (a null text, without ids, counts as empty)."""
+    the text again, which they do for every text (a null text, without ids, counts as empty).
+    `added` names these columns; names that `docs` has already are an error."""
     source = _source(docs, path)
 
     def work(batches) -> Iterator[pa.RecordBatch]:
         bpe = loaded(source.value)
-        for part in slices(batches, text_col):
-            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-            ids = [bpe.encode_all(t or "") for t in texts]
-            same = [Decoder(bpe).text(x.tolist()) == (t or "") for x, t in zip(ids, texts, strict=True)]
-            bounds = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(np.diff(bounds)), pa.ListArray.from_arrays(
-                    bounds.astype(np.int32), pa.array(flat, pa.int32())), pa.array(same)],
-                names=[*part.schema.names, "n_tokens", "ids", "decoded_same"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()),
-                           T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded_same", T.BooleanType())])
+        try:
+            for part in slices(batches, text_col):
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                ids = [bpe.encode_all(t or "") for t in texts]
+                same = [Decoder(bpe).text(x.tolist()) == (t or "") for x, t in zip(ids, texts, strict=True)]
+                bounds = np.cumsum([0, *map(len, ids)])
+                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(np.diff(bounds)), pa.ListArray.from_arrays(
+                        bounds.astype(np.int32), pa.array(flat, pa.int32())), pa.array(same)],
+                    names=[*part.schema.names, *added])
+        finally:  # later stages of a pipeline run in the same workers
+            _LOADED.clear()
+
+    taken = {c.lower() for c in docs.columns}
+    if clash := [c for c in added if c in taken]:
+        raise ValueError(f"documents already have {', '.join(clash)}; rename them first")
+    kinds = (T.LongType(), T.ArrayType(T.IntegerType()), T.BooleanType())
+    schema = T.StructType([*docs.schema.fields, *map(T.StructField, added, kinds)])
     return mapped(docs, work, schema)
 
 

@@ -17,7 +17,8 @@ WORDS = 5            # per shingle
 PERCENT = 75         # least similarity
 RADIUS = 7           # bits
 BLOCK_BITS = 64 // (RADIUS + 1)
-ITEM_ROWS = 200_000  # shingles or blocks of items up to which they are broadcast
+ITEM_ROWS = 200_000  # shingles, blocks or ids, a few numbers each, up to which they are broadcast
+ITEM_WORDS = 2_000_000  # words of items, 8 bytes each, up to which their hashes are broadcast
 
 
 def _words(text: Column) -> Column:
@@ -31,6 +32,10 @@ def _shingles(hashes: str, n: int) -> Column:
                   f"i -> xxhash64({parts})), CAST(array() AS array<bigint>))")
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select("id", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
+
+
 def _simhash(hashes: str) -> Column:
     """Bit b is set where more than half of the word hashes have it."""
     votes = f"aggregate({hashes}, 0, (s, h) -> s + CAST(shiftrightunsigned(h, b) & 1L AS INT))"
@@ -52,6 +57,12 @@ def _similarity(a: str, b: str) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def _small(items: DataFrame, hashes: str) -> DataFrame:
+    """Stored rows with a broadcast hint if all their lists together are counted to be small."""
+    total = items.agg(F.sum(F.size(hashes) + 4)).first()[0] or 0
+    return F.broadcast(items) if total <= ITEM_WORDS else items
+
+
 def _counted(cut: DataFrame, hits: DataFrame, seeds: DataFrame, known: DataFrame) -> DataFrame:
     """Windows of the documents that hold at least PERCENT of an item's shingles, each as often as
     the item does: the similarity is at most the share of the item that the document holds. Nor can
@@ -61,7 +72,7 @@ def _counted(cut: DataFrame, hits: DataFrame, seeds: DataFrame, known: DataFrame
     shared = (held.join(small(own, ITEM_ROWS), ["k", "shingle"]).groupBy("id", "mark")
               .agg(F.sum(F.least("wanted", "there")).alias("joint")))
     most = F.col("n") - F.col("k") + 1
-    pairs = (shared.join(small(known.select("mark", "item", "n", "k", F.col("hashes").alias("own")), ITEM_ROWS), "mark")
+    pairs = (shared.join(_small(known.select("mark", "item", "n", "k", F.col("hashes").alias("own")), "own"), "mark")
              .where(100 * F.col("joint") >= PERCENT * most))
     there = F.size("hashes") - F.col("k") + 1
     return (cut.select("id", "start", "hashes").join(pairs, "id")
@@ -86,7 +97,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     known = keep(known.distinct().withColumn("mark", F.monotonically_increasing_id()), "items")
     lengths = [r.k for r in known.select("k").distinct().collect()]  # at most WORDS values
 
-    hashed = docs.select("id", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
+    hashed = _hashed(docs)
     seeds = hits = None
     for k in lengths or [WORDS]:
         own = (known.where(F.col("k") == k)
@@ -100,16 +111,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         "id", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("length") - F.col("n"))).alias("start"))
     windows = keep(windows.distinct(), "windows")
 
-    laid = windows.groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("laid"))
-    cut = (hashed.join(laid, "id").select("id", "hashes", F.explode("laid").alias("w"))
-           .select("id", "w.start", F.slice("hashes", F.col("w.start") + 1, F.col("w.n")).alias("hashes")))
+    held = small(keep(windows.select("id").distinct(), "held"), ITEM_ROWS)  # only their texts are split again
+    cut = (_hashed(docs.join(held, "id", "left_semi")).join(windows, "id")
+           .select("id", "start", F.slice("hashes", F.col("start") + 1, F.col("n")).alias("hashes")))
     cut = keep(cut.withColumn("fingerprint", _simhash("hashes")), "fingerprints")
     marked = keep(known.withColumn("fingerprint", _simhash("hashes")), "marked")
     near = (_blocks(cut.select("id", "start", "hashes", "fingerprint"))
-            .join(small(_blocks(marked).select(
-                "item", "k", "block", F.col("hashes").alias("own"), F.col("fingerprint").alias("other")), ITEM_ROWS), "block")
+            .join(small(_blocks(marked).select("mark", "block", F.col("fingerprint").alias("other")), ITEM_ROWS), "block")
             .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= RADIUS)
-            .drop("block", "fingerprint", "other"))
+            .join(_small(known.select("mark", "item", "k", F.col("hashes").alias("own")), "own"), "mark")
+            .drop("mark", "block", "fingerprint", "other"))
     near = near.unionByName(_counted(cut, hits, seeds, known)).distinct()
     sides = near.select("id", "item", "start", F.size("hashes").alias("n_words"),
                         F.expr(_per_length("hashes")).alias("a"), F.expr(_per_length("own")).alias("b"))

@@ -17,10 +17,11 @@ PIECE_STRETCHES = re.compile(r" *[^ ]+| +")
 
 
 class Encoder:
-    """Ids of texts. `spelled` holds the bytes of each id, `widths` how many they are."""
+    """Ids of texts. `spelled` holds the bytes of each id, `widths` how many they are; `lossless`: the
+    bytes of a text's ids are those of the text, whatever it is."""
 
-    def __init__(self, encode: Callable[[str], bytes], spelled: list[bytes]):
-        self.encode, self.spelled = encode, spelled
+    def __init__(self, encode: Callable[[str], bytes], spelled: list[bytes], lossless: bool = False):
+        self.encode, self.spelled, self.lossless = encode, spelled, lossless
         self.widths = np.array([len(s) for s in spelled], np.int64)
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -88,7 +89,7 @@ def byte_level(source: str, plain: bool = False) -> Encoder:
                 raise
             return library(text)
 
-    return Encoder(encode, spelled)
+    return Encoder(encode, spelled, lossless=True)
 
 
 def piece_model(source: bytes) -> Encoder:

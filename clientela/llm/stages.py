@@ -23,6 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
     """Later copies of runs of lines go, and documents that hold nothing else. n_chars follows."""
     left = winnow.delete_runs(docs, winnow.repeated_runs(docs, long_words=winnow.LONG_WORDS))
+    if "n_chars" not in left.columns:
+        return left
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -37,5 +39,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, d: str) -> DataFrame:
-    """Every document that is left, with its token ids."""
-    return bpe.encode_rows(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Every document that is left, with its token ids. Where documents have a column of that name,
+    the new one is named with `_bpe` behind."""
+    taken = {c.lower() for c in docs.columns}
+    names = tuple(c + "_bpe" * (c in taken) for c in ("n_tokens", "ids", "decoded_same"))
+    return bpe.encode_rows(docs, public_tokenizers.path("byte_bpe_50k.json"), added=names)
