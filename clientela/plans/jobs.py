@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientela import contracts as C
 from clientela.functions import scalars as S
-from clientela.operators import cluster, features, gaps, lines, pricing, relational, snapshot
+from clientela.operators import cluster, features, gaps, ledger, lines, pricing, relational, snapshot
 from clientela.operators import transitions
 from clientela.operators.rfm import iqr_filter
 from clientela.sources import files
@@ -95,13 +95,35 @@ def active_profile(history: DataFrame, as_of, days: int = 365,
     return everyone.join(seen, "mail", "left").filter(recent | F.col("_seen")).drop("_seen")
 
 
-def segment_customers(history: DataFrame, as_of, date, rules: Rules = Rules()) -> DataFrame:
-    """Snapshot of the customers active in the year before `as_of`, dated `date`.
+def accumulate_ledger(state: dict[str, DataFrame] | None, current: DataFrame, prices: DataFrame,
+                      tie: Sequence[str] = C.LINE_TIE) -> dict[str, DataFrame]:
+    """`accumulate` on the ledger: last month's state at current money plus the month's own. The
+    work is that of the month and of the customers' products, however long the history is. Reads the
+    previous month's version and gives a new one; both tables of it should be stored."""
+    month = ledger.month_state(current, tie)
+    if state is None:
+        return month
+    prices = broadcast_if_bounded(prices, PRICE_ROWS)
+    index = staged(pricing.basket_index(current, prices, state["firsts"], tie=tie), "index")
+    old = {"ledger": ledger.reprice_ledger(state["ledger"], prices, index),
+           "firsts": pricing.reprice_history(state["firsts"], prices, index).select(*state["firsts"].columns)}
+    return ledger.merge_states(old, month, tie)
+
+
+def segment_customers(history: DataFrame, as_of, date, rules: Rules = Rules(),
+                      carried: DataFrame | None = None) -> DataFrame:
+    """Snapshot of the customers active in the year before `as_of`, dated `date`. With the ledger
+    `carried` along, features and RFM come from it, and the history is read for texts only.
 
     The stored history is read three times, in few columns: for the profile, the month texts
     and the single-brand texts. The profile is stored, and clustering carries the customer's
     row along, so features, RFM and labels need no join."""
-    profile = staged(active_profile(history, as_of, zero_is_multi=rules.zero_is_multi), "profile")
+    if carried is None:
+        active = active_profile(history, as_of, zero_is_multi=rules.zero_is_multi)
+    else:
+        limit = F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL 365 DAYS")
+        active = ledger.ledger_profile(carried, rules.zero_is_multi).where(F.col("ultima_compra") >= limit)
+    profile = staged(active, "profile")
     labelled = segment_rfm(features.with_recency(profile), rules)
     valued = relational.require(history, ["mail", "fecha", "total_actualizado"])
     return snapshot.build_snapshot(labelled, valued, date, rules.distinct_contents,
@@ -141,6 +163,10 @@ def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store:
     """The monthly run started on the day `as_of`: extract, accumulate, segment, append, publish.
     Returns the places written.
 
+    `snapshot` holds the month's segmentation, `snapshots` those of all months with their gaps. Published
+    for readers is the current month's part of them, in the month's folder (`current`) and as the
+    latest version (`latest`, a folder that `files.published` finds).
+
     The run takes the month of the day before. `store` is the folder of all months; unless it is
     the `first` run, the month before has its place there. Each step reads what earlier steps or
     the month before stored and writes to a place of its own month, so a run that is repeated
@@ -150,7 +176,7 @@ def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store:
     day, month, previous = spark.range(1).select(
         *[calendar[c].cast("string") for c in ("process_date", "process_month", "previous_month")]).first()
     date = f"{month}-01"
-    paths = {name: f"{store}/{month}/{name}" for name in ("lines", "history", "snapshot", "snapshots")}
+    paths = {name: f"{store}/{month}/{name}" for name in ("lines", "history", "snapshot", "snapshots", "current")}
     paths |= {name: f"{store}/{name}" for name in ("latest", "segments")}
     before = (lambda name: None) if first else (lambda name: spark.read.parquet(f"{store}/{previous}/{name}"))
 
@@ -161,6 +187,8 @@ def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store:
     done = segment_customers(spark.read.parquet(paths["history"]), day, date, rules)
     files.write_snapshot(done, paths["snapshot"], "parquet")
     snapshots = segmentation_history(spark.read.parquet(paths["snapshot"]), before("snapshots"), rules)
-    files.publish_latest(snapshots, paths["snapshots"], paths["latest"])
-    files.write_by_segment(relational.current_snapshot(spark.read.parquet(paths["snapshots"]), date), paths["segments"])
+    files.write_snapshot(snapshots, paths["snapshots"], "parquet")
+    now = relational.current_snapshot(spark.read.parquet(paths["snapshots"]), date)
+    paths["latest"] = files.publish_latest(now, paths["current"], paths["latest"])
+    files.write_by_segment(now, paths["segments"])
     return paths

@@ -1,5 +1,7 @@
 """CSV and Parquet snapshots in and out."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,9 +95,64 @@ def write_by_segment(df: DataFrame, path: str, col: str = "rfm", fmt: str = "csv
         writer.parquet(path)
 
 
-def publish_latest(df: DataFrame, archive: str, latest: str, fmt: str = "csv") -> None:
-    """The same result to the month's archive and to the fixed place readers look at. The plan
-    runs once: the second copy is made from the first."""
+POINTER = "_current-"
+KEPT = 2   # versions that stay, so a reader that has resolved one can finish
+
+
+def _folder(spark: SparkSession, root: str):
+    """The file system of a folder, the folder, and the class of its paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(root)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder, path
+
+
+def _numbers(fs, folder, prefix: str) -> dict[int, list[str]]:
+    """Names in a folder by the number behind the prefix."""
+    found: dict[int, list[str]] = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        name = status.getPath().getName()
+        number = name.removeprefix(prefix).split("-")[0]
+        if name.startswith(prefix) and number.isdigit():
+            found.setdefault(int(number), []).append(name)
+    return found
+
+
+def published(spark: SparkSession, root: str) -> str:
+    """Folder of the version that readers of `root` should read: the one the latest pointer names."""
+    fs, folder, path = _folder(spark, root)
+    pointers = _numbers(fs, folder, POINTER)
+    if not pointers:
+        raise FileNotFoundError(f"nothing published in {root}")
+    name = pointers[max(pointers)][0]
+    return f"{root}/{name.split('-', 2)[2]}"
+
+
+def publish(df: DataFrame, root: str, fmt: str = "csv", sep: str = ",") -> str:
+    """Write a new version of the table and switch readers to it at once; returns its folder.
+
+    The version is a folder of its own. Only when it is whole, an empty pointer file with its number
+    and name gets its place by one rename. A writer that breaks off leaves the old version in place,
+    a reader sees one version or the next, and two writers cannot take the same number. The KEPT
+    latest versions stay; older ones, and what broken writers left, go with the next publication."""
+    spark = df.sparkSession
+    fs, folder, path = _folder(spark, root)
+    number = max(_numbers(fs, folder, POINTER), default=0) + 1
+    name = f"v{number:08d}-{uuid.uuid4().hex}"
+    write_snapshot(df, f"{root}/{name}", fmt, sep, mode="error")
+    draft, pointer = path(f"{root}/_draft-{name}"), path(f"{root}/{POINTER}{number:08d}-{name}")
+    fs.create(draft, True).close()
+    if number in _numbers(fs, folder, POINTER) or not fs.rename(draft, pointer):
+        raise RuntimeError(f"version {number} of {root} was published by another writer")
+    for prefix in (POINTER, "v"):  # pointers first: none names a folder that is gone
+        for old, names in _numbers(fs, folder, prefix).items():
+            for each in names if old <= number - KEPT else ():
+                fs.delete(path(f"{root}/{each}"), True)
+    return f"{root}/{name}"
+
+
+def publish_latest(df: DataFrame, archive: str, latest: str, fmt: str = "csv") -> str:
+    """The same result to the month's archive and to the place readers look at, whose current version
+    is returned. The plan runs once: the second copy is made from the first."""
     write_snapshot(df, archive, "parquet")
     stored = df.sparkSession.read.schema(df.schema).parquet(archive)
-    write_snapshot(stored, latest, fmt)
+    return publish(stored, latest, fmt)

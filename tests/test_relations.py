@@ -210,4 +210,27 @@ def test_monthly_run_can_be_repeated(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "segments").iterdir() if p.is_dir()) == latest
     assert once["lines"] == sorted(map(str, jobs.monthly_lines(tables, titles, "1998-04", rules=rules).collect()))
     schema = spark.read.parquet(paths["snapshots"]).schema
-    assert sorted(map(str, files.read_csv_snapshot(spark, paths["latest"], schema).collect())) == once["snapshots"]
+    current = spark.read.parquet(paths["snapshots"]).where("fecha_segmentacion = '1998-04-01'")
+    now = sorted(map(str, current.collect()))
+    assert 0 < len(now) < len(once["snapshots"]) and read(paths["current"]) == now
+    assert paths["latest"] == files.published(spark, str(tmp_path / "latest"))
+    assert sorted(map(str, files.read_csv_snapshot(spark, paths["latest"], schema).collect())) == now
+
+
+def test_a_broken_publication_leaves_the_old_version(spark, tmp_path):
+    root = str(tmp_path / "latest")
+    with pytest.raises(FileNotFoundError):
+        files.published(spark, root)
+    rows = lambda: sorted(r.v for r in spark.read.parquet(files.published(spark, root)).collect())
+    files.publish(spark.range(5).selectExpr("id AS v"), root, "parquet")
+    half = spark.range(0, 40, 1, 4).selectExpr("CASE WHEN id < 39 THEN id ELSE CAST(raise_error('lost') AS BIGINT) END AS v")
+    with pytest.raises(Exception, match="lost"):
+        files.publish(half, root, "parquet")
+    assert rows() == list(range(5))
+    reader = spark.read.parquet(files.published(spark, root))
+    files.publish(spark.range(7).selectExpr("id AS v"), root, "parquet")
+    assert rows() == list(range(7)) and reader.count() == 5  # who resolved before reads on
+    for n in (8, 9):
+        files.publish(spark.range(n).selectExpr("id AS v"), root, "parquet")
+    names = sorted(p.name for p in (tmp_path / "latest").iterdir() if not p.name.startswith("."))
+    assert rows() == list(range(9)) and len(names) == 4 and sum(n.startswith("_current-") for n in names) == 2

@@ -297,8 +297,8 @@ def segmentation_history_within_label(spark, d):
 
 @query("run_month")
 def run_month(spark, d):
-    """Two monthly runs in a row over the shop's tables, and the published table read back. No
-    SQL: the parts have theirs, tests compare the whole with them and with a repeated run."""
+    """Two monthly runs in a row over the shop's tables, and the published table, the last month's
+    snapshot, read back. No SQL: the parts have theirs, tests compare the whole with them and with a repeated run."""
     store = stage_path(spark, "store")
     tables, titles = shop(spark, d), catalog(spark, d)
     rules = J.Rules(special="Box 20", method="lloyd")

@@ -97,8 +97,9 @@ def write_by_segment(spark, d):
 def publish_latest(spark, d):
     df = noted(weekly_snapshots(spark, d), "CAST(mail AS INT)", "rfm")
     archive, latest = stage_path(spark, "archive"), stage_path(spark, "latest")
+    files.publish(df.limit(1), latest)
     files.publish_latest(df, archive, latest)
-    both = spark.read.parquet(archive).unionByName(files.read_csv_snapshot(spark, latest, df.schema))
+    both = spark.read.parquet(archive).unionByName(files.read_csv_snapshot(spark, files.published(spark, latest), df.schema))
     return both.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("copias"))
 
 
