@@ -1,10 +1,8 @@
 """Scaling, k-means and cluster names."""
 
+import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from clientela.sources.staging import staged
 
 CLUSTER = "rfm_cluster"
 MOST_CLUSTERS = 10_000
+FEW_POINTS = 50_000   # moved by one task
 SCALED = tuple(f"{c}_z" for c in C.RFM_COLS)
 
 
@@ -82,49 +81,102 @@ def rank_seeds(df: DataFrame, cols: Sequence[str], k: int, by: str, id_col: str)
     return seeds
 
 
+def weighted_points(df: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
+    """Different points with the number of rows at each and the least id there. Rows with a null
+    coordinate move no centroid."""
+    return (df.select(id_col, *[F.col(f"`{c}`").cast("double").alias(f"x{n}") for n, c in enumerate(cols)]).na.drop(
+        subset=[f"x{n}" for n in range(len(cols))])
+        .groupBy(*[f"x{n}" for n in range(len(cols))]).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("id")))
+
+
+def _fixed(points: DataFrame, dims: int) -> tuple[list[Column], float]:
+    """Coordinates times weights as whole multiples of a power of two, and that power: sums of 64-bit
+    integers do not depend on the order of rows. The power leaves room for the sum of all."""
+    total = points.agg(F.sum(sum(F.abs(F.col(f"x{n}")) * F.col("w") for n in range(dims)))).first()[0] or 0.0
+    if not math.isfinite(total):
+        raise ValueError("coordinates are too large to add; scale them first")
+    unit = 2.0 ** min(1000, 61 - math.frexp(total)[1])
+    return [F.rint(F.col(f"x{n}") * F.col("w") * F.lit(unit)).cast("bigint").alias(f"f{n}") for n in range(dims)], unit
+
+
+def move_centroids(points: DataFrame, starts: Sequence[Sequence[Sequence[float]]], iters: int,
+                   tol: float = 1e-9) -> list[tuple[float, list[list[float]]]]:
+    """(cost, centroids) of each start after Lloyd rounds until none of its centroids moves more than
+    `tol`, at most `iters`. `points` is a stored `weighted_points`.
+
+    All starts move in the same aggregation, so there are as many passes as the longest takes;
+    starts that have come to rest leave it. Centroids travel as one row of data, so every round runs
+    the same compiled code. Only starts x k rows return to the driver."""
+    spark, dims = points.sparkSession, len(starts[0][0])
+    fixed, unit = _fixed(points, dims)
+    centres = [[list(c) for c in start] for start in starts]
+    live, cost = [True] * len(starts), [float("inf")] * len(starts)
+    names = [[[f"c{s}_{i}_{n}" for n in range(dims)] for i in range(len(c))] for s, c in enumerate(centres)]
+    schema = ", ".join([*(x for s in names for c in s for x in c), *(f"live{s}" for s in range(len(starts)))])
+    entries = []
+    for s, start in enumerate(names):
+        near = [f"named_struct('d', {' + '.join(f'(x{n} - {x}) * (x{n} - {x})' for n, x in enumerate(c))}, 'i', {i})" for i, c in enumerate(start)]
+        entries.append(f"if(live{s}, named_struct('s', {s}, 'b', {f'least({', '.join(near)})' if len(near) > 1 else near[0]}), null)")
+    sums = [F.sum(f"f{n}").alias(f"f{n}") for n in range(dims)]
+    each = F.expr(f"inline(array({', '.join(entries)}))")
+    few = points.limit(FEW_POINTS + 1).count() <= FEW_POINTS
+    rows = (points.coalesce(1) if few else points).select("*", *fixed)  # a task needs no exchange
+    for _ in range(iters):
+        row = ", ".join([*(f"{x!r}D" for s in centres for c in s for x in c), *(str(x).lower() for x in live)])
+        met = rows.crossJoin(F.broadcast(spark.sql(f"SELECT * FROM VALUES ({row}) AS t({schema})")))
+        found = (met.select("w", *[f"f{n}" for n in range(dims)], each).where("s IS NOT NULL").groupBy("s", "b.i").agg(
+            F.sum("w").alias("w"), F.sum(F.col("w") * F.col("b.d")).alias("d"), *sums).collect())
+        moved = {s: [list(c) for c in centres[s]] for s in range(len(starts)) if live[s]}
+        total = dict.fromkeys(moved, 0.0)
+        for r in found:
+            moved[r.s][r.i] = [r[f"f{n}"] / unit / r.w for n in range(dims)]
+            total[r.s] += r.d
+        for s, new in moved.items():
+            shift = max(abs(a - b) for old, c in zip(centres[s], new) for a, b in zip(old, c))
+            centres[s], cost[s], live[s] = new, total[s], shift > tol
+        if not any(live):
+            break
+    return list(zip(cost, centres))
+
+
 def kmeans_lloyd(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, iters: int = 300,
                  by: str = "ValorMonetario", id_col: str = "mail", out: str = CLUSTER,
                  tol: float = 1e-9) -> DataFrame:
     """Deterministic k-means: rank seeds, then rounds until no centroid moves more than `tol`, at
-    most `iters`.
-
-    Only the k centroids pass through the driver, one small aggregation per round; as literals
-    they make the assignment a plain projection. Means are taken of decimals, whose sums do not
-    depend on the order of rows. The input is written to the staging folder first, so a round
-    scans a narrow table and nothing grows with the number of rounds."""
+    most `iters`. The input is written to the staging folder first; a round scans its different
+    points. Means are of integer sums, which do not depend on the order of rows."""
     data = staged(df, "lloyd")
-    centres = rank_seeds(data, cols, k, by, id_col)
-    for _ in range(iters):
-        rows = (data.groupBy(nearest(cols, centres).alias("i"))
-                .agg(*[F.avg(F.col(c).cast("decimal(24,12)")).cast("double").alias(c) for c in cols]).collect())
-        moved = [list(c) for c in centres]
-        for row in rows:
-            moved[row["i"]] = [float(row[c]) for c in cols]
-        shift = max(abs(a - b) for old, new in zip(centres, moved) for a, b in zip(old, new))
-        centres = moved
-        if shift <= tol:
-            break
+    seeds = rank_seeds(data, cols, k, by, id_col)
+    points = staged(weighted_points(data, cols, id_col), "points")
+    [(_, centres)] = move_centroids(points, [seeds], iters, tol)
     return data.withColumn(out, nearest(cols, centres))
 
 
+def hash_seeds(points: DataFrame, k: int, seed: int, n_init: int) -> list[list[list[float]]]:
+    """Starting centroids of each start: the k different points whose least id has the least MD5
+    together with the number of the start."""
+    dims = [c for c in points.columns if c.startswith("x")]
+    each = None
+    for s in range(n_init):
+        mark = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed + s}")).cast("binary"))
+        some = points.select(F.lit(s).alias("s"), mark.alias("m"), *dims).orderBy("m").limit(k)
+        each = some if each is None else each.unionByName(some)
+    rows = each.collect()  # n_init * k
+    return [[[r[c] for c in dims] for r in sorted((r for r in rows if r.s == s), key=lambda r: r.m)] for s in range(n_init)]
+
+
 def kmeans(df: DataFrame, cols: Sequence[str] = SCALED, k: int = 3, max_iter: int = 300,
-           seed: int = 42, n_init: int = 10, out: str = CLUSTER,
-           parallelism: int = 4) -> DataFrame:
-    """Best of `n_init` k-means fits by cost, then nearest-centre labels. `parallelism` fits are
-    in flight at a time, so a small table does not leave the cluster idle between their jobs."""
+           seed: int = 42, n_init: int = 10, out: str = CLUSTER, id_col: str = "mail", tol: float = 1e-9) -> DataFrame:
+    """Best of `n_init` k-means starts by cost, then nearest-centre labels. Starts are chosen by hash,
+    so a repeated run gives the same clusters; these are numbered in the order of their centroids.
+    With fewer than k different points there are as many clusters as points; none is an error."""
     data = staged(df, "kmeans")
-    points = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(data).select("_v")
-    points = points.persist()
-    try:
-        starts = [KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="_v")
-                  for i in range(n_init)]
-        with ThreadPoolExecutor(parallelism) as pool:
-            fits = list(pool.map(lambda start: start.fit(points), starts))
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        centres = [list(map(float, c)) for c in best.clusterCenters()]
-    finally:
-        points.unpersist()
-    return data.withColumn(out, nearest(cols, centres))
+    points = staged(weighted_points(data, cols, id_col), "points")
+    starts = hash_seeds(points, k, seed, n_init)
+    if not starts[0]:
+        raise ValueError("no point to start from")
+    _, centres = min(move_centroids(points, starts, max_iter, tol), key=lambda found: found[0])
+    return data.withColumn(out, nearest(cols, sorted(centres)))
 
 
 def cluster_stats(rfm: DataFrame, by: str = CLUSTER, monetary: str = "ValorMonetario") -> DataFrame:

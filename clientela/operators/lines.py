@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clientela import contracts as C
 from clientela.functions import scalars as S
-from clientela.sources.staging import broadcast_if_bounded
+from clientela.sources.staging import broadcast_if_bounded, staged
 from clientela.operators.ordered import HOT_ROWS, neighbour
 from clientela.operators.relational import (
     drop_returns, fetch_by_keys, fill_defaults, first_per_key, lookup_join, require)
@@ -136,7 +136,7 @@ def month_lines(tables: dict[str, DataFrame], month: str, kind: str = C.ORDER_TY
         tables["products"],
         eav_attribute(meta, C.KIND_KEY, "tipo_prd_id").withColumnRenamed("post_id", "product_id"),
         keep_unmailed=not v1)
-    texted = require(raw, ["fecha"]).withColumn(
-        "titulo_descripcion", S.full_text(F.col("titulo"), F.col("descripcion"), not v1))
+    texted = staged(require(raw, ["fecha"]).withColumn(
+        "titulo_descripcion", S.full_text(F.col("titulo"), F.col("descripcion"), not v1)), "month-lines")  # netting reads it twice
     net = drop_returns(net_credit_notes(texted), positive_only=not v1)
     return format_lines(net, v1, special)

@@ -121,9 +121,10 @@ def long_to_wide(long: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def distribution_profile(df: DataFrame, col: str, by: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram of a column per label, over the range of the whole column; the
-    tabular form of a violin plot. The quartiles of the label are repeated on its bins."""
+    tabular form of a violin plot. The quartiles of the label are repeated on its bins. The two
+    columns are stored, since range, bins and quartiles read them."""
     x = F.col(f"`{col}`").cast("double")
-    kept = df.filter(F.col(by).isNotNull() & x.isNotNull()).select(by, x.alias("x"))
+    kept = staged(df.filter(F.col(by).isNotNull() & x.isNotNull()).select(by, x.alias("x")), "distribution")
     span = kept.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     bin_no = F.when(F.col("hi") > F.col("lo"), F.least(

@@ -3,7 +3,8 @@
 The built-in exact `percentile` holds all values of a group in one aggregation buffer. Here a
 mergeable sketch first brackets each wanted rank, values are then counted per bracket (merged
 before the shuffle), and only the few values inside a bracket are ranked. The sketch decides
-where to look, never the answer: ranks are counted on all rows.
+where to look, never the answer: ranks are counted on all rows. Where every group is counted to be
+small, its values are ranked at once.
 
 A bracket holds about 6 in 10,000 rows of a large group, equal values counted once. It is cut into
 CELLS equal cells, counted first, and only the one or two cells with the wanted ranks are ranked, so a
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientela.sources.staging import broadcast_if_bounded
+from clientela.sources.staging import broadcast_if_bounded, staged
 
 ACCURACY = 10_000        # sketch rank error: 1 / ACCURACY
 MARGIN = 3 / ACCURACY    # bracket half-width in rank share
@@ -47,6 +48,18 @@ def sketch(long: DataFrame, keys: Sequence[str], ps: Sequence[float], value: str
     return rows.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
 
 
+def _small_quantiles(rows: DataFrame, names: Sequence[str], keys: Sequence[str], ps: Sequence[float], interpolate: bool) -> DataFrame:
+    """The same rows where no group has more than SMALL values, which are put in order in one cell."""
+    held = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_x")).alias("_a")).where("size(_a) > 0")
+    cells = []
+    for p in ps:
+        rank = f"({p!r}D * (size(_a) - 1))"
+        low, high = f"_a[int(floor{rank})]", f"_a[least(int(floor{rank}) + 1, size(_a) - 1)]"
+        answer = f"{low} + ({rank} - floor{rank}) * ({high} - {low})" if interpolate else low
+        cells.append(f"named_struct('p', {p!r}D, 'n', CAST(size(_a) AS BIGINT), 'valor', {answer})")
+    return held.selectExpr(*names, f"inline(array({', '.join(cells)}))")
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
                     value: str = "valor", bounded_keys: bool = False,
                     interpolate: bool = True, sketched: DataFrame | None = None) -> DataFrame:
@@ -56,8 +69,10 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
     `bounded_keys` states that the keys are few by construction (column names), so their
     brackets may be broadcast; otherwise their number is counted first. `sketched` is a stored
     `sketch` for the same arguments."""
-    table = sketch(long, keys, ps, value) if sketched is None else sketched
     names = [f"`{k}`" for k in keys]
+    table = staged(sketch(long, keys, ps, value), "sketch") if sketched is None else sketched
+    if (table.agg(F.max("n")).first()[0] or 0) <= SMALL:  # the input is read twice either way
+        return _small_quantiles(_values(long, keys, value), names, keys, ps, interpolate)
     # A small group has one bracket, its whole range; a large one has a bracket per quantile.
     wide = "named_struct('i', -1, 'lo', _min, 'hi', _max)"
     narrow = ", ".join(

@@ -107,6 +107,32 @@ def test_lloyd_cost_falls_and_finds_the_groups(spark):
     assert cost(library, cols) == pytest.approx(costs[2])
 
 
+def test_starts_move_together(spark):
+    """Ten starts in common rounds end where each would by itself; the best of them is taken."""
+    df, cols = blobs(spark), ["ValorMonetario", "y"]
+    points = cluster.weighted_points(df.unionByName(df), cols, "mail").cache()
+    assert {r.w for r in points.select("w").distinct().collect()} == {2}
+    starts = cluster.hash_seeds(points, 3, 42, 10)
+    assert starts == cluster.hash_seeds(points, 3, 42, 10) and all(len({tuple(c) for c in s}) == 3 for s in starts)
+    together = cluster.move_centroids(points, starts, 300)
+    alone = [cluster.move_centroids(points, [s], 300)[0] for s in starts]
+    assert [c for _, c in together] == [c for _, c in alone]
+    assert [c for c, _ in together] == pytest.approx([c for c, _ in alone])
+    best = cost(cluster.kmeans(df, cols).collect(), cols)
+    assert 2 * best == pytest.approx(min(c for c, _ in together))
+    points.unpersist()
+
+
+@pytest.mark.parametrize("factor", [1e-9, 1e13, 1e30])
+def test_clusters_do_not_depend_on_the_unit(spark, factor):
+    df, cols = blobs(spark), ["ValorMonetario", "y"]
+    scaled = df.select("mail", *[(df[c] * factor).alias(c) for c in cols])
+    tol = 1e-9 * max(factor, 1)
+    labels = lambda t: {r.mail: r.rfm_cluster for r in t.collect()}
+    assert labels(cluster.kmeans_lloyd(scaled, cols, tol=tol)) == labels(cluster.kmeans_lloyd(df, cols))
+    assert labels(cluster.kmeans(scaled, cols, n_init=2, tol=tol)) == labels(cluster.kmeans(df, cols, n_init=2))
+
+
 def test_seeds_are_different_points(make):
     rows = [(f"c{i}", 1.0, float(i % 4)) for i in range(40)] + [("z", 9.0, 0.0)]
     df = make(rows, "mail string, ValorMonetario double, y double")

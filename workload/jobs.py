@@ -72,9 +72,36 @@ def standardize(spark, d):
     return rounded(K.standardize(kept(spark, d)), 6, *K.SCALED)
 
 
-@query("kmeans", f"""WITH {BASE}
-SELECT count(*) AS filas, count(DISTINCT mail) AS clientes, 3 AS grupos, true AS cercanos, true AS costo FROM scaled""")
+STARTS = 10
+
+
+def _starts_sql(rounds: int) -> str:
+    """The same rounds from several starts at once, and the labels of the cheapest: `best`."""
+    order = "s, i"
+    ctes = ["""spots AS MATERIALIZED (SELECT z0, z1, z2, min(mail) AS id FROM scaled GROUP BY ALL)""",
+            f"""k0 AS MATERIALIZED (SELECT s, row_number() OVER (PARTITION BY s ORDER BY m) - 1 AS i, z0, z1, z2 FROM (
+  SELECT s, z0, z1, z2, md5(id || ':' || (42 + s)) AS m FROM spots, range({STARTS}) t(s))
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY m) <= 3)"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""b{t} AS MATERIALIZED (SELECT mail, s, arg_min(i, (dist, i)) AS i, min(dist) AS dist FROM (SELECT scaled.mail, k.s, k.i,
+    (scaled.z0 - k.z0) ** 2 + (scaled.z1 - k.z1) ** 2 + (scaled.z2 - k.z2) ** 2 AS dist FROM scaled, k{t} k) GROUP BY mail, s)""")
+        if t < rounds:
+            ctes.append(f"""k{t + 1} AS MATERIALIZED (SELECT {order}, avg(z0) AS z0, avg(z1) AS z1, avg(z2) AS z2
+  FROM scaled JOIN b{t} USING (mail) GROUP BY {order})""")
+    ctes.append(f"""cheapest AS (SELECT s FROM b{rounds} GROUP BY s ORDER BY sum(dist), s LIMIT 1),
+numbered AS (SELECT s, i, row_number() OVER (ORDER BY z0, z1, z2) - 1 AS label FROM k{rounds} JOIN cheapest USING (s)),
+best AS (SELECT mail, CAST(label AS INTEGER) AS rfm_cluster FROM b{rounds} JOIN numbered USING (s, i))""")
+    return ",\n".join(ctes)
+
+
+@query("kmeans", f"WITH {LINES}, {RFM}, {KEPT}, {_lloyd_sql(0)}, {_starts_sql(ROUNDS)} SELECT mail, rfm_cluster FROM best")
 def kmeans(spark, d):
+    return K.kmeans(K.standardize(kept(spark, d))).select("mail", K.CLUSTER)
+
+
+@query("kmeans_facts", f"""WITH {BASE}
+SELECT count(*) AS filas, count(DISTINCT mail) AS clientes, 3 AS grupos, true AS cercanos, true AS costo FROM scaled""")
+def kmeans_facts(spark, d):
     """What holds for any starts: each row is labelled once, every cluster has rows, each row lies
     nearest to the mean of its own cluster, and the cost is not above that of the repeatable form."""
     labelled = staged(K.kmeans(K.standardize(kept(spark, d))), "kmeans-labels")
