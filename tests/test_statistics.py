@@ -199,3 +199,22 @@ def test_histogram_covers_all_rows(make):
     df = make([("g", float(i)) for i in range(10)] + [("h", 9.0), (None, 1.0)], "s string, x double")
     rows = profile.distribution_profile(df, "x", "s", bins=3).collect()
     assert sum(r.n for r in rows) == 11 and {r.bin for r in rows if r.s == "h"} == {2}
+
+
+def test_density_is_the_kernels_over_all_rows(spark):
+    """Close to the sum of kernels at every value, of total 1 within the range, and defined on odd groups."""
+    from clientela.operators.profile import density_profile
+    rng = np.random.default_rng(4)
+    values = {"a": rng.normal(0, 1, 4000), "b": rng.normal(3, 0.5, 500)}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("one", 1.0), ("flat", 2.0), ("flat", 2.0), (None, 1.0), ("a", None)]
+    got = density_profile(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()
+    assert {r.g for r in got} == {"a", "b"} and len(got) == 128
+    for label, vs in values.items():
+        curve = sorted((r.x, r.densidad) for r in got if r.g == label)
+        h = vs.std(ddof=1) * len(vs) ** -0.2
+        for x, d in curve:
+            want = np.exp(-((x - vs) / h) ** 2 / 2).sum() / (len(vs) * h * np.sqrt(2 * np.pi))
+            assert d == pytest.approx(want, abs=0.01)
+        assert np.trapezoid([d for _, d in curve], [x for x, _ in curve]) == pytest.approx(1, abs=0.02)
+    same = spark.createDataFrame([("a", 1.0)] * 5, "g string, v double")
+    assert density_profile(same, "v", "g").count() == 0 == density_profile(same.limit(0), "v", "g").count()

@@ -362,6 +362,19 @@ def distribution_profile(spark, d):
     return rounded(D.distribution_profile(sale_lines(spark, d), "total_actualizado", "MARCA"))
 
 
+@query("density_profile", f"""WITH {LINES}, vals AS (SELECT "MARCA", CAST(total_actualizado AS DOUBLE) AS v FROM lines),
+span AS (SELECT min(v) AS lo, max(v) AS hi FROM vals),
+hist AS (SELECT "MARCA", lo, hi, least(floor((v - lo) / ((hi - lo) / 256)), 255) AS bin, count(*) AS n FROM vals, span GROUP BY ALL),
+labels AS (SELECT "MARCA", count(*) AS total, stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS h FROM vals GROUP BY 1 HAVING stddev_samp(v) > 0),
+laid AS (SELECT hist.*, total, h, CAST(punto AS INTEGER) AS punto, lo + punto * ((hi - lo) / 63) AS x, lo + (bin + 0.5::DOUBLE) * ((hi - lo) / 256) AS m
+  FROM hist JOIN labels USING ("MARCA"), range(64) t(punto))
+SELECT "MARCA", punto, round(x, 6) AS x, round(sum(n * exp(-((x - m) / h) * ((x - m) / h) / 2) / (total * h * sqrt(2.0::DOUBLE * pi()))), 14) AS densidad
+FROM laid GROUP BY "MARCA", punto, x""")
+def density_profile(spark, d):
+    curve = D.density_profile(sale_lines(spark, d), "total_actualizado", "MARCA")
+    return rounded(rounded(curve, 6, "x"), 14, "densidad")
+
+
 # --- snapshot ------------------------------------------------------------------------------
 
 def _contents(distinct: bool) -> str:
