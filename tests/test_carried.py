@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clientela.operators import features, ledger, pricing, states, transitions
+from clientela.operators import distinct, features, ledger, pricing, states, transitions
 from clientela.operators.gaps import purchase_gap
 from clientela.plans import jobs
 
@@ -105,3 +105,25 @@ def test_states_follow_snapshots(spark, make):
     assert key(known) == key(transitions.previous_state(snaps).select(known.columns))
     assert key(states.edges(parts)) == key(transitions.transition_edges(snaps))
     assert latest.count() == len({m for m, *_ in rows if m})
+
+
+def test_distinct_customers_add_up(spark):
+    r = random.Random(9)
+    registry = bits = None
+    seen, rows = set(), []
+    for month in range(3):
+        now = [(r.choice([None, *(f"c{k}" for k in range(40 * (month + 1)))]), r.choice(["x", "y", None])) for _ in range(150)]
+        rows += now
+        seen |= {m for m, _ in now if m is not None}
+        table = spark.createDataFrame(now, "mail string, g string").repartition(3)
+        registry = spark.createDataFrame(distinct.enroll(registry, table).collect(), "mail string, n long")
+        assert {x.mail for x in registry.collect()} == seen
+        assert sorted(x.n for x in registry.collect()) == list(range(1, len(seen) + 1))  # no gaps
+        one = distinct.month_bitmaps(table, registry, ["g"])
+        bits = one if bits is None else bits.unionByName(one)
+    got = {x.g: (x.cantidad_de_clientes, x.filas) for x in distinct.distinct_counts(bits, ["g"]).collect()}
+    assert got == {g: (len({m for m, h in rows if h == g and m is not None}), sum(h == g for _, h in rows)) for g in ("x", "y", None)}
+    total = distinct.distinct_counts(bits, []).first()
+    assert (total.cantidad_de_clientes, total.filas) == (len(seen), len(rows))
+    far = spark.range(32_766, 32_772).selectExpr("CAST(id AS STRING) AS mail", "id AS n")
+    assert distinct.distinct_counts(distinct.month_bitmaps(far, far, []), []).first().cantidad_de_clientes == 6

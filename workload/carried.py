@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from clientela.operators import distinct as DI
 from clientela.operators import features as X
+from clientela.operators import gaps as G
 from clientela.operators import ledger as L
 from clientela.operators import states as ST
 from clientela.operators.lines import in_month
@@ -92,3 +94,28 @@ SELECT rfm_anterior, rfm, count(*) AS cantidad FROM moves WHERE rfm_anterior IS
 def state_edges(spark, d):
     """Edge counts as sums of what each date adds."""
     return ST.edges(followed(spark, d)[1])
+
+
+def weekly_bitmaps(spark, d):
+    """Bitmaps of each week's gaps, each made from its week alone; customers are enrolled week by week."""
+    rows = staged(G.purchase_gap(weekly_snapshots(spark, d)), "gaps")
+    weeks = [r[0] for r in rows.select("fecha_segmentacion").distinct().orderBy("fecha_segmentacion").collect()]
+    registry = stored_bits = None
+    for week in weeks:
+        now = rows.where(F.col("fecha_segmentacion") == F.lit(week))
+        registry = staged(DI.enroll(registry, now), "registry")
+        bits = staged(DI.month_bitmaps(now, registry, ["rfm", "segmento_gap"]), "bitmaps")
+        stored_bits = bits if stored_bits is None else stored_bits.unionByName(bits)
+    return stored_bits
+
+
+@query("gap_distribution_bitmaps", ORACLES["gap_distribution"])
+def gap_distribution_bitmaps(spark, d):
+    """Customers and rows per segment and band over all weeks, from the weeks' bitmaps."""
+    return DI.distinct_counts(weekly_bitmaps(spark, d).where(F.col("rfm").isNotNull()), ["rfm", "segmento_gap"])
+
+
+@query("n_distinct_bitmaps", f"""WITH {SNAPSHOTS} SELECT rfm, count(DISTINCT mail) AS cantidad_de_clientes, count(*) AS filas FROM snaps GROUP BY 1""")
+def n_distinct_bitmaps(spark, d):
+    """The same bitmaps united further, over the bands."""
+    return DI.distinct_counts(weekly_bitmaps(spark, d), ["rfm"])
