@@ -91,6 +91,14 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], ps: Sequence[float],
         .selectExpr(*names, "i", "n", "if(_x >= lo, _x, null) AS _v",
                     f"if(_x >= lo, if(hi > lo, least(floor((_x - lo) / (hi - lo) * {CELLS}), {CELLS - 1}), 0), -1) AS _cell")
         .groupBy(*keys, "i", "_cell", "_v").agg(F.expr("count(1)").alias("_c"), F.expr("max(n)").alias("n")))
+    return ranked_in_cells(counted, keys, ps, interpolate)
+
+
+def ranked_in_cells(counted: DataFrame, keys: Sequence[str], ps: Sequence[float], interpolate: bool = True) -> DataFrame:
+    """Rows (keys..., p, n, valor) from counts per value (keys..., i, _cell, _v, _c, n): `i` is the
+    number of the bracket's quantile, or -1 for a bracket of all; cell -1, without a value, holds what lies
+    below the bracket. Only the cells with the wanted ranks are ranked."""
+    names = [f"`{k}`" for k in keys]
     part = ", ".join([*names, "i"])
     filled = (counted.groupBy(*keys, "i", "_cell").agg(F.sum("_c").alias("_in"), F.max("n").alias("n"))
               .selectExpr(*names, "i", "_cell", "n", "_in", f"sum(_in) OVER (PARTITION BY {part} ORDER BY _cell "

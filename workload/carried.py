@@ -6,11 +6,12 @@ from clientela.operators import distinct as DI
 from clientela.operators import features as X
 from clientela.operators import gaps as G
 from clientela.operators import ledger as L
+from clientela.operators import monthly as MO
 from clientela.operators import states as ST
 from clientela.operators.lines import in_month
 from clientela.plans import jobs as J
-from clientela.sources.staging import staged
-from workload.base import ACCOUNTS, ATTRIBUTED, ORACLES, RFM, SNAPSHOTS, TIE, query, sale_lines, shop, weekly_snapshots
+from clientela.sources.staging import stage_path, staged
+from workload.base import ACCOUNTS, ATTRIBUTED, ORACLES, RFM, SNAPSHOTS, TIE, query, sale_lines, shop, table, weekly_snapshots
 from workload.customers import FEATURES, _gap_sql, account_lines, rounded
 from workload.jobs import _ACC_MONTH, AS_OF, RULES, SEGMENTS, SNAP_DATE
 
@@ -119,3 +120,23 @@ def gap_distribution_bitmaps(spark, d):
 def n_distinct_bitmaps(spark, d):
     """The same bitmaps united further, over the bands."""
     return DI.distinct_counts(weekly_bitmaps(spark, d), ["rfm"])
+
+
+_MEASURES, _RANKS = ("l_quantity", "l_extendedprice"), (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
+
+
+def _flag_quantile(col, p):
+    return f"""SELECT l_returnflag, '{col}' AS columna, CAST({p!r} AS DOUBLE) AS p, count({col}) AS n,
+  round(quantile_cont({col}, {p!r}), 6) AS valor FROM lineitem WHERE l_returnflag IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY l_returnflag"""
+
+
+@query("quantiles_of_months", " UNION ALL ".join(_flag_quantile(c, p) for c in _MEASURES for p in _RANKS))
+def quantiles_of_months(spark, d):
+    """Quantiles per return flag over all years, stored year by year; the last is first stored with half its rows."""
+    lines = table(spark, d, "lineitem").withColumn("Periodo", F.year("l_shipdate"))
+    folder, by = stage_path(spark, "quantile-months"), ["l_returnflag"]
+    last = lines.agg(F.max("Periodo")).first()[0]
+    half = lines.where((F.col("Periodo") == F.lit(last)) & (F.col("l_orderkey") % 2 == 0))
+    MO.store_months(MO.month_values(half, _MEASURES, by), folder)
+    MO.store_months(MO.month_values(lines, _MEASURES, by), folder)
+    return rounded(MO.quantiles_of_months(*MO.stored_months(spark, folder), _RANKS, by), 6, "valor")
