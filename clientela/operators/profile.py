@@ -9,6 +9,9 @@ from clientela.operators.quantile import column_quantiles, exact_quantiles, sket
 from clientela.sources.staging import broadcast_if_bounded, staged
 
 QUARTILES = (0.25, 0.5, 0.75)
+CANDIDATES = 100               # values a column that may be its mode
+COUNTERS = 8_192               # values a frequent-item sketch follows
+MODE_ERROR = 3.5 / COUNTERS    # largest share of rows by which the sketch is off
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
@@ -46,6 +49,37 @@ def describe_all(df: DataFrame, numeric: Sequence[str], other: Sequence[str]) ->
     return describe(df, numeric).unionByName(tops, allowMissingColumns=True)
 
 
+def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(columna, count, top, freq): the most frequent value of every column as text, the smallest of
+    equally frequent ones, and how often it occurs. A column without values has no row.
+
+    Frequent-item counters, which merge without shuffling values, name CANDIDATES values per column; only
+    these are counted exactly. Any other value occurs at most as often as the last candidate is
+    estimated, or MODE_ERROR of all rows. Where the best candidate occurs more often it is the mode; the
+    other columns are counted in full."""
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    long = text.unpivot([], list(cols), "columna", "valor").where("valor IS NOT NULL")
+    counters = long.groupBy("columna").agg(
+        F.count("valor").alias("count"), F.expr(f"approx_top_k(valor, {CANDIDATES}, {COUNTERS})").alias("_k"))
+    likely = staged(counters.selectExpr("columna", "count", "_k.item AS _items", f"""greatest(
+        if(size(_k) < {CANDIDATES}, 0, array_min(_k.count)), CAST(ceil(count * {MODE_ERROR!r}D) AS BIGINT)) AS _bound"""), "modes")
+
+    def best(rows: DataFrame) -> DataFrame:
+        counted = rows.groupBy("columna", "valor").agg(F.count(F.lit(1)).alias("n"))
+        first = F.min_by(F.struct("valor", "n"), F.struct(-F.col("n"), F.col("valor")))
+        return counted.groupBy("columna").agg(first.alias("_t")).select(
+            "columna", F.col("_t.valor").alias("top"), F.col("_t.n").alias("freq"))
+
+    few = F.broadcast(likely.selectExpr("columna", "explode(_items) AS valor"))  # CANDIDATES a column
+    tried = staged(likely.join(best(long.join(few, ["columna", "valor"], "left_semi")), "columna", "left"), "tried")
+    sure = tried.where("freq > _bound").select("columna", "count", "top", "freq")
+    open_ = [r[0] for r in tried.where("freq IS NULL OR freq <= _bound").select("columna").collect()]
+    if not open_:
+        return sure
+    rest = best(long.where(F.col("columna").isin(open_))).join(F.broadcast(tried.select("columna", "count")), "columna")
+    return sure.unionByName(rest.select(*sure.columns))
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("n").desc(), col))

@@ -1,5 +1,7 @@
 """State that is carried from month to month, next to the SQL over all months."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clientela.operators import distinct as DI
@@ -7,13 +9,17 @@ from clientela.operators import features as X
 from clientela.operators import gaps as G
 from clientela.operators import ledger as L
 from clientela.operators import monthly as MO
+from clientela.operators import profile as D
 from clientela.operators import states as ST
-from clientela.operators.lines import in_month
+from clientela.operators.lines import assemble_lines, eav_attribute, in_month
 from clientela.plans import jobs as J
+from clientela.sources import buckets as B
+from clientela.sources import months as MT
 from clientela.sources.staging import stage_path, staged
-from workload.base import ACCOUNTS, ATTRIBUTED, ORACLES, RFM, SNAPSHOTS, TIE, query, sale_lines, shop, table, weekly_snapshots
+from workload.base import ACCOUNTS, ATTRIBUTED, LINES, ORACLES, RFM, SNAPSHOTS, TIE, query, sale_lines, shop, table, weekly_snapshots
 from workload.customers import FEATURES, _gap_sql, account_lines, rounded
 from workload.jobs import _ACC_MONTH, AS_OF, RULES, SEGMENTS, SNAP_DATE
+from workload.relations import MONTH
 
 
 def stored(state, name):
@@ -140,3 +146,59 @@ def quantiles_of_months(spark, d):
     MO.store_months(MO.month_values(half, _MEASURES, by), folder)
     MO.store_months(MO.month_values(lines, _MEASURES, by), folder)
     return rounded(MO.quantiles_of_months(*MO.stored_months(spark, folder), _RANKS, by), 6, "valor")
+
+
+HISTORY = ("post_id", "product_id", "l_linenumber", "l_suppkey", "total_actualizado", "Periodo", "quantity")
+
+
+@query("upsert_months", ORACLES["upsert_period"])
+def upsert_months(spark, d):
+    """`upsert_period` on a history stored by month, of which only the other months are read; twice."""
+    lines, folder = sale_lines(spark, d).select(*HISTORY), stage_path(spark, "history-months")
+    MT.store_by_month(lines, folder)
+    schema = lines.schema
+    new = staged(MT.stored_table(spark, folder, schema).where(F.col("Periodo") >= MONTH).withColumn("quantity", F.col("quantity") + 1), "new")
+    once, again = MT.upsert_months(MT.stored_table(spark, folder, schema), folder, new), stage_path(spark, "history-again")
+    MT.store_by_month(once, again)
+    return MT.upsert_months(MT.stored_table(spark, again, schema), again, new)
+
+
+@query("latest_snapshot", f"""WITH {SNAPSHOTS} SELECT * FROM snaps WHERE fecha_segmentacion = (SELECT max(fecha_segmentacion) FROM snaps)""")
+def latest_snapshot(spark, d):
+    """The current snapshot of a table stored by snapshot, without its date being given."""
+    snaps, folder = weekly_snapshots(spark, d), stage_path(spark, "snapshots")
+    MT.store_by_month(snaps, folder, "fecha_segmentacion")
+    kind = snaps.schema["fecha_segmentacion"].dataType.simpleString()
+    return MT.of_months(MT.stored_table(spark, folder, snaps.schema), MT.latest_month(spark, folder, "fecha_segmentacion", kind), "fecha_segmentacion")
+
+
+BUCKETS, HOT_LINES = 8, 50   # the given tables are small
+
+
+def bucketed(spark, df, key):
+    name = f"t{uuid.uuid4().hex}"
+    return B.store_bucketed(df, name, stage_path(spark, name), key, BUCKETS, B.hot_keys(df, key, HOT_LINES))
+
+
+@query("bucketed_profile", ORACLES["customer_profile"])
+def bucketed_profile(spark, d):
+    """`customer_profile` of a history bucketed by customer, which is not shuffled."""
+    return X.with_recency(B.per_key(X.customer_profile, bucketed(spark, account_lines(spark, d), "mail")))
+
+
+@query("bucketed_lines", ORACLES["assemble_lines"])
+def bucketed_lines(spark, d):
+    """`assemble_lines` with items bucketed by bill: the bills of the orders are brought to them."""
+    t = shop(spark, d)
+    kinds = eav_attribute(t["attributes"], "tipo_prd_id", "tipo_prd_id").withColumnRenamed("post_id", "product_id")
+    mails = eav_attribute(t["attributes"], "_billing_email", "mail")
+    return B.per_key(lambda items: assemble_lines(t["orders"], mails, t["bills"], items, t["products"], kinds),
+                     bucketed(spark, t["items"], "bill_id"))
+
+
+@query("modes", f"""WITH {LINES}, {', '.join(f"""m_{i} AS (SELECT '{c}' AS columna, (SELECT count("{c}") FROM lines) AS count,
+  CAST("{c}" AS VARCHAR) AS top, count(*) AS freq FROM lines WHERE "{c}" IS NOT NULL GROUP BY 3 ORDER BY 4 DESC, 3 LIMIT 1)"""
+  for i, c in enumerate(("titulo", "MARCA", "mail", "product_id")))}
+{' UNION ALL '.join(f"SELECT * FROM m_{i}" for i in range(4))}""")
+def modes(spark, d):
+    return D.modes(sale_lines(spark, d), ["titulo", "MARCA", "mail", "product_id"])
