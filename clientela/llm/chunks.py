@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientela.llm.repeats import runs
-from clientela.llm.store import keep, mapped, renamed
+from clientela.llm.store import free_name, keep, mapped, renamed
 from clientela.llm.textbytes import Piece, slices
 
 SEEN = 32        # bytes that the hash depends on
@@ -175,13 +175,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def delete_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the spans of `found` (as repeated_passages returns it). All columns stay."""
-    gone = found.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__gone"))
+    """`docs` without the spans of `found` (as repeated_passages returns it). All columns stay, whatever
+    their names."""
+    held = free_name(docs, "__gone")
+    gone = found.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(held))
     text = F.col(f"`{text_col}`")
     kept = F.aggregate(
-        "__gone", F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
+        F.col(held), F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
         lambda acc, g: F.struct(F.concat(acc["text"], F.substring(text, acc["at"] + 1, g["start"] - acc["at"])).alias("text"),
                                 g["end"].alias("at")),
         lambda acc: F.concat(acc["text"], F.substring(text, acc["at"] + 1, F.length(text))))
     return docs.join(gone, id_col, "left").withColumn(
-        text_col, F.when(F.col("__gone").isNull(), text).otherwise(kept)).select([F.col(f"`{c}`") for c in docs.columns])
+        text_col, F.when(F.col(held).isNull(), text).otherwise(kept)).select([F.col(f"`{c}`") for c in docs.columns])

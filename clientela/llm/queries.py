@@ -31,13 +31,13 @@ def op7_minhash_near_dedup(spark, d):
 
 @query
 def op1_line_dedup(spark, d):
-    from clientela.llm.winnow import repeated_runs
-    return repeated_runs(table(spark, d, "documents"))
+    from clientela.llm.winnow import LONG_WORDS, repeated_runs
+    return repeated_runs(table(spark, d, "documents"), long_words=LONG_WORDS)
 
 
 @query
 def op1_line_dedup_long(spark, d):
-    """With runs of one or two lines that hold many words, which the SQL of op1_line_dedup leaves out."""
+    """The name under which the runs of one or two lines that hold many words first came; as op1_line_dedup."""
     from clientela.llm.winnow import LONG_WORDS, repeated_runs
     return repeated_runs(table(spark, d, "documents"), long_words=LONG_WORDS)
 

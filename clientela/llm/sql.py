@@ -2,30 +2,37 @@
 
 from clientela.llm import secrets
 from clientela.llm.queries import ORACLES
+from clientela.llm.winnow import LONG_WORDS
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
-ORACLES["op1_line_dedup"] = r"""
+ORACLES["op1_line_dedup"] = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
     generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+filled AS (SELECT doc_id, l, i, len({_WORDS.format(text='l')}) AS w FROM lines WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+ahead AS (
+  SELECT doc_id, i, l, w, lead(i, 1) OVER p AS i1, lead(i, 2) OVER p AS i2, lead(l, 1) OVER p AS l1, lead(l, 2) OVER p AS l2,
+    lead(w, 1) OVER p AS w1 FROM filled WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
 windows AS (
-  SELECT doc_id, i AS start, lead(i, 2) OVER p AS stop, l, lead(l, 1) OVER p AS l1, lead(l, 2) OVER p AS l2
-  FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]') WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
-solid AS (SELECT * FROM windows WHERE stop IS NOT NULL),
-firsts AS (SELECT l, l1, l2, min(doc_id) AS source FROM solid GROUP BY ALL),
+  SELECT doc_id, i AS start, i2 AS stop, l, l1, l2 FROM ahead WHERE i2 IS NOT NULL
+  UNION ALL SELECT doc_id, i, i1, l, l1, '' FROM ahead WHERE i1 IS NOT NULL AND w + w1 > {LONG_WORDS}
+  UNION ALL SELECT doc_id, i, i, l, '', '' FROM ahead WHERE w > {LONG_WORDS}),
+firsts AS (SELECT l, l1, l2, min(doc_id) AS source FROM windows GROUP BY ALL),
 marked AS (
-  SELECT solid.*, source, row_number() OVER (PARTITION BY doc_id, l, l1, l2 ORDER BY start) > 1 AS again
-  FROM solid JOIN firsts USING (l, l1, l2)),
+  SELECT windows.*, source, row_number() OVER (PARTITION BY doc_id, l, l1, l2 ORDER BY start) > 1 AS again
+  FROM windows JOIN firsts USING (l, l1, l2)),
 found AS (
   SELECT doc_id, start, stop, CASE WHEN again THEN doc_id ELSE source END AS source,
-    max(stop) OVER (PARTITION BY doc_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+    max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
   FROM marked WHERE again OR source < doc_id),
 runs AS (
-  SELECT *, sum(CASE WHEN start <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM found)
-SELECT doc_id, min(start) AS first_line, max(stop) AS last_line, count(*) AS n_windows, arg_min(source, start) AS source_id
+  SELECT *, sum(CASE WHEN start <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start, stop) AS run FROM found)
+SELECT doc_id, min(start) AS first_line, max(stop) AS last_line, count(*) AS n_windows,
+  arg_min(source, (start, -stop, source)) AS source_id
 FROM runs GROUP BY doc_id, run"""
+ORACLES["op1_line_dedup_long"] = ORACLES["op1_line_dedup"]
 
 
 def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:

@@ -39,3 +39,11 @@ def empty(df: DataFrame) -> bool:
 def renamed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only what an operator needs, under names that cannot clash with other columns."""
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """`name`, with as many `_` behind as no column of `docs` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

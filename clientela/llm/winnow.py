@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientela.llm.repeats import repeated, runs
-from clientela.llm.store import keep, mapped, renamed
+from clientela.llm.store import free_name, keep, mapped, renamed
 from clientela.llm.textbytes import SPACE, Piece, grams, slices
 
 WINDOW = 3       # lines; the shortest run that is found whatever it holds
@@ -77,7 +77,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   long_words: int | None = None) -> DataFrame:
     """Runs of at least WINDOW lines, or of more than `long_words` words if given, that stand earlier, in a text of smaller id or higher up in
     the same text: id, first_line, last_line (from 0), n_windows (matched, of all lengths), source_id
-    (the least id that holds the first window).
+    (the least id that holds the first window, the longest that begins there; or the text's own id if it
+    holds it higher up).
 
     Lines are split at line feeds and compared whole; blank lines neither count nor break a run.
     Null and empty texts have no run. Rows without an id are left out, since nothing orders them.
@@ -96,13 +97,14 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def delete_runs(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the lines of `found` (as repeated_runs returns it). All columns stay; a text
-    without a run stays as it is, byte for byte. A document of which no word is left goes."""
-    gone = keep(found.groupBy(id_col).agg(F.collect_list(F.struct("first_line", "last_line")).alias("__gone")), "gone")
+    """`docs` without the lines of `found` (as repeated_runs returns it). All columns stay, whatever
+    their names; a text without a run stays as it is, byte for byte. A document of which no word is left goes."""
+    held = free_name(docs, "__gone")
+    gone = keep(found.groupBy(id_col).agg(F.collect_list(F.struct("first_line", "last_line")).alias(held)), "gone")
     text = F.col(f"`{text_col}`")
     stays = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.exists(
-        "__gone", lambda g: (i >= g["first_line"]) & (i <= g["last_line"])))
-    left = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(stays, "\n"))
+        F.col(held), lambda g: (i >= g["first_line"]) & (i <= g["last_line"])))
+    left = F.when(F.col(held).isNull(), text).otherwise(F.array_join(stays, "\n"))
     return (docs.join(gone, id_col, "left").withColumn(text_col, left)
-            .where(F.col("__gone").isNull() | text.rlike(r"[^\x20\x09-\x0D]"))
+            .where(F.col(held).isNull() | text.rlike(r"[^\x20\x09-\x0D]"))
             .select([F.col(f"`{c}`") for c in docs.columns]))

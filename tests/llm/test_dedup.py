@@ -99,6 +99,52 @@ def test_short_runs_of_many_words_are_found(docs, prose):
         (2, 1, 1, 1), (3, 1, 2, 1), (5, 0, 0, 1), (5, 2, 3, 1), (7, 0, 2, 6), (7, 3, 3, 1)]
 
 
+def brute_long_runs(rows, long_words):
+    """Every window of three lines, or of fewer lines with more words, that stands earlier; overlapping ones put
+    together. The source is that of the first window, the longest of those that begin there: the text itself, if
+    it holds the window higher up, or the least id."""
+    windows = []
+    for i, t in sorted(rows):
+        lines = [(k, x) for k, x in enumerate((t or "").split("\n")) if x.split()]
+        for n in (1, 2, 3):
+            for at in range(len(lines) - n + 1):
+                part = lines[at:at + n]
+                if n == 3 or sum(len(x.split()) for _, x in part) > long_words:
+                    windows.append((i, part[0][0], part[-1][0], tuple(x for _, x in part)))
+    runs = []
+    for i, start, end, key in sorted(windows, key=lambda x: (x[0], x[1], x[2])):
+        higher = any(k == key and j == i and s < start for j, s, _, k in windows)
+        least = min(j for j, _, _, k in windows if k == key)
+        if not higher and least == i:
+            continue
+        source = i if higher else least
+        if runs and runs[-1][0] == i and start <= runs[-1][2]:
+            run = runs[-1]
+            if start == run[1]:
+                run[4] = source
+            run[2], run[3] = max(run[2], end), run[3] + 1
+        else:
+            runs.append([i, start, end, 1, source])
+    return sorted(map(tuple, runs))
+
+
+def test_long_runs_are_those_of_brute_force(docs):
+    r = random.Random(5)
+    for long_words in (2, 4):
+        lines = ["a", "b c", "d e f", "g h i j k", "", "  ", "l m n o p q"]
+        rows = [(i, "\n".join(r.choice(lines) for _ in range(r.randint(0, 9)))) for i in range(60)]
+        got = winnow.repeated_runs(docs(rows), long_words=long_words).collect()
+        assert sorted((x.doc_id, x.first_line, x.last_line, x.n_windows, x.source_id) for x in got) == brute_long_runs(rows, long_words)
+
+
+def test_columns_may_have_the_names_used_inside(docs):
+    table = docs([(1, "a\nb\nc"), (2, "x\na\nb\nc")]).withColumnsRenamed({"id": "__gone", "start": "__GONE_"})
+    left = winnow.delete_runs(table, winnow.repeated_runs(table))
+    assert left.columns == table.columns and {r.doc_id: r.text for r in left.collect()} == {1: "a\nb\nc", 2: "x"}
+    same = chunks.delete_passages(table, chunks.repeated_passages(table))
+    assert same.columns == table.columns and same.count() == 2
+
+
 def test_deleting_runs_keeps_the_rest(docs):
     rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny"), (3, "a\nb\nc"), (4, "k\r\n\n"), (5, None), (None, "a\nb\nc"), (6, "")]
     table = docs(rows)
