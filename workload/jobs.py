@@ -187,33 +187,45 @@ def label_clusters(spark, d):
 # --- composed jobs -------------------------------------------------------------------------
 
 JOB_MONTH = "1998-03"
-_TEXT = "COALESCE(titulo, '') || ' ' || COALESCE(descripcion, '')"
-MONTH_LINES = f"""raw AS (
+_SPECIAL_V1 = "red widget ECONOMY Box 20"   # the first version compares the whole text
+
+
+def _month_sql(month: str, following: str, v1: bool = False) -> str:
+    """Priced lines of the orders of a month, by the latest rules or those of the first version."""
+    text = "titulo || ' ' || descripcion" if v1 else "COALESCE(titulo, '') || ' ' || COALESCE(descripcion, '')"
+    pack, category, price = ("NULL", 'c."CATEGORÍA"', "p.precio") if v1 else (
+        "1", "COALESCE(c.\"CATEGORÍA\", 'otros')", "COALESCE(p.precio, 0)")
+    no_text = "WHEN td IS NULL THEN NULL" if v1 else ""
+    carton = (f"CASE WHEN COALESCE(td = '{_SPECIAL_V1}', FALSE) THEN 15 WHEN tipo_prd_id = 1 THEN 10 ELSE 0 END" if v1 else
+              "CASE WHEN contains(td, 'Box 20') THEN 15 WHEN tipo_prd_id = 2 THEN 1 ELSE 10 END")
+    return f"""raw AS (
   SELECT i.bill_id, i.product_id, i.quantity, p.titulo, p.descripcion, CAST(k.meta_value AS INTEGER) AS tipo_prd_id,
     b.post_id, b.type, b.fecha, m.meta_value AS mail
   FROM s_items i JOIN s_bills b USING (bill_id) JOIN s_orders o ON o."ID" = b.post_id
     AND o.post_type = 'shop_order' AND o.post_status = 'wc-bill'
-    AND o.post_date >= TIMESTAMP '1998-03-01' AND o.post_date < TIMESTAMP '1998-04-01'
-  LEFT JOIN s_attributes m ON m.post_id = o."ID" AND m.meta_key = '_billing_email'
+    AND o.post_date >= TIMESTAMP '{month}-01' AND o.post_date < TIMESTAMP '{following}-01'
+  {"" if v1 else "LEFT "}JOIN s_attributes m ON m.post_id = o."ID" AND m.meta_key = '_billing_email'
   LEFT JOIN s_products p ON p.product_id = i.product_id
   LEFT JOIN s_attributes k ON k.post_id = i.product_id AND k.meta_key = 'tipo_prd_id'),
 netted AS (SELECT *, CASE WHEN nt = 'pmi-credit-note' AND np = product_id AND nf > fecha THEN quantity - nq ELSE quantity END AS q
-  FROM (SELECT *, {_TEXT} AS td, lead(type) OVER w AS nt, lead(product_id) OVER w AS np, lead(fecha) OVER w AS nf,
+  FROM (SELECT *, {text} AS td, lead(type) OVER w AS nt, lead(product_id) OVER w AS np, lead(fecha) OVER w AS nf,
       lead(quantity) OVER w AS nq FROM raw
-    WINDOW w AS (PARTITION BY post_id ORDER BY {_TEXT}, fecha, bill_id, quantity))),
+    WINDOW w AS (PARTITION BY post_id ORDER BY {text}, fecha, bill_id, quantity))),
 prices AS (SELECT product_id, precio FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY fecha DESC, precio DESC) AS rn
   FROM s_prices) WHERE rn = 1),
 month_lines AS (SELECT n.bill_id, n.product_id, CAST(q AS INTEGER) AS quantity, n.titulo, n.descripcion, tipo_prd_id, post_id, type,
     fecha, mail, td AS titulo_descripcion,
-    CASE WHEN tipo_prd_id = 2 THEN 1 WHEN contains(td, '12') THEN 12 WHEN contains(td, '20') THEN 20 WHEN contains(td, '10') THEN 10 ELSE 1 END AS "Unidad",
-    CASE WHEN tipo_prd_id = 2 THEN 'Otros Productos' WHEN regexp_matches(td, 'Box|BOX|box') THEN 'Box' ELSE 'Soft_pack' END AS "Presentacion",
-    CASE WHEN (q < 10 OR q % 2 <> 0) AND q NOT IN (15, 45, 1) THEN 1 ELSE 0 END AS "Combo", strftime(fecha, '%Y-%m') AS "Periodo",
-    CASE WHEN contains(td, 'Box 20') THEN 15 WHEN tipo_prd_id = 2 THEN 1 ELSE 10 END AS "Carton_unidad",
-    q / CAST(CASE WHEN contains(td, 'Box 20') THEN 15 WHEN tipo_prd_id = 2 THEN 1 ELSE 10 END AS DOUBLE) AS "Carton_cantidad",
-    COALESCE(c."MARCA", 'otros') AS "MARCA", COALESCE(c."CATEGORÍA", 'otros') AS "CATEGORÍA",
-    COALESCE(p.precio, 0) AS precio, CAST(COALESCE(p.precio, 0) * q AS DOUBLE) AS total_actualizado
+    CASE WHEN tipo_prd_id = 2 THEN 1 WHEN contains(td, '12') THEN 12 WHEN contains(td, '20') THEN 20 WHEN contains(td, '10') THEN 10 ELSE {pack} END AS "Unidad",
+    CASE WHEN tipo_prd_id = 2 THEN 'Otros Productos' {no_text} WHEN regexp_matches(td, 'Box|BOX|box') THEN 'Box' ELSE 'Soft_pack' END AS "Presentacion",
+    CASE WHEN (q < 10 OR q % 2 <> 0) AND q NOT IN (15, 45{"" if v1 else ", 1"}) THEN 1 ELSE 0 END AS "Combo", strftime(fecha, '%Y-%m') AS "Periodo",
+    {carton} AS "Carton_unidad", CASE WHEN {carton} > 0 THEN q / CAST({carton} AS DOUBLE) ELSE 0.0 END AS "Carton_cantidad",
+    COALESCE(c."MARCA", 'otros') AS "MARCA", {category} AS "CATEGORÍA",
+    {price} AS precio, CAST({price} * q AS DOUBLE) AS total_actualizado
   FROM netted n LEFT JOIN catalog c ON c.titulo = n.titulo LEFT JOIN prices p ON p.product_id = n.product_id
-  WHERE type <> 'pmi-credit-note' AND q > 0)"""
+  WHERE type <> 'pmi-credit-note' AND q {"<>" if v1 else ">"} 0)"""
+
+
+MONTH_LINES = _month_sql(JOB_MONTH, "1998-04")
 
 
 def month_lines(spark, d):
@@ -226,6 +238,12 @@ def monthly_lines(spark, d):
     return month_lines(spark, d)
 
 
+@query("monthly_lines_v1", f"""WITH {SHOP}, {CATALOG}, {_month_sql(JOB_MONTH, "1998-04", v1=True)}
+SELECT * FROM month_lines""")
+def monthly_lines_v1(spark, d):
+    return J.monthly_lines(shop(spark, d), catalog(spark, d), JOB_MONTH, rules=J.Rules(v1=True, special=_SPECIAL_V1))
+
+
 _ACC_COLS = ("mail", "post_id", "bill_id", "product_id", "quantity", "fecha", "Periodo", "l_linenumber", "l_suppkey")
 _ACC_MONTH = "2001-10"
 
@@ -256,19 +274,33 @@ def accumulate(spark, d):
 
 
 AS_OF, SNAP_DATE = "2001-10-31", "2001-10-01"
-ACTIVE = f"""lines AS (SELECT * FROM all_lines WHERE mail IN (SELECT mail FROM all_lines GROUP BY mail
-  HAVING max(fecha) >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY))"""
-SEGMENTS = f"""{ACCOUNTS.replace("lines AS", "all_lines AS", 1)}, {ACTIVE}, {ATTRIBUTED}, {FEATURES}, {RFM}, {KEPT}, {LLOYD},
-{MEANS}, {NAMES}, {_MONO}, {_contents(True)}, {RANKED},
+FIRST_RULES = J.Rules(v1=True, special=_SPECIAL_V1, zero_is_multi=True, distinct_contents=False, text_style="list",
+                      iqr_k=None, method="lloyd", within_label=True)
+
+
+def _active_sql(as_of: str) -> str:
+    return f"""lines AS (SELECT * FROM all_lines WHERE mail IN (SELECT mail FROM all_lines GROUP BY mail
+  HAVING max(fecha) >= TIMESTAMP '{as_of}' - INTERVAL 365 DAY))"""
+
+
+def _segments_sql(date: str, v1: bool = False) -> str:
+    """Snapshot of the customers of `lines` and `attributed`, by the latest rules or those of the first version."""
+    flags = FEATURES.replace('> 1 THEN 1 ELSE 0 END AS "Multimarca"', '= 1 THEN 0 ELSE 1 END AS "Multimarca"') if v1 else FEATURES
+    return f"""{flags}, {RFM}, {"kept AS (SELECT * FROM rfm)" if v1 else KEPT}, {LLOYD},
+{MEANS}, {NAMES}, {_MONO}, {_contents(not v1)}, {RANKED},
 two AS (SELECT mail, max(CASE WHEN orden = 1 THEN contenido END) AS c1, max(CASE WHEN orden = 2 THEN contenido END) AS c2
   FROM ranked GROUP BY mail),
 segments AS (SELECT c.mail, f."Multimarca", f.mezcla_en_misma_compra, f.consume_combo, f."FF", f.cluster_patrones_consumo,
-  n.rfm, c."Recencia", c."Frecuencia", c."ValorMonetario", DATE '{SNAP_DATE}' AS fecha_segmentacion, m.producto_que_consume,
+  n.rfm, c."Recencia", c."Frecuencia", c."ValorMonetario", DATE '{date}' AS fecha_segmentacion, m.{"lista" if v1 else "producto_que_consume"} AS producto_que_consume,
   u.ultima_compra, t.c1 AS "Contenido Ultima Compra", t.c2 AS "Contenido Ante Ultima Compra"
 FROM clustered c JOIN labelled f USING (mail) JOIN names n USING (rfm_cluster) LEFT JOIN monos m USING (mail)
 JOIN (SELECT mail, max(fecha) AS ultima_compra FROM lines GROUP BY mail) u USING (mail) LEFT JOIN two t USING (mail))"""
 
 
+_BEFORE = f"""{ACCOUNTS.replace("lines AS", "all_lines AS", 1)}, {_active_sql(AS_OF)}, {ATTRIBUTED}"""
+SEGMENTS = f"{_BEFORE}, {_segments_sql(SNAP_DATE)}"
+
+
 def segments(spark, d):
     """The history is a stored table, as it is between two monthly runs."""
     history = staged(account_lines(spark, d), "history")
@@ -280,6 +312,13 @@ def segment_customers(spark, d):
     return segments(spark, d)
 
 
+@query("segment_customers_v1", f"WITH {_BEFORE}, {_segments_sql(SNAP_DATE, v1=True)} SELECT * FROM segments")
+def segment_customers_v1(spark, d):
+    """By the rules of the first version: no main product counts as several brands, outliers stay,
+    repeated titles too, single brands in the list form."""
+    return J.segment_customers(staged(account_lines(spark, d), "history"), AS_OF, SNAP_DATE, FIRST_RULES)
+
+
 _FACTS = ("mail", "Multimarca", "mezcla_en_misma_compra", "consume_combo", "FF", "cluster_patrones_consumo", "Recencia",
           "Frecuencia", "ValorMonetario", "fecha_segmentacion", "producto_que_consume", "ultima_compra",
           "Contenido Ultima Compra", "Contenido Ante Ultima Compra")
@@ -322,17 +361,56 @@ def segmentation_history_within_label(spark, d):
     return J.segmentation_history(now, old_snapshots(spark, d), J.Rules(within_label=True))
 
 
-@query("run_month")
-def run_month(spark, d):
+def _run_sql(v1: bool = False) -> str:
+    """Two months in a row: lines of both, the first month's history at the second's money without
+    the months that the second replaces, a snapshot after each month, and the second's with its gaps."""
+    def snapshot(source: str, as_of: str, date: str) -> str:
+        return (f"(WITH all_lines AS (SELECT * FROM {source}), {_active_sql(as_of)}, attributed AS (SELECT * FROM lines), "
+                f"{_segments_sql(date, v1)} SELECT * FROM segments)")
+
+    return f"""WITH {SHOP}, {CATALOG},
+march AS MATERIALIZED (WITH {_month_sql("1998-03", "1998-04", v1)} SELECT * FROM month_lines),
+april AS MATERIALIZED (WITH {_month_sql("1998-04", "1998-05", v1)} SELECT * FROM month_lines),
+now_prices AS (SELECT product_id, CAST(precio AS DOUBLE) AS ahora FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY fecha DESC, precio DESC) AS rn FROM s_prices
+  WHERE product_id IN (SELECT product_id FROM april)) WHERE rn = 1),
+top AS (SELECT product_id FROM april GROUP BY 1 ORDER BY sum(quantity) DESC, 1 LIMIT 4),
+firsts_of_top AS (SELECT total_actualizado / quantity AS viejo FROM march WHERE product_id IN (SELECT product_id FROM top)
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY fecha, bill_id, product_id, quantity, total_actualizado) = 1),
+idx AS (SELECT CASE WHEN o > 0 THEN COALESCE(n, 0) / o ELSE 1.0 END AS indice FROM (SELECT
+  (SELECT sum(ahora) FROM now_prices WHERE product_id IN (SELECT product_id FROM top)) AS n, (SELECT sum(viejo) FROM firsts_of_top) AS o)),
+history AS MATERIALIZED (
+  SELECT * EXCLUDE (precio) FROM april
+  UNION ALL BY NAME
+  SELECT march.* EXCLUDE (precio) REPLACE (COALESCE(ahora, total_actualizado / quantity * (SELECT indice FROM idx)) * quantity AS total_actualizado)
+  FROM march LEFT JOIN now_prices USING (product_id) WHERE "Periodo" <> '1998-04'),
+first_snap AS MATERIALIZED {snapshot("march", "1998-03-31", "1998-03-01")},
+second_snap AS MATERIALIZED {snapshot("history", "1998-04-30", "1998-04-01")},
+snaps AS (SELECT * FROM first_snap UNION ALL SELECT * FROM second_snap),
+{_gap_sql("mail, rfm" if v1 else "mail")}
+SELECT * EXCLUDE (g) REPLACE (round("ValorMonetario", 4) AS "ValorMonetario") FROM gaps WHERE fecha_segmentacion = DATE '1998-04-01'"""
+
+
+def _published_run(spark, d, rules):
     """Two monthly runs in a row over the shop's tables, and the published table, the last month's
-    snapshot, read back. No SQL: the parts have theirs, tests compare the whole with them and with a repeated run."""
+    snapshot, read back."""
     store = stage_path(spark, "store")
     tables, titles = shop(spark, d), catalog(spark, d)
-    rules = J.Rules(special="Box 20", method="lloyd")
     for turn, day in enumerate(("1998-04-01", "1998-05-01")):
         paths = J.run_month(tables, titles, day, store, first=turn == 0, rules=rules)
     schema = spark.read.parquet(paths["snapshots"]).schema
-    return files.read_csv_snapshot(spark, paths["latest"], schema)
+    return rounded(files.read_csv_snapshot(spark, paths["latest"], schema), 4, "ValorMonetario")
+
+
+@query("run_month", _run_sql())
+def run_month(spark, d):
+    return _published_run(spark, d, J.Rules(special="Box 20", method="lloyd"))
+
+
+@query("run_month_v1", _run_sql(v1=True))
+def run_month_v1(spark, d):
+    """The whole chain by the rules of the first version."""
+    return _published_run(spark, d, FIRST_RULES)
 
 
 NOW = "now AS (SELECT * FROM gaps WHERE fecha_segmentacion = DATE '2024-01-15')"
