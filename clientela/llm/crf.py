@@ -1,5 +1,10 @@
 """Quality rules: a linear-chain conditional random field labels each line as content or
-boilerplate; Viterbi decoding, and the share of words in content lines decides."""
+boilerplate; Viterbi decoding, and the share of words in content lines decides.
+
+Labels are known of whole documents only. Labels of lines are latent: a document's label makes its
+lines likelier to have it, by LEAN, and the field learns from what is then expected of each line and
+each pair of neighbours. So a line of a bad document that looks like those of good ones may count as
+content, and the other way round."""
 
 from collections.abc import Iterator
 
@@ -20,6 +25,7 @@ LEAST_WORDS, REPEAT_PERCENT = 50, 50
 CONTENT_SHARE = 0.5  # of words in content lines, at least
 PER_CLASS = 400      # labelled documents of each class whose lines are learned from
 STEPS, RATE, DECAY = 150, 0.05, 1e-3
+LEAN = 2.0           # log-odds of a line having its document's label, before it is looked at
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -74,15 +80,15 @@ class Model:
             now[:len(at)] = back[at, labels[at]]
         return labels
 
-    def gradients(self, rows: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> list[np.ndarray]:
-        """Of the negative log likelihood per line, by forward and backward sums."""
-        scores, chains = self.emissions(x), Chains(rows, n)
-        ahead, behind = np.zeros((len(x), 2)), np.zeros((len(x), 2))
+    def expected(self, rows: np.ndarray, scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each label of each line, and the expected number of neighbours of each pair
+        of labels, by forward and backward sums."""
+        chains = Chains(rows, n)
+        ahead, behind = np.zeros((len(rows), 2)), np.zeros((len(rows), 2))
         for t in range(len(chains.alive)):
             at = chains.lines(t)
             ahead[at] = scores[at] + (_logsum(ahead[at - 1][:, :, None] + self.move, 1) if t else 0)
-        moves = -np.array([[((y[:-1] == a) & (y[1:] == b) & (rows[:-1] == rows[1:])).sum() for b in (0, 1)]
-                           for a in (0, 1)], float)
+        moves = np.zeros((2, 2))
         total = np.zeros(n)
         total[rows] = _logsum(ahead, 1)  # the last line of a row is written last
         for t in range(len(chains.alive) - 1, 0, -1):
@@ -90,15 +96,34 @@ class Model:
             onward = self.move + (scores[at] + behind[at])[:, None, :]
             behind[at - 1] = _logsum(onward, 2)
             moves += np.exp(ahead[at - 1][:, :, None] + onward - total[rows[at]][:, None, None]).sum(0)
-        p = np.exp(ahead + behind - total[rows][:, None])
-        p[np.arange(len(y)), y] -= 1
+        return np.exp(ahead + behind - total[rows][:, None]), moves
+
+    def _pull(self, x: np.ndarray, p: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
         z = (x - self.center) / self.scale
-        return [z.T @ p / len(y) + DECAY * self.weights, p.sum(0) / len(y), moves / len(y)]
+        return [z.T @ p / len(x) + DECAY * self.weights, p.sum(0) / len(x), moves / len(x)]
+
+    def gradients(self, rows: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> list[np.ndarray]:
+        """Of the negative log likelihood per line of known labels."""
+        p, moves = self.expected(rows, self.emissions(x), n)
+        p[np.arange(len(y)), y] -= 1
+        same = rows[:-1] == rows[1:]
+        np.subtract.at(moves, (y[:-1][same], y[1:][same]), 1)
+        return self._pull(x, p, moves)
+
+    def latent_gradients(self, rows: np.ndarray, x: np.ndarray, lean: np.ndarray, n: int) -> list[np.ndarray]:
+        """Of the negative log per line of what `lean`, added to the scores of each line, is expected to be
+        worth: the sums of all paths with it, over those without."""
+        scores = self.emissions(x)
+        free, moves = self.expected(rows, scores, n)
+        drawn, drawn_moves = self.expected(rows, scores + lean, n)
+        found = self._pull(x, free - drawn, moves - drawn_moves)
+        found[2] += DECAY * self.move
+        return found
 
 
 def fit(sample: list[tuple[str, int]]) -> Model:
-    """Lines of low-quality documents count as boilerplate, others as content: labels of whole
-    documents are the only ones there are. Without rows everything is content."""
+    """Fit on labelled documents, whose lines have labels of their own that are not known. Without rows
+    everything is content."""
     model = Model()
     if not sample:
         return model
@@ -110,11 +135,12 @@ def fit(sample: list[tuple[str, int]]) -> Model:
         x.append(shapes(piece, firsts, ends))
         seen += part.num_rows
     rows, x = np.concatenate(rows), np.concatenate(x)
-    y = np.array([label for _, label in sample])[rows]
+    lean = np.zeros((len(rows), 2))
+    lean[np.arange(len(rows)), np.array([label for _, label in sample])[rows]] = LEAN
     model.center, model.scale = x.mean(0), np.maximum(x.std(0), 0.02)
     adam = Adam([model.weights, model.bias, model.move], RATE)
     for _ in range(STEPS):
-        adam.step(model.gradients(rows, x, y, seen))
+        adam.step(model.latent_gradients(rows, x, lean, seen))
     return model
 
 

@@ -124,6 +124,46 @@ def test_viterbi_and_gradients_of_the_field_against_all_paths():
         value[at] += 1e-6
 
 
+def test_latent_gradients_of_the_field_against_all_paths():
+    from itertools import product
+    g = np.random.default_rng(4)
+    model = crf.Model()
+    model.weights, model.bias, model.move = g.normal(size=(crf.N_FEATURES, 2)), g.normal(size=2), g.normal(size=(2, 2))
+    rows = np.array([0, 0, 0, 1, 2, 2])
+    x, lean = g.normal(size=(6, crf.N_FEATURES)), np.zeros((6, 2))
+    lean[np.arange(6), np.array([1, 0, 1])[rows]] = crf.LEAN
+
+    def total(scores):
+        return sum(np.log(sum(np.exp(sum(s[k] for s, k in zip(scores[rows == row], p, strict=True)) + sum(
+            model.move[a, b] for a, b in zip(p, p[1:], strict=False))) for p in product((0, 1), repeat=int((rows == row).sum()))))
+            for row in range(3))
+
+    def loss():
+        s = model.emissions(x)
+        return (total(s) - total(s + lean)) / 6 + crf.DECAY / 2 * ((model.weights ** 2).sum() + (model.move ** 2).sum())
+
+    for grad, value in zip(model.latent_gradients(rows, x, lean, 3), (model.weights, model.bias, model.move), strict=True):
+        at = tuple(g.integers(0, s) for s in value.shape)
+        value[at] += 1e-6
+        up = loss()
+        value[at] -= 2e-6
+        assert abs((up - loss()) / 2e-6 - grad[at]) < 1e-5
+        value[at] += 1e-6
+
+
+def test_boilerplate_around_content_is_told_apart(docs, prose):
+    """Labels are of whole documents, yet lines of a mixed one get labels of their own."""
+    text = lambda seed: "\n".join(prose(12, 10 * seed + j) for j in range(8))
+    junk = lambda seed: "\n".join(" | ".join(prose(6, 5000 + 10 * seed + j).split()) + " ### $$$" for j in range(4))
+    model = crf.fit([(junk(i), 0) if i % 2 else (text(i), 1) for i in range(60)])
+    rows = [(1, text(400)), (2, junk(401)), (3, junk(402) + "\n" + text(403) + "\n" + junk(404)), (4, junk(405) + "\n" + text(406)[:40])]
+    found = {r.doc_id: r for r in crf.judge(docs(rows), model).collect()}
+    words = {i: len(t.split()) for i, t in rows}
+    assert found[1].content_share == 1 and found[2].content_share == 0
+    assert 0 < found[3].content_share < 1 and abs(found[3].content_share - 96 / words[3]) < 0.1
+    assert found[1].kept and not found[2].kept and found[3].kept == (found[3].content_share >= crf.CONTENT_SHARE) and not found[4].kept
+
+
 def base_counts(text):
     s = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", s)
