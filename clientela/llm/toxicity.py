@@ -22,6 +22,7 @@ BAG_WORDS = 1
 PER_CLASS = 1500     # labelled documents of each class that are learned from
 STEPS, RATE, DECAY = 40, 0.1, 1e-4
 LEAST_TEXTS = 5      # learned from, that hold an n-gram that gets a vector
+FOLDS = 3            # of the learned documents, whose logits the scale is fitted on
 DECISION = 0.7       # score from which a document counts as toxic
 
 
@@ -110,33 +111,53 @@ class Model:
 
 
 def _scaled(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of labels on logits, by Newton steps with a little ridge."""
+    """Logistic fit of labels on logits, by Newton steps with a little ridge. Both classes weigh alike,
+    so the scale does not follow from how many of each are sampled."""
+    if not len(y) or y.min() == y.max():
+        return 1.0, 0.0
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    loss = lambda a, b: (weight * np.logaddexp(0, np.where(y == 1, -1, 1) * (a * z + b))).sum() + 5e-3 * a * a
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - y) * z).sum() + 1e-2 * a, (p - y).sum()])
+        w = weight * p * (1 - p) + 1e-9
+        g = np.array([(weight * (p - y) * z).sum() + 1e-2 * a, (weight * (p - y)).sum()])
         h = np.array([[(w * z * z).sum() + 1e-2, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
         step = np.linalg.solve(h, g)
-        a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -5, 5)
+        while loss(a - step[0], b - step[1]) > loss(a, b) and np.abs(step).max() > 1e-6:
+            step /= 2  # a whole step may go past the least loss
+        a, b = a - step[0], b - step[1]
     return float(max(a, 1e-3)), float(b)
 
 
 def fit(sample: list[tuple[str, int]]) -> Model:
-    """Vectors, softmax and bag weights together by full-batch Adam on document labels; the scale
-    of the score on every fourth document of each class, which the vectors do not see. Without labelled rows of
-    both classes nothing looks toxic."""
-    model = Model()
+    """Vectors, softmax and bag weights together on document labels; the scale of the score on logits
+    that each part of the documents gets from a model of the others. Without labelled rows of both
+    classes nothing looks toxic."""
     y = np.array([label for _, label in sample], float)
     if not len(y) or y.min() == y.max():
-        return model
-    number = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y != 1))
-    held = number % 4 == 0
+        return Model()
     texts = pa.array([t for t, _ in sample], pa.string())
-    known = y[~held]
+    part = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y != 1)) % FOLDS
+    z = np.full(len(y), -np.inf)
+    for k in range(FOLDS):
+        others = _learned(texts.filter(pa.array(part != k)), y[part != k])
+        z[part == k] = np.concatenate([others.logits(Piece(p)) for p in slices(
+            [pa.record_batch({"text": texts.filter(pa.array(part == k))})])] or [[]])
+    model = _learned(texts, y)
+    some = np.isfinite(z)
+    model.slope, model.shift = _scaled(z[some], y[some])
+    return model
+
+
+def _learned(texts: pa.Array, known: np.ndarray) -> Model:
+    """Vectors and softmax by full-batch Adam, not scaled yet."""
+    model = Model()
+    if not len(known) or known.min() == known.max():
+        return model
     # distinct words, and the word and text of each occurrence
     hashes, owner_rows, spelled, n = [], [], {}, 0
-    for part in slices([pa.record_batch({"text": texts.filter(pa.array(~held))})]):
+    for part in slices([pa.record_batch({"text": texts})]):
         words = Words(Piece(part))
         if words.n:
             ends = np.concatenate([words.starts[1:] - 1, [len(words.text) - 1]])
@@ -188,9 +209,6 @@ def fit(sample: list[tuple[str, int]]) -> Model:
                    np.column_stack([-pull, pull]) + 1e-6 * softmax, np.array([-by_bag.sum(), by_bag.sum()])])
     model.values = vectors @ (softmax[:, 1] - softmax[:, 0])
     model.bias = float(bias[1] - bias[0])
-    z = np.concatenate([model.logits(Piece(part)) for part in slices([pa.record_batch({"text": texts.filter(pa.array(held))})])])
-    some = np.isfinite(z)
-    model.slope, model.shift = _scaled(z[some], y[held][some])
     return model
 
 

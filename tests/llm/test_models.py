@@ -34,6 +34,62 @@ def test_toxicity_on_held_out_documents(spark, truth):
     assert len(clean) > 50 and np.mean(clean) < 0.1
 
 
+def test_held_out_toxic_documents_are_caught(spark):
+    """On the larger table; the smaller one holds only 30 toxic documents to learn from."""
+    d = "/root/testdata/sf0.1"
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op4_toxicity"](spark, d).collect() if r.held_out and toxic.get(r.doc_id) is not None]
+    caught = [r.predicted for r in rows if toxic[r.doc_id]]
+    flagged = [r.predicted for r in rows if not toxic[r.doc_id]]
+    assert len(caught) > 100 and np.mean(caught) > 0.85 and np.mean(flagged) < 0.04
+
+
+def test_the_scale_does_not_follow_the_share_that_is_sampled():
+    g = np.random.default_rng(0)
+    z, y = np.concatenate([g.normal(-2, 1, 9000), g.normal(2, 1, 1000)]), np.repeat([0.0, 1.0], [9000, 1000])
+    fewer = np.r_[0:1000, 9000:10000]
+    whole, cut = toxicity._scaled(z, y), toxicity._scaled(z[fewer], y[fewer])
+    assert abs(whole[1] - cut[1]) < 0.4 and abs(whole[0] - cut[0]) < 0.6
+    assert toxicity._scaled(z[:5], y[:5]) == (1.0, 0.0)
+
+
+@pytest.mark.parametrize("spread", [0.1, 1, 30])
+def test_the_scale_has_the_least_loss(spread):
+    g = np.random.default_rng(1)
+    y = np.repeat([0.0, 1.0], [300, 40])
+    z = spread * (g.standard_t(2, 340) + 2 * y - 3)
+    a, b = toxicity._scaled(z, y)
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    loss = lambda a, b: (weight * np.logaddexp(0, np.where(y == 1, -1, 1) * (a * z + b))).sum() + 5e-3 * a * a
+    assert all(loss(a, b) <= loss(a + u, b + v) for u in (-0.01, 0, 0.01) for v in (-0.01, 0, 0.01) if a + u > 1e-3)
+
+
+def document_score(model, text):
+    """Plain loops: words to means of n-grams, bags to means of words, the document to the mean of its
+    bags weighed by their exponentials."""
+    words = (text or "").split()
+    bags = [words[i:i + toxicity.BAG_WORDS] for i in range(0, len(words), toxicity.BAG_WORDS)]
+    logits = []
+    for bag in bags:
+        found = Piece(pa.record_batch({"text": [" ".join(bag)]}))
+        logits.append(float(np.mean(toxicity.Words(found).means(model.values))) + model.bias)
+    if not logits:
+        return 0.0
+    e = np.exp(np.array(logits) - max(logits))
+    z = float((e * logits).sum() / e.sum())
+    return 1 / (1 + np.exp(-(model.slope * z + model.shift)))
+
+
+@pytest.mark.parametrize("bag", [1, 3])
+def test_document_scores_against_plain_loops(prose, monkeypatch, bag):
+    monkeypatch.setattr(toxicity, "BAG_WORDS", bag)
+    model = toxicity.Model()
+    model.values, model.bias, model.slope, model.shift = np.random.default_rng(3).normal(size=toxicity.BUCKETS), 0.3, 0.7, -0.4
+    texts = [prose(n, n) for n in (1, 2, 7, 40)] + [None, "", " \n", "One"]
+    got = model.score(Piece(pa.record_batch({"text": pa.array(texts)})))
+    assert np.allclose(got, [document_score(model, t) for t in texts])
+
+
 def test_languages_of_held_out_documents(spark, truth):
     rows = [r for r in QUERIES["op2_language_id"](spark, DATA).collect() if r.held_out]
     assert len(rows) > 200 and np.mean([r.lang_pred == truth[1][r.doc_id] for r in rows]) > 0.98
