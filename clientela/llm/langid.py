@@ -16,6 +16,7 @@ from clientela.llm.textbytes import LOWER, Piece, slices
 
 DOCUMENTS = 64       # labelled documents of each language at most that are learned from
 DOC_BYTES = 3_000    # of each of them
+STRETCHES = 6        # evenly spread over a longer one, that make up its part
 TEXT_BYTES = 60_000  # of each language
 SEGMENT = 512        # bytes that are parsed at a stretch; a phrase ends at the end of a segment
 UNKNOWN = "und"
@@ -141,16 +142,22 @@ def _lettered(piece: Piece) -> np.ndarray:
 
 def learn(docs: DataFrame, use: Column, lang_col: str = "lang",
           id_col: str = "doc_id", text_col: str = "text") -> dict[str, bytes]:
-    """Labelled text of each language: the first DOC_BYTES of up to DOCUMENTS documents for which
-    `use` holds and the language is known, TEXT_BYTES in all. The documents are chosen by id and
-    language alone; only they come to the driver."""
+    """Labelled text of each language: of up to DOCUMENTS documents for which `use` holds and the language
+    is known, DOC_BYTES each and TEXT_BYTES in all. A longer document gives STRETCHES of equal length,
+    from its first to its last character. The documents are chosen by id and language alone; only theirs come to
+    the driver, one text (the least) where an id repeats."""
     known = docs.where(use).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang")).where(
         "lang IS NOT NULL AND id IS NOT NULL")
     slot = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(DOCUMENTS))
     chosen = known.groupBy("lang", slot.alias("slot")).agg(F.min("id").alias("id")).select("id", "lang")
+    size = DOC_BYTES // STRETCHES
+    spread = ", ' ', ".join(f"substring(text, CAST(floor({i}D * (length(text) - {size}) / {STRETCHES - 1}) AS INT) + 1, {size})"
+                            for i in range(STRETCHES))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"),
-                        F.substring(F.col(f"`{text_col}`"), 1, DOC_BYTES).alias("text"))
-    rows = texts.join(F.broadcast(chosen), ["id", "lang"]).where("text <> ''").orderBy("lang", "id", "text").collect()
+                        F.col(f"`{text_col}`").cast("string").alias("text"))
+    parts = texts.join(F.broadcast(chosen), ["id", "lang"]).where("text <> ''").selectExpr(
+        "lang", "id", f"IF(length(text) <= {DOC_BYTES}, text, concat({spread})) AS text")
+    rows = parts.groupBy("lang", "id").agg(F.min("text").alias("text")).orderBy("lang", "id").collect()
     out: dict[str, bytes] = {}
     for r in rows:
         out[r["lang"]] = out.get(r["lang"], b"") + r["text"].encode("utf-8", "replace")[:DOC_BYTES] + b" "

@@ -265,6 +265,17 @@ def test_phrases_are_longest_matches():
         assert got.tolist() == [greedy(text[:20], reference), greedy(text[20:], reference)]
 
 
+def test_learned_text_is_spread_over_long_documents(spark):
+    from pyspark.sql import functions as F
+    long = "a" * 10_000 + "b" * 10_000 + "c" * 10_000
+    rows = [(1, long, "xx"), (1, long, "xx"), (2, "short", "yy"), (3, None, "yy"), (None, "z", "yy"), (4, "w", None), (5, "", "zz")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.learn(table, F.lit(True))
+    assert set(got) == {"xx", "yy"} and got["yy"] == b"short "
+    assert len(got["xx"]) <= langid.DOC_BYTES + 1 and {got["xx"].count(c) for c in (b"a", b"b", b"c")} <= set(range(900, 1101))
+    assert langid.learn(table.limit(0), F.lit(True)) == {}
+
+
 def test_languages_edge_rows(docs):
     texts = {"xx": b"the quick brown fox jumps over the lazy dog ", "yy": "el perro y la niña están aquí ".encode()}
     rows = [*EDGES, (20, "THE dog"), (21, "la niña"), (22, "12"), (23, "日本")]
