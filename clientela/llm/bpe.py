@@ -25,7 +25,7 @@ from clientela.llm.textbytes import slices
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CACHED = 1 << 19  # pieces of text kept with their ids
-FLUSH = 4096      # pieces whose ids go to the digest at once
+FLUSH = 4096      # pieces, or ids of one long piece, that go to the digest at once
 HELD = 1024       # bytes beyond the lookahead after which final tokens leave
 
 
@@ -289,7 +289,15 @@ class Bpe:
                 continue
             for found in self.pieces.finditer(part):
                 word = found[0]
-                held.append(known.get(word) or piece(word))
+                ids = known.get(word)
+                if ids is None and len(word) > HELD:  # its ids go on as they become final
+                    for token in self.tokens(word.encode("utf-8", "surrogatepass")):
+                        held.append(str(token))
+                        if len(held) >= FLUSH:
+                            sums.add(held)
+                            held = []
+                    continue
+                held.append(ids or piece(word))
                 if len(held) >= FLUSH:
                     sums.add(held)
                     held = []

@@ -52,6 +52,22 @@ def test_what_is_held_stays_bounded(both, monkeypatch):
     assert bpe.HELD < most <= bpe.HELD + own.longest + own.lookahead + 2
 
 
+def test_digests_hold_no_ids_of_an_unbroken_piece(both):
+    """Of a piece four times as long only the copies of its text grow, 2 bytes a letter."""
+    import tracemalloc
+    own, _ = both
+    r = random.Random(5)
+    peaks = []
+    for n in (100_000, 400_000):
+        text = "".join(r.choices("etaoinshr", k=n))
+        own.digest(text)  # fills the bounded tables
+        tracemalloc.start()
+        own.digest(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 4 * 300_000
+
+
 def test_decoding_in_steps(both):
     own, library = both
     ids = library.encode("é日本😀", add_special_tokens=False).ids
