@@ -12,7 +12,7 @@ from clientela.operators import cluster, features, gaps, ledger, lines, pricing,
 from clientela.operators import transitions
 from clientela.operators.rfm import iqr_filter
 from clientela.sources import files
-from clientela.sources.staging import broadcast_if_bounded, staged
+from clientela.sources.staging import broadcast_if_bounded, owned, staged
 
 PRICE_ROWS = 1_000_000   # products whose prices may be broadcast, two numbers each
 
@@ -170,7 +170,7 @@ def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store:
     The run takes the month of the day before. `store` is the folder of all months; unless it is
     the `first` run, the month before has its place there. Each step reads what earlier steps or
     the month before stored and writes to a place of its own month, so a run that is repeated
-    gives the same result."""
+    gives the same result. What it stores on the way is deleted when it ends."""
     spark = catalog.sparkSession
     calendar = S.run_calendar(F.lit(as_of))
     day, month, previous = spark.range(1).select(
@@ -180,15 +180,16 @@ def run_month(shop: dict[str, DataFrame], catalog: DataFrame, as_of: str, store:
     paths |= {name: f"{store}/{name}" for name in ("latest", "segments")}
     before = (lambda name: None) if first else (lambda name: spark.read.parquet(f"{store}/{previous}/{name}"))
 
-    files.write_snapshot(monthly_lines(shop, catalog, month, rules=rules), paths["lines"], "parquet")
-    current = spark.read.parquet(paths["lines"])
-    history = accumulate(before("history"), current, month_prices(shop["prices"], current), month)
-    files.write_snapshot(history, paths["history"], "parquet", partition="Periodo")
-    done = segment_customers(spark.read.parquet(paths["history"]), day, date, rules)
-    files.write_snapshot(done, paths["snapshot"], "parquet")
-    snapshots = segmentation_history(spark.read.parquet(paths["snapshot"]), before("snapshots"), rules)
-    files.write_snapshot(snapshots, paths["snapshots"], "parquet")
-    now = relational.current_snapshot(spark.read.parquet(paths["snapshots"]), date)
-    paths["latest"] = files.publish_latest(now, paths["current"], paths["latest"])
-    files.write_by_segment(now, paths["segments"])
+    with owned(spark):
+        files.write_snapshot(monthly_lines(shop, catalog, month, rules=rules), paths["lines"], "parquet")
+        current = spark.read.parquet(paths["lines"])
+        history = accumulate(before("history"), current, month_prices(shop["prices"], current), month)
+        files.write_snapshot(history, paths["history"], "parquet", partition="Periodo")
+        done = segment_customers(spark.read.parquet(paths["history"]), day, date, rules)
+        files.write_snapshot(done, paths["snapshot"], "parquet")
+        snapshots = segmentation_history(spark.read.parquet(paths["snapshot"]), before("snapshots"), rules)
+        files.write_snapshot(snapshots, paths["snapshots"], "parquet")
+        now = relational.current_snapshot(spark.read.parquet(paths["snapshots"]), date)
+        paths["latest"] = files.publish_latest(now, paths["current"], paths["latest"])
+        files.write_by_segment(now, paths["segments"])
     return paths

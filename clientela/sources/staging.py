@@ -1,13 +1,17 @@
 """Hand-offs on shared storage, and size-checked broadcasts."""
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FOLDER_CONF = "spark.checkpoint.dir"
 BROADCAST_ROWS = 100_000
+_OWNER: contextvars.ContextVar[str | None] = contextvars.ContextVar("clientela_staging_owner", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -23,7 +27,28 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A place of its own; within `owned`, in the folder of the job."""
+    owner = _OWNER.get()
+    root = staging_root(spark) if owner is None else f"{staging_root(spark)}/{owner}"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Hand-offs stored within belong to one job and are deleted when it ends, also by an error. What
+    the job returns must not read them: it writes its results elsewhere. Within another job, that one
+    owns them."""
+    if _OWNER.get() is not None:
+        yield
+        return
+    name = f"job-{uuid.uuid4().hex}"
+    mark = _OWNER.set(name)
+    try:
+        yield
+    finally:
+        _OWNER.reset(mark)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -217,6 +217,38 @@ def test_monthly_run_can_be_repeated(spark, tmp_path):
     assert sorted(map(str, files.read_csv_snapshot(spark, paths["latest"], schema).collect())) == now
 
 
+def entries(spark):
+    from pathlib import Path
+    from clientela.sources.staging import staging_root
+    root = Path(staging_root(spark).removeprefix("file:"))
+    return {p.name for p in root.iterdir()} if root.is_dir() else set()
+
+
+def test_hand_offs_of_a_job_go_when_it_ends(spark):
+    from clientela.sources.staging import owned, staged
+    before = entries(spark)
+    with owned(spark):
+        first = staged(spark.range(3), "first")
+        with owned(spark):
+            second = staged(first, "second")
+        assert second.count() == 3 and len(entries(spark) - before) == 1  # the outer job owns both
+    assert entries(spark) == before
+    with pytest.raises(RuntimeError, match="broken"), owned(spark):
+        staged(spark.range(3), "third")
+        raise RuntimeError("broken")
+    assert entries(spark) == before
+    staged(spark.range(3), "free")  # nobody owns it
+    assert len(entries(spark) - before) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not present")
+def test_the_monthly_run_leaves_no_hand_offs(spark, tmp_path):
+    from workload.base import catalog, shop
+    before = entries(spark)
+    paths = jobs.run_month(shop(spark, DATA), catalog(spark, DATA), "1998-04-01", str(tmp_path), True, jobs.Rules(method="lloyd"))
+    assert entries(spark) == before and spark.read.parquet(paths["current"]).count() > 0
+
+
 def test_a_broken_publication_leaves_the_old_version(spark, tmp_path):
     root = str(tmp_path / "latest")
     with pytest.raises(FileNotFoundError):
