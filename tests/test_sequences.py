@@ -75,6 +75,18 @@ def test_all_hot_keys_are_found(spark):
     assert len(hot) == 3_000 and {r["_rows"] for r in hot} == {4}
 
 
+def test_pieces_hold_many_small_keys(spark, monkeypatch):
+    """Also where every key counts as hot, rows make as many pieces as their number asks for."""
+    monkeypatch.setattr(ordered, "staged", lambda df, name: kept.setdefault(name, df.localCheckpoint()))
+    df = spark.range(30_000).selectExpr("id DIV 4 AS k", "CAST('2024-01-01' AS TIMESTAMP_NTZ) AS t", "id AS n")
+    for rows, most in ((ordered.PIECE_ROWS, 4), (2_000, 16)):
+        kept = {}
+        monkeypatch.setattr(ordered, "PIECE_ROWS", rows)
+        got = ordered.neighbour(df, ["k"], ["t", "n"], ["n"], "p", hot_rows=0)
+        assert got.where("p.n = n - 1").count() == 22_500 and got.count() == 30_000
+        assert kept["hot-rows"].select("_chunk").distinct().count() <= most
+
+
 def test_rows_of_one_time_are_dealt_too(spark):
     df = spark.range(20_000).selectExpr("'k' AS k", "CAST('2024-01-01' AS TIMESTAMP_NTZ) AS t", "id AS n")
     got = ordered.neighbour(df, ["k"], ["t", "n"], ["n"], "p", hot_rows=1_000)

@@ -6,7 +6,7 @@ from clientela.operators import lines as L
 from clientela.operators import relational as R
 from clientela.operators.rfm import date_anchor
 from clientela.sources import files
-from clientela.sources.staging import stage_path
+from clientela.sources.staging import stage_path, staged
 from clientela.sources.tables import read_table
 from workload.base import (
     ACCOUNTS, CATALOG, LATEST, LINES, PRICE_LOG, PRICE_TIE, SHOP, SNAPSHOTS, TIE, TIE_SQL, catalog, price_log,
@@ -297,8 +297,8 @@ def net_credit_notes(spark, d):
 
 @query("net_credit_notes_split", NETTED)
 def net_credit_notes_split(spark, d):
-    """With every recognised group treated as a hot one."""
-    lines = sale_lines(spark, d).select("bill_id", *_NET_COLS)
+    """With every recognised group treated as a hot one, on stored lines as in the monthly run."""
+    lines = staged(sale_lines(spark, d).select("bill_id", *_NET_COLS), "lines")
     return L.net_credit_notes(lines, text="MARCA", product="MARCA", tie=TIE, hot_rows=0).select(*_NET_COLS)
 
 
