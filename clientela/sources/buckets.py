@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from clientela.sources.staging import broadcast_if_bounded
 
 HOT_ROWS = 1_000_000
+BUCKET_ROWS = 500_000   # of a bucket, which one task sorts
+MOST_BUCKETS = 4_096    # files of a table that is written by bucket
 
 
 class Buckets(NamedTuple):
@@ -21,10 +23,21 @@ class Buckets(NamedTuple):
     spread: DataFrame   # keys over HOT_ROWS rows, and null
 
 
+def key_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, _n): rows of each key. Stored, it gives the hot keys and the number of buckets from one pass."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key): keys that more than `hot_rows` rows hold."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > hot_rows) & F.col(key).isNotNull())
-            .select(F.col(key).alias("_hot")))
+    """(key): keys that more than `hot_rows` rows hold, of a table or its `key_rows`."""
+    counts = df if "_n" in df.columns else key_rows(df, key)
+    return counts.where((F.col("_n") > hot_rows) & F.col(key).isNotNull()).select(F.col(key).alias("_hot"))
+
+
+def bucket_number(counts: DataFrame, least: int = 1) -> int:
+    """Buckets for the table of these `key_rows`: at least `least`, more as it grows."""
+    rows = counts.agg(F.sum("_n")).first()[0] or 0
+    return min(max(least, -(-rows // BUCKET_ROWS)), MOST_BUCKETS)
 
 
 def store_bucketed(df: DataFrame, name: str, folder: str, key: str, buckets: int, hot: DataFrame) -> Buckets:

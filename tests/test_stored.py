@@ -73,6 +73,14 @@ def test_profile_of_buckets(spark, make, tmp_path, hot_rows):
     assert not sizes or max(sizes.values()) <= hot_rows
 
 
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    counts = buckets.key_rows(spark.range(1_000).selectExpr("if(id < 10, null, id DIV 30) AS k"), "k")
+    assert buckets.bucket_number(counts, 8) == 8
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 30)
+    assert buckets.bucket_number(counts, 8) == 34
+    assert {r[0] for r in buckets.hot_keys(counts, "k", 29).collect()} == set(range(1, 33))
+
+
 def test_join_of_buckets(spark, make, tmp_path):
     bills = make([(i, f"b{i}") for i in range(20)] + [(None, "n")], "bill_id long, name string")
     items = make([(i % 25, i) for i in range(100)] + [(3, 100 + i) for i in range(50)] + [(None, 999)], "bill_id long, item long")

@@ -176,8 +176,8 @@ BUCKETS, HOT_LINES = 8, 50   # the given tables are small
 
 
 def bucketed(spark, df, key):
-    name = f"t{uuid.uuid4().hex}"
-    return B.store_bucketed(df, name, stage_path(spark, name), key, BUCKETS, B.hot_keys(df, key, HOT_LINES))
+    name, counts = f"t{uuid.uuid4().hex}", staged(B.key_rows(df, key), "key-rows")
+    return B.store_bucketed(df, name, stage_path(spark, name), key, B.bucket_number(counts, BUCKETS), B.hot_keys(counts, key, HOT_LINES))
 
 
 @query("bucketed_profile", ORACLES["customer_profile"])
