@@ -40,3 +40,12 @@ def test_netting_without_hot_orders_is_one_window(spark):
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert final.count("Window [") == 1 and "SortMergeJoin" not in final
+
+
+@pytest.mark.parametrize("name", ["rfm", "rfm_rounded"])
+def test_recency_shares_the_aggregation(spark, name):
+    df = driver.queries()[name](spark, DATA)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
+    assert "ReusedExchange" in final
