@@ -26,6 +26,12 @@ def stored(state, name):
     return {k: staged(v, f"{name}-{k}") for k, v in state.items()}
 
 
+#: What a month's state is made from.
+LEDGER_LINES = tuple(dict.fromkeys((
+    "mail", "product_id", "bill_id", "fecha", "quantity", "total_actualizado", "tipo_prd_id", "MARCA", "CATEGORÍA", "Combo",
+    "Presentacion", *TIE)))
+
+
 def two_months(lines):
     """The state after two months; a bill belongs to one of them."""
     first, second = (stored(L.month_state(lines.where(F.col("bill_id") % 2 == i), TIE), "month") for i in (0, 1))
@@ -37,7 +43,7 @@ SELECT labelled.*, rfm.* EXCLUDE (mail) REPLACE (round("ValorMonetario", 2) AS "
 FROM labelled JOIN rfm USING (mail) JOIN (SELECT mail, max(fecha) AS ultima_compra FROM lines GROUP BY mail) u USING (mail)""")
 def ledger_profile(spark, d):
     """Profile and RFM of all lines, from the merged state of two months."""
-    state = two_months(account_lines(spark, d))
+    state = two_months(staged(account_lines(spark, d).select(*LEDGER_LINES), "history"))
     return rounded(X.with_recency(L.ledger_profile(state["ledger"])), 2, "ValorMonetario")
 
 
@@ -51,6 +57,7 @@ def ledger_accumulate(spark, d):
     """The history at current money plus a month, per customer, without its lines: the state of the
     months before, prices joined to it, and the month's own state."""
     lines = sale_lines(spark, d).withColumns({"Combo": F.lit(0), "Presentacion": F.lit("Box")})
+    lines = staged(lines.select(*LEDGER_LINES), "lines")  # each month's state reads them three times
     now = lines.filter(in_month(F.col("fecha"), _ACC_MONTH))
     old = lines.filter(F.col("fecha") < F.lit(f"{_ACC_MONTH}-01").cast("timestamp_ntz"))
     log = shop(spark, d)["prices"].withColumn("product_id", F.col("product_id") - 1_000_000_000)
