@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from workload import base
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not present")
@@ -49,3 +50,16 @@ def test_recency_shares_the_aggregation(spark, name):
     final = plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("few", [10**9, 1_000, 10])
+def test_lines_of_a_large_table_are_dealt_by_its_rows(spark, monkeypatch, few):
+    want = base.sale_lines(spark, DATA)
+    assert "REPARTITION_BY_NUM" not in plan(want)
+    monkeypatch.setattr(base, "FEW_ROWS", few)
+    monkeypatch.setattr(base, "TASK_ROWS", 500)
+    got = base.sale_lines(spark, DATA)
+    rows = base.table(spark, DATA, "lineitem").count()
+    dealt = re.findall(r"hashpartitioning\(\w+#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(got))
+    assert dealt == [str(rows // 500 + 1)] * {10**9: 0, 1_000: 2, 10: 4}[few]
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
