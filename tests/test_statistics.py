@@ -1,5 +1,7 @@
 """Quantiles, outliers, clusters, names, correlation."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -123,6 +125,29 @@ def test_starts_move_together(spark):
     points.unpersist()
 
 
+def test_a_round_is_compiled_however_many_starts(spark):
+    """No array of all starts is built per point, and joining and adding run as compiled code."""
+    points = spark.range(50).selectExpr("double(id) AS x0", "double(id % 7) AS x1", "1L AS w", "id AS f0", "id % 7 AS f1")
+    starts = {s: [[float(s), 0.0], [float(s + 9), 3.0], [40.0, 6.0]] for s in range(40)}
+    found = cluster.round_sums(points, starts)
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "Generate" not in plan.toString()
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) BroadcastNestedLoopJoin", text)
+    rows = [(x, x % 7) for x in range(50)]
+    for s in (0, 39):
+        near = [min(range(3), key=lambda i: ((x - starts[s][i][0]) ** 2 + (y - starts[s][i][1]) ** 2, i)) for x, y in rows]
+        want = {i: (near.count(i), sum(x for (x, _), n in zip(rows, near) if n == i)) for i in set(near)}
+        assert {r.i: (r.w, r.f0) for r in found.where(f"s = {s}").collect()} == want
+
+
+def test_starts_of_different_length(spark):
+    points = spark.range(9).selectExpr("double(id) AS x0", "1L AS w", "id AS f0")
+    got = cluster.round_sums(points, {0: [[0.0], [8.0], [4.0]], 1: [[2.0]], 5: [[1.0], [1.0]]}).collect()
+    assert {(r.s, r.i): (r.w, r.f0) for r in got} == {(0, 0): (3, 3), (0, 1): (3, 21), (0, 2): (3, 12), (1, 0): (9, 36), (5, 0): (9, 36)}
+
+
 @pytest.mark.parametrize("factor", [1e-9, 1e13, 1e30])
 def test_clusters_do_not_depend_on_the_unit(spark, factor):
     df, cols = blobs(spark), ["ValorMonetario", "y"]
