@@ -140,6 +140,19 @@ def test_contents(make, distinct):
         assert two[mail] == (want[mail, months[0]], before)
 
 
+def test_contents_with_repeats_of_picked_customers(make):
+    """Rows of other customers and months are dropped before their texts are put together."""
+    rows = purchases()
+    df, some = make(rows, BOUGHT), make([("a",), ("c",), ("none",)], "mail string")
+    want = literal_contents(rows, False)
+    ranked = snapshot.ranked_contents(df, 2, False, some)
+    got = {(r.mail, r.Periodo): r.contenido for r in ranked.collect()}
+    latest = {who: sorted((m for w, m in want if w == who), reverse=True)[:2] for who in ("a", "c")}
+    assert got == {(who, m): want[who, m] for who, months in latest.items() for m in months}
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_list") < plan.index("LeftSemi") and "_day" not in plan[plan.index("LeftSemi"):]
+
+
 def test_monobrand_products_in_first_seen_order(make):
     rows = [("a", "2024-01", "2024-01-02 00:00:00", "x", 2, 1, 1, 1.0, 1), ("a", "2024-01", "2024-01-01 00:00:00", "y", 1, 1, 1, 1.0, 1),
             ("a", "2024-02", "2024-02-01 00:00:00", "x", 3, 1, 1, 1.0, 1), ("a", "2024-02", "2024-02-01 00:00:00", "o", 4, 1, 1, 1.0, 2),
