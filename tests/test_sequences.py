@@ -153,6 +153,29 @@ def test_contents_with_repeats_of_picked_customers(make):
     assert plan.index("collect_list") < plan.index("LeftSemi") and "_day" not in plan[plan.index("LeftSemi"):]
 
 
+def test_texts_from_first_titles_are_those_from_all_lines(make):
+    """Also with a missing title, month or kind, a title of two kinds, and a customer that comes twice."""
+    rows = [*purchases(), ("a", "2024-04", "2024-04-30 00:00:00", None, 910, 1, 1, 1.0, 1), ("b", None, "2024-04-30 00:00:00", "v", 911, 1, 1, 1.0, 1),
+            ("c", "2024-04", "2024-04-01 00:00:00", "x", 912, 1, 1, 1.0, None), ("one", "2024-02", "2024-02-10 00:00:00", None, 913, 1, 1, 1.0, 1)]
+    df = make(rows, BOUGHT)
+    feats = make([("a", 0), ("a", 0), ("b", 1), ("one", 0), ("none", 0)], "mail string, Multimarca int")
+    few = snapshot.first_titles(df, feats)
+    assert {r.mail for r in few.collect()} == {"a", "b", "one"} and few.count() < df.where("mail IN ('a', 'b', 'one')").count() / 2
+    for work in (lambda t: snapshot.products_of_monobrand(t, feats), lambda t: snapshot.last_two_contents(t, True, feats)):
+        assert sorted(map(tuple, work(few).collect()), key=str) == sorted(map(tuple, work(df).collect()), key=str)
+
+
+def test_a_snapshot_reads_the_lines_once_for_texts_without_repeats(make, tmp_path):
+    make(purchases(), BOUGHT).write.parquet(str(tmp_path / "lines"))
+    segmented = make([("a", 0, 1, 1, 1, "p", "r", 1, 1, 1.0, "2024-04-12 00:00:00")],
+                     "mail string, Multimarca int, mezcla_en_misma_compra int, consume_combo int, FF int, cluster_patrones_consumo string, "
+                     "rfm string, Recencia int, Frecuencia bigint, ValorMonetario double, ultima_compra timestamp_ntz")
+    lines = segmented.sparkSession.read.parquet(str(tmp_path / "lines"))
+    reads = lambda distinct: [f for f in snapshot.build_snapshot(segmented, lines, "2024-04-01", distinct).inputFiles() if "/lines/" in f]
+    assert not reads(True) and reads(False)
+    assert snapshot.build_snapshot(segmented, lines, "2024-04-01").count() == 1
+
+
 def test_monobrand_products_in_first_seen_order(make):
     rows = [("a", "2024-01", "2024-01-02 00:00:00", "x", 2, 1, 1, 1.0, 1), ("a", "2024-01", "2024-01-01 00:00:00", "y", 1, 1, 1, 1.0, 1),
             ("a", "2024-02", "2024-02-01 00:00:00", "x", 3, 1, 1, 1.0, 1), ("a", "2024-02", "2024-02-01 00:00:00", "o", 4, 1, 1, 1.0, 2),
