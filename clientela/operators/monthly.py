@@ -34,19 +34,21 @@ def month_values(rows: DataFrame, cols: Sequence[str], by: Sequence[str] = (), p
     marks = ", ".join(f"{i / SLICES!r}D" for i in range(1, SLICES))
     cuts = merged.groupBy(*keys).agg(F.expr(f"kll_sketch_agg_double(valor, {SKETCH})").alias("_s")).select(
         *keys, F.expr(f"kll_sketch_get_quantile_double(_s, array({marks}))").alias("_cuts"))
-    steps = ", ".join(str(SLICES >> i) for i in range(1, SLICES.bit_length()))
-    slice_no = f"aggregate(array({steps}), 0, (a, s) -> if(_cuts[a + s - 1] < valor, a + s, a))"  # halving
-    return merged.join(broadcast_if_bounded(cuts, CUT_ROWS), keys).withColumn("corte", F.expr(slice_no)).selectExpr(
-        *[f"`{k}`" for k in keys], f"int(corte div {SLICES // RUNS}) AS tramo", "corte", "valor", "veces")
+    placed = merged.join(broadcast_if_bounded(cuts, CUT_ROWS), keys).withColumn("_a0", F.lit(0))
+    for i in range(1, SLICES.bit_length()):  # halving, a column a step: these are compiled, a lambda is not
+        half = SLICES >> i
+        placed = placed.withColumn(f"_a{i}", F.expr(f"if(_cuts[_a{i - 1} + {half - 1}] < valor, _a{i - 1} + {half}, _a{i - 1})"))
+    corte = f"_a{SLICES.bit_length() - 1}"
+    return placed.selectExpr(*[f"`{k}`" for k in keys], f"int({corte} div {SLICES // RUNS}) AS tramo", f"{corte} AS corte", "valor", "veces")
 
 
 def store_months(values: DataFrame, folder: str, period: str = "Periodo") -> None:
     """Write `month_values` in place of what the folder holds for its months, values by month and run
     of slices, slices by month. Months that are not among the values stay as they are."""
     by = [c for c in values.columns if c not in (period, "tramo", "corte", "valor", "veces", "columna")]
-    held = staged(values, "months")
-    slices = held.groupBy(period, *by, "columna", "tramo", "corte").agg(
-        F.sum("veces").alias("n"), F.min("valor").alias("desde"), F.max("valor").alias("hasta"))
+    held = staged(values, "months", by=period)  # a month's write reads the month
+    slices = staged(held.groupBy(period, *by, "columna", "tramo", "corte").agg(
+        F.sum("veces").alias("n"), F.min("valor").alias("desde"), F.max("valor").alias("hasta")), "slices")
     # One folder a month is replaced as a whole, so a run of slices that is no longer there goes too.
     for (month,) in held.select(period).distinct().orderBy(period).collect():  # months of one run
         mine = F.col(period) == F.lit(month)

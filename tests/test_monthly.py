@@ -1,12 +1,14 @@
 """Quantiles from stored months."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from clientela.operators import monthly
+from clientela.sources.staging import staged
 
 ROWS = "Periodo string, g string, x double, y double"
 PS = (0.0, 0.1, 0.5, 0.9, 1.0)
@@ -79,3 +81,23 @@ def test_constant_and_empty(spark, make, tmp_path, small_slices):
     assert found(monthly.quantiles_of_months(values, slices, PS, ["g"])) == {("a", "x", p): (50, 3.0) for p in PS}
     none = monthly.quantiles_of_months(values.limit(0), slices.limit(0), PS, ["g"])
     assert none.count() == 0
+
+
+def test_a_month_is_written_from_its_own_rows(spark, make, tmp_path, small_slices, monkeypatch):
+    """What is stored between lies in a folder for each month, and slices are found by compiled code."""
+    held = {}
+
+    def spy(df, name, *more, **named):
+        held[name] = staged(df, name, *more, **named)
+        return held[name]
+
+    monkeypatch.setattr(monthly, "staged", spy)
+    rows = [(f"2024-{m:02d}", "a", float(i), float(-i)) for m in (1, 2) for i in range(200)]
+    values = monthly.month_values(make(rows, ROWS), ["x", "y"], ["g"])
+    assert not re.search("lambdafunction", values._jdf.queryExecution().executedPlan().toString())
+    monthly.store_months(values, str(tmp_path))
+    mine = held["months"].where("Periodo = '2024-02'")
+    files = held["months"].inputFiles()
+    assert files and all("Periodo=2024-0" in f for f in files)
+    assert "PartitionFilters: [isnotnull(Periodo" in mine._jdf.queryExecution().executedPlan().toString()
+    assert held["months"].columns == values.columns and mine.agg(F.sum("veces")).first()[0] == 400
