@@ -13,6 +13,8 @@ from clientela.operators.ordered import HOT_ROWS, neighbour
 from clientela.operators.relational import (
     drop_returns, fetch_by_keys, fill_defaults, first_per_key, lookup_join, require)
 
+MONTH_ORDERS = 1_000_000   # whose ids may be broadcast
+
 
 def month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:
     year, number = map(int, month.split("-"))
@@ -55,7 +57,7 @@ def assemble_lines(orders: DataFrame, emails: DataFrame, bills: DataFrame, items
     is joined to it; where the orders are few, those cuts are broadcast joins."""
     ids = orders.select(F.col("ID").alias("post_id")).distinct()
     mails = fetch_by_keys(emails, ids, "post_id").groupBy("post_id").agg(F.min("mail").alias("mail"))
-    billed = bills.join(ids, "post_id").join(mails, "post_id", "left" if keep_unmailed else "inner")
+    billed = fetch_by_keys(bills, ids, "post_id").join(mails, "post_id", "left" if keep_unmailed else "inner")
     sold = items.join(billed, "bill_id")
     one_kind = kinds.groupBy("product_id").agg(F.max("tipo_prd_id").alias("tipo_prd_id"))
     described = sold.join(products, "product_id", "left").join(one_kind, "product_id", "left")
@@ -129,7 +131,7 @@ def month_lines(tables: dict[str, DataFrame], month: str, kind: str = C.ORDER_TY
                 special: str | None = None) -> DataFrame:
     """Unpriced net lines of one month from the shop tables: orders, attributes, bills, items,
     products."""
-    orders = orders_in_month(tables["orders"], month, kind, status)
+    orders = broadcast_if_bounded(orders_in_month(tables["orders"], month, kind, status), MONTH_ORDERS)  # bills of others are not shuffled
     meta = tables["attributes"]
     raw = assemble_lines(
         orders, eav_attribute(meta, C.EMAIL_KEY, "mail"), tables["bills"], tables["items"],

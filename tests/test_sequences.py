@@ -140,6 +140,18 @@ def test_contents(make, distinct):
         assert two[mail] == (want[mail, months[0]], before)
 
 
+def test_bills_are_cut_to_the_orders_before_they_are_merged(make):
+    orders, mails = make([(1,), (1,), (2,)], "ID bigint"), make([(1, "a"), (3, "c")], "post_id bigint, mail string")
+    rows = [(1, 10, "b", "2024-01-01 00:00:00")] * 2 + [(2, 20, "b", "2024-01-01 00:00:00"), (3, 30, "b", "2024-01-01 00:00:00"), (None, 40, "b", None)]
+    bills = make(rows, "post_id bigint, bill_id bigint, type string, fecha timestamp_ntz").distinct()
+    items = make([(10, 7, 1), (10, 8, 2), (20, 7, 3), (30, 7, 4), (40, 7, 5)], "bill_id bigint, product_id bigint, quantity int")
+    products = make([(7, "x", "t")], "product_id bigint, titulo string, descripcion string")
+    got = lines.assemble_lines(orders, mails, bills, items, products, make([(7, "1")], "product_id bigint, tipo_prd_id string"))
+    assert sorted((r.post_id, r.product_id, r.quantity, r.titulo, r.mail) for r in got.collect()) == [
+        (1, 7, 1, "x", "a"), (1, 8, 2, None, "a"), (2, 7, 3, "x", None)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+
+
 def test_contents_with_repeats_of_picked_customers(make):
     """Rows of other customers and months are dropped before their texts are put together."""
     rows = purchases()
