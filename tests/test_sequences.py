@@ -1,10 +1,13 @@
 """Order-dependent operators against their sequential definition."""
 
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from clientela.operators import gaps, lines, ordered, snapshot, transitions
+from clientela.sources import staging
 
 NOTE = "pmi-credit-note"
 LINE = "post_id long, titulo_descripcion string, product_id long, fecha timestamp_ntz, quantity int, type string, bill_id long"
@@ -93,6 +96,44 @@ def test_rows_of_one_time_are_dealt_too(spark):
     assert got.where("p.n = n - 1").count() == 19_999 and got.where("p IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("forward", [False, True])
+def test_many_pieces_shuffle_rows_once(spark, monkeypatch, forward):
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 100)
+    df = spark.range(4_000).selectExpr(
+        "if(id % 3 > 0, 'hot', if(id % 7 > 0, concat('k', id % 50), NULL)) AS k", "id % 2 = 0 AS even",
+        "if(id % 5 > 0, CAST(date_add(DATE '2024-01-01', CAST(id % 11 AS INT)) AS TIMESTAMP_NTZ), NULL) AS t", "id AS n").localCheckpoint()
+    find = lambda rows: ordered.neighbour(df, ["k", "even"], ["t", "n"], ["n", "t"], "p", forward=forward, hot_rows=rows)
+    got, want = find(1_000), find(10**9)
+    assert got.count() == 4_000 and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange (?:hash|range)partitioning", final)) == 1
+
+
+def test_rows_equal_in_order_are_each_followed_once(spark, monkeypatch):
+    """Also across the bounds of pieces, where the values of equal rows differ."""
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 20)
+    df = spark.range(1_000).selectExpr("1 AS k", "CAST('2024-01-01' AS TIMESTAMP_NTZ) AS t", "id AS n").localCheckpoint()
+    for forward in (False, True):
+        met = [r.p.n for r in ordered.neighbour(df, ["k"], ["t"], ["n"], "p", forward=forward, hot_rows=0).collect() if r.p]
+        assert len(met) == len(set(met)) == 999
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before, kept = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    df = spark.range(10_000).groupBy((F.col("id") % 1_000).alias("k")).count()
+    held = staging.staged(df, "groups")
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    assert held.count() == df.count() == 1_000  # what was stored can be run again too
+
+
 @pytest.mark.parametrize("hot_rows", [10**6, 0])
 def test_null_equals_nothing(make, hot_rows):
     day = lambda n: f"2024-01-0{n} 00:00:00"
